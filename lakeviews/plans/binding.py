@@ -127,8 +127,7 @@ class StarBinding:
         on_hand = F.when(F.col("l_linestatus") == "O", F.col("l_quantity")).otherwise(F.lit(0.0))
         return (self.li.groupBy((F.col("l_partkey") % 40).alias("sku"), "region_code", "month_start")
                 .agg(F.sum(on_hand).cast("int").alias("quantity_on_hand"),
-                     F.min(F.col("l_extendedprice") / F.col("l_quantity")).cast("decimal(10,2)")
-                     .alias("unit_cost")))
+                     F.min(F.col("l_extendedprice").cast(MONEY)).cast("decimal(10,2)").alias("unit_cost")))
 
     @cached_property
     def fact_inventory_movement(self) -> DataFrame:

@@ -321,3 +321,7 @@ def _(spark, sf_dir):
 @register("agg_distinct")
 def _(spark, sf_dir):
     return _views(spark, sf_dir).marketing().select("region_code").distinct()
+
+
+# Further keys register themselves on import.
+from lakeviews.plans import registry_quality  # noqa: E402,F401
