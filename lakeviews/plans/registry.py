@@ -324,4 +324,4 @@ def _(spark, sf_dir):
 
 
 # Further keys register themselves on import.
-from lakeviews.plans import registry_quality, registry_text  # noqa: E402,F401
+from lakeviews.plans import registry_io, registry_quality, registry_text  # noqa: E402,F401
