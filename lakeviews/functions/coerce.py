@@ -62,10 +62,33 @@ def coerce_column(c: Column, logical_type: str) -> Column:
     return COERCERS[logical_type](c)
 
 
+def coerce_sql(name: str, kind: str) -> str:
+    """The same rules as the column builders above, as one SQL expression."""
+    c = f"`{name}`"
+    pattern = NUMBER_PATTERN.replace("\\", "\\\\")
+    number = f"CASE WHEN {c} RLIKE '{pattern}' THEN try_cast(trim({c}) AS DOUBLE) END"
+    as_float = f"CASE WHEN isnan({number}) THEN NULL ELSE {number} END"
+    if kind == "date":
+        return f"try_cast(trim({c}) AS DATE)"
+    if kind == "float":
+        return as_float
+    if kind == "int":
+        # Text matching the number pattern is never NaN, so the pattern guard suffices.
+        return (f"coalesce(try_cast(trim({c}) AS BIGINT), "
+                f"CASE WHEN {number} = floor({number}) THEN try_cast({number} AS BIGINT) END)")
+    if kind == "bool":
+        words = ", ".join(f"'{w}'" for w in TRUE_WORDS)
+        return f"coalesce(lower({c}) IN ({words}), false)"
+    return f"CAST({c} AS STRING)"
+
+
 def coerce_types(df: DataFrame, contract: Contract) -> DataFrame:
-    """Apply the contract to every declared column present; keep undeclared ones as they are."""
-    cols = []
+    """Apply the contract to every declared column present; keep undeclared ones as they are.
+
+    Built as one ``selectExpr`` (one SQL expression per column).
+    """
+    exprs = []
     for name in df.columns:
         kind = contract.columns.get(name)
-        cols.append(coerce_column(F.col(name), kind).alias(name) if kind else F.col(name))
-    return df.select(*cols)
+        exprs.append(f"{coerce_sql(name, kind)} AS `{name}`" if kind else f"`{name}`")
+    return df.selectExpr(*exprs)

@@ -64,7 +64,7 @@ def fn_thousandths_text(t: Column) -> Column:
 
 def fn_join_lines(lines_sorted: Column) -> Column:
     """Newline-join of an array of structs sorted by position, taking their ``line`` field."""
-    return F.array_join(F.transform(lines_sorted, lambda x: x["line"]), "\n")
+    return F.array_join(lines_sorted.getField("line"), "\n")
 
 
 def fn_nan_to_null(c: Column) -> Column:

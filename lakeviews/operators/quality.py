@@ -9,9 +9,11 @@ Every check produces rows of one long metrics table
   fk          orphan rows per foreign key; -1 when the parent or the
               column is missing (unverifiable counts as a failure)
 
-Plan shape: row and null counts are one aggregate pass; duplicates are a
-``groupBy(key).count()`` (partial aggregation, so a hot key is combined
-map-side); orphans first count the child per foreign-key value, then
+Plan shape: row count, NULL counts and duplicates come from one pass, a
+``groupBy(primary key)`` holding per-key row and NULL counts followed by a
+global sum (partial aggregation, so a hot key is combined map-side and a
+dataset is scanned once for all three); orphans first count the child per
+foreign-key value, then
 anti-join those counts to the parent's distinct keys, so the shuffle moves
 one row per distinct key rather than every child row.  The report row per
 dataset is a pivot of the metrics (bounded by the contract, not the data).
@@ -41,15 +43,20 @@ def is_missing(df: DataFrame, column: str) -> Column:
     return c.isNull()
 
 
-def _metric(dataset: str, check: str, column: str | None, parent: str | None, value: Column) -> Column:
-    return F.struct(F.lit(dataset).alias("dataset"), F.lit(check).alias("check"),
-                    F.lit(column).cast("string").alias("column"),
-                    F.lit(parent).cast("string").alias("parent"),
-                    value.cast("long").alias("value"))
+def _sql_text(v: str | None) -> str:
+    return "CAST(NULL AS STRING)" if v is None else "'" + v.replace("'", "''") + "'"
 
 
-def _explode_metrics(one_row: DataFrame, metrics: list[Column]) -> DataFrame:
-    return one_row.select(F.explode(F.array(*metrics)).alias("m")).select("m.*")
+def _metric(dataset: str, check: str, column: str | None, parent: str | None, value: str) -> str:
+    """One metrics row as a SQL ``named_struct``; ``value`` is a SQL expression."""
+    return (f"named_struct('dataset', {_sql_text(dataset)}, 'check', {_sql_text(check)}, "
+            f"'column', {_sql_text(column)}, 'parent', {_sql_text(parent)}, "
+            f"'value', CAST({value} AS BIGINT))")
+
+
+def _explode_metrics(one_row: DataFrame, metrics: list[str]) -> DataFrame:
+    """Unpivot a one-row aggregate into metrics rows (one ``inline`` expression)."""
+    return one_row.selectExpr(f"inline(array({', '.join(metrics)}))")
 
 
 def check_nulls(df: DataFrame, contract: Contract) -> DataFrame:
@@ -58,8 +65,8 @@ def check_nulls(df: DataFrame, contract: Contract) -> DataFrame:
     cols = [c for c in contract.not_null if c in df.columns]
     agg = df.agg(F.count(F.lit(1)).alias("__rows"),
                  *[F.count_if(is_missing(df, c)).alias(f"__null_{i}") for i, c in enumerate(cols)])
-    metrics = [_metric(name, "row_count", None, None, F.col("__rows"))]
-    metrics += [_metric(name, "null", c, None, F.col(f"__null_{i}")) for i, c in enumerate(cols)]
+    metrics = [_metric(name, "row_count", None, None, "__rows")]
+    metrics += [_metric(name, "null", c, None, f"__null_{i}") for i, c in enumerate(cols)]
     return _explode_metrics(agg, metrics)
 
 
@@ -75,7 +82,7 @@ def check_duplicates(df: DataFrame, contract: Contract) -> DataFrame:
     if not keys:
         return _constant(spark, contract.full_name, "duplicate", None, None, 0)
     return _explode_metrics(duplicate_count(df, keys),
-                            [_metric(contract.full_name, "duplicate", None, None, F.col("dups"))])
+                            [_metric(contract.full_name, "duplicate", None, None, "dups")])
 
 
 def orphan_count(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
@@ -102,15 +109,39 @@ def check_referential_integrity(df: DataFrame, contract: Contract, parents: dict
             parts.append(_constant(spark, contract.full_name, "fk", column, parent_name, -1))
             continue
         parts.append(_explode_metrics(orphan_count(df, column, parent, parent_column),
-                                      [_metric(contract.full_name, "fk", column, parent_name,
-                                               F.col("orphans"))]))
+                                      [_metric(contract.full_name, "fk", column, parent_name, "orphans")]))
     return _union(spark, parts)
 
 
+def check_rows_nulls_duplicates(df: DataFrame, contract: Contract) -> DataFrame:
+    """Row count, NULL counts and duplicate count in one scan of ``df``.
+
+    Rows are grouped by the primary key (NULL keys form one group) with per-group
+    row and NULL counts; one more aggregate sums them and counts rows beyond the
+    first per key.  Without key columns the duplicate count is 0.
+    """
+    name = contract.full_name
+    cols = [c for c in contract.not_null if c in df.columns]
+    keys = [k for k in contract.primary_key if k in df.columns]
+    nulls = [F.count_if(is_missing(df, c)).alias(f"__null_{i}") for i, c in enumerate(cols)]
+    if keys:
+        per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), *nulls)
+        agg = per_key.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("__rows"),
+                          F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).alias("__dups"),
+                          *[F.coalesce(F.sum(f"__null_{i}"), F.lit(0)).alias(f"__null_{i}")
+                            for i in range(len(cols))])
+    else:
+        agg = df.agg(F.count(F.lit(1)).alias("__rows"), F.lit(0).alias("__dups"), *nulls)
+    metrics = [_metric(name, "row_count", None, None, "__rows")]
+    metrics += [_metric(name, "null", c, None, f"__null_{i}") for i, c in enumerate(cols)]
+    metrics.append(_metric(name, "duplicate", None, None, "__dups"))
+    return _explode_metrics(agg, metrics)
+
+
 def run_quality_checks(df: DataFrame, contract: Contract, parents: dict | None = None) -> DataFrame:
-    """All metrics of one dataset."""
+    """All metrics of one dataset: one pass for rows / NULLs / duplicates, one per foreign key."""
     parents = parents or {}
-    return _union(df.sparkSession, [check_nulls(df, contract), check_duplicates(df, contract),
+    return _union(df.sparkSession, [check_rows_nulls_duplicates(df, contract),
                                     check_referential_integrity(df, contract, parents)])
 
 
@@ -119,7 +150,7 @@ def quality_report(metrics: DataFrame) -> DataFrame:
     check, value = F.col("check"), F.col("value")
 
     def entries(kind: str, key: Column) -> Column:
-        return F.map_from_entries(F.array_sort(F.collect_list(
+        return F.map_from_entries(F.sort_array(F.collect_list(
             F.when(check == kind, F.struct(key.alias("key"), value.alias("value"))))))
 
     failing = F.max(F.when(check != "row_count", value != 0))
@@ -142,25 +173,26 @@ def quality_summary(reports: DataFrame) -> DataFrame:
 
 # --- warehouse constraints (the star schema's PK / FK / NOT NULL) ---
 def primary_key_violations(df: DataFrame, table: str, keys) -> DataFrame:
+    """Duplicate keys and keys with a NULL part, from one ``groupBy(key)`` pass."""
     keys = list(keys)
     any_null = F.greatest(*[F.col(k).isNull() for k in keys]) if len(keys) > 1 else F.col(keys[0]).isNull()
-    dups = duplicate_count(df, keys).select(F.col("dups").alias("v"))
-    nulls = df.agg(F.count_if(any_null).alias("v"))
-    return _union(df.sparkSession, [
-        _explode_metrics(dups, [_metric(table, "pk_duplicate", ",".join(keys), None, F.col("v"))]),
-        _explode_metrics(nulls, [_metric(table, "pk_null", ",".join(keys), None, F.col("v"))]),
-    ])
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    agg = per_key.agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).alias("__dups"),
+                      F.coalesce(F.sum(F.when(any_null, F.col("__n"))), F.lit(0)).alias("__nulls"))
+    label = ",".join(keys)
+    return _explode_metrics(agg, [_metric(table, "pk_duplicate", label, None, "__dups"),
+                                  _metric(table, "pk_null", label, None, "__nulls")])
 
 
 def foreign_key_violations(df: DataFrame, table: str, column: str, dim: DataFrame,
                            dim_name: str, dim_column: str) -> DataFrame:
     return _explode_metrics(orphan_count(df, column, dim, dim_column),
-                            [_metric(table, "fk", column, dim_name, F.col("orphans"))])
+                            [_metric(table, "fk", column, dim_name, "orphans")])
 
 
 def not_null_violations(df: DataFrame, table: str, columns) -> DataFrame:
     agg = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"__n{i}") for i, c in enumerate(columns)])
-    return _explode_metrics(agg, [_metric(table, "not_null", c, None, F.col(f"__n{i}"))
+    return _explode_metrics(agg, [_metric(table, "not_null", c, None, f"__n{i}")
                                   for i, c in enumerate(columns)])
 
 
@@ -168,7 +200,7 @@ def varchar_violations(df: DataFrame, table: str, limits: dict) -> DataFrame:
     """Values longer than the column's VARCHAR(n) limit."""
     agg = df.agg(*[F.count_if(F.length(F.col(c).cast("string")) > n).alias(f"__v{i}")
                    for i, (c, n) in enumerate(limits.items())])
-    return _explode_metrics(agg, [_metric(table, "varchar", c, None, F.col(f"__v{i}"))
+    return _explode_metrics(agg, [_metric(table, "varchar", c, None, f"__v{i}")
                                   for i, c in enumerate(limits)])
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from lakeviews.plans import queries as Q
 from lakeviews.plans import views as V
 from lakeviews.plans.binding import StarBinding
+from lakeviews.session import tune_session
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -34,7 +35,12 @@ MARGIN_AFTER = (dt.date(1995, 10, 1), dt.date(1996, 1, 1))
 
 def register(key: str):
     def deco(fn):
-        QUERIES[key] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            tune_session(spark)
+            return fn(spark, sf_dir)
+        run.__name__ = run.__qualname__ = key
+        run.__doc__ = fn.__doc__
+        QUERIES[key] = run
         return fn
     return deco
 

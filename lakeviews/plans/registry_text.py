@@ -217,7 +217,7 @@ def _(spark, sf_dir):
     d = StarBinding(spark, sf_dir).t.documents
     toks = TX.fn_tokens(F.col("text"))
     return d.select("doc_id", F.size(toks).cast("long").alias("n_tokens"),
-                    F.array_join(F.array_sort(toks), " ").alias("tokens"))
+                    F.array_join(F.sort_array(toks), " ").alias("tokens"))
 
 
 @register("fn_prefix")

@@ -40,18 +40,20 @@ def view_scores(question: Column) -> list[Column]:
     return out
 
 
-def ranked_views(question: Column) -> Column:
-    """Views with score > 0, best first, ties in registry order."""
-    entries = [F.struct((-s).alias("neg_score"), F.lit(i).alias("pos"), F.lit(v[0]).alias("view"))
-               for i, (s, v) in enumerate(zip(view_scores(question), VIEW_REGISTRY))]
-    ranked = F.array_sort(F.filter(F.array(*entries), lambda e: e["neg_score"] < 0))
-    return F.transform(ranked, lambda e: e["view"])
-
-
 def pick_views(question: Column, top_n: int = 1) -> Column:
-    """First ``top_n`` routed views; the default view when nothing matches."""
-    views = F.slice(ranked_views(question), 1, top_n)
-    return F.when(F.size(views) > 0, views).otherwise(F.array(F.lit(DEFAULT_VIEW)))
+    """First ``top_n`` views with score > 0 (score descending, ties in registry order);
+    the default view when nothing matches.
+
+    ``sort_array`` of (-score, position, view) structs puts the best first and the
+    zero scores last; slicing to the number of positive scores drops those.  All
+    built-ins with generated code (no lambda functions).
+    """
+    scores = view_scores(question)
+    entries = [F.struct((-s).alias("neg_score"), F.lit(i).alias("pos"), F.lit(v[0]).alias("view"))
+               for i, (s, v) in enumerate(zip(scores, VIEW_REGISTRY))]
+    matched = sum(((s > 0).cast("int") for s in scores[1:]), (scores[0] > 0).cast("int"))
+    top = F.slice(F.sort_array(F.array(*entries)), F.lit(1), F.least(matched, F.lit(top_n)))
+    return F.when(matched > 0, top.getField("view")).otherwise(F.array(F.lit(DEFAULT_VIEW)))
 
 
 def route_questions(questions: DataFrame, text_col: str, id_cols: list[str], top_n: int = 1) -> DataFrame:
@@ -79,12 +81,11 @@ def audit_sql_log(df: DataFrame, sql_col: str, id_cols: list[str]) -> DataFrame:
     cleaned = (F.when(stripped.endswith(";"), TX.fn_strip(F.regexp_replace(stripped, ";$", "")))
                .otherwise(stripped))
     lowered = F.lower(cleaned)
-    tokens = TX.fn_tokens(cleaned)
-    # First match in list order; ``get`` gives NULL when nothing matches.
-    keyword = F.get(F.filter(F.array(*[F.lit(k) for k in FORBIDDEN_KEYWORDS]),
-                             lambda k: F.array_contains(tokens, k)), 0)
-    schema = F.get(F.filter(F.array(*[F.lit(s) for s in FORBIDDEN_SCHEMAS]),
-                            lambda s: F.contains(lowered, s)), 0)
+    tokens = F.regexp_extract_all(lowered, F.lit(TX.TOKEN_PATTERN), 0)
+    # First forbidden keyword in list order (array_intersect keeps the first array's
+    # order); ``get`` gives NULL when nothing matches.
+    keyword = F.get(F.array_intersect(F.array(*[F.lit(k) for k in FORBIDDEN_KEYWORDS]), tokens), 0)
+    schema = F.coalesce(*[F.when(F.contains(lowered, F.lit(s)), F.lit(s)) for s in FORBIDDEN_SCHEMAS])
     rule = (F.when(sql.isNull() | (stripped == ""), F.lit(MSG_EMPTY))
             .when(F.contains(cleaned, F.lit(";")), F.lit(MSG_MULTI))
             .when(~TX.fn_prefix(cleaned, "select", "with"), F.lit(MSG_NOT_SELECT))
@@ -187,13 +188,13 @@ def report_lines(hr: DataFrame, mkt: DataFrame, inv: DataFrame, pnl: DataFrame)
     The HR report ends with a note naming the department with the highest HR cost.
     """
     body = hr_lines(hr).unionByName(mkt_lines(mkt)).unionByName(inv_lines(inv)).unionByName(pnl_lines(pnl))
-    grouped = body.groupBy("report").agg(F.array_sort(F.collect_list(F.struct("sort_key", "label", "line"))).alias("rows"))
+    grouped = body.groupBy("report").agg(F.sort_array(F.collect_list(F.struct("sort_key", "label", "line"))).alias("rows"))
     header = F.element_at(F.create_map(*[x for kv in _HEADERS.items() for x in (F.lit(kv[0]), F.lit(kv[1]))]),
                           F.col("report"))
     top_dept = F.col("rows")[0]["label"]
     note = F.when(F.col("report") == "hr",
                   F.array(F.format_string(HR_NOTE.replace("{}", "%s"), top_dept)))
-    lines = F.concat(F.array(header), F.transform("rows", lambda r: r["line"]),
+    lines = F.concat(F.array(header), F.col("rows").getField("line"),
                      F.coalesce(note, F.array().cast("array<string>")))
     return grouped.select("report", F.posexplode(lines).alias("pos", "line"))
 
@@ -203,7 +204,7 @@ def report_answers(lines: DataFrame) -> DataFrame:
     sql = F.element_at(F.create_map(*[x for kv in _SQL.items() for x in (F.lit(kv[0]), F.lit(kv[1]))]),
                        F.col("report"))
     return (lines.groupBy("report")
-            .agg(TX.fn_join_lines(F.array_sort(F.collect_list(F.struct("pos", "line")))).alias("answer"))
+            .agg(TX.fn_join_lines(F.sort_array(F.collect_list(F.struct("pos", "line")))).alias("answer"))
             .select("report", sql.alias("sql"), "answer"))
 
 

@@ -27,6 +27,9 @@ _DEFAULT_CONF = {
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # No Python call-site capture per Column call: plans here are built from
+    # hundreds of column expressions, and the capture costs a stack walk each.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -51,6 +54,13 @@ def build_session(
     return spark
 
 
+def tune_session(spark: SparkSession) -> None:
+    """Session-level settings that plan building relies on (safe to call repeatedly)."""
+    key = "spark.python.sql.dataFrameDebugging.enabled"
+    if spark.conf.get(key, "true") != "false":
+        spark.conf.set(key, "false")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only if unset."""
     root = spark.conf.get("spark.checkpoint.dir", None)
