@@ -50,7 +50,14 @@ def q_revenue_vs_hr_filtered(spark, department: str | None = None, region: str |
     return scan_view_sql(spark, sql, params)
 
 
-def q_marketing_vs_sales_filtered(spark, region: str | None = None):
+def q_marketing_vs_sales_filtered(spark, region: str | None = None, views=None):
+    """Optional region filter.  With ``views`` the filter goes into both sides of
+    the full outer join (see ``vw_marketing_spend_vs_sales``); otherwise it is a
+    parameterised read of the registered view."""
+    if views is not None:
+        return (views.marketing(region or None)
+                .select("region_code", "month_start", "marketing_spend", "sales_revenue", "order_count")
+                .orderBy("month_start"))
     base = ("SELECT region_code, month_start, marketing_spend, sales_revenue, order_count "
             "FROM vw_marketing_spend_vs_sales")
     sql, params = filter_optional_params(base, [("region_code", "region", region)], "month_start")

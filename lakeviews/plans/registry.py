@@ -207,8 +207,7 @@ def _(spark, sf_dir):
 
 @register("q_marketing_vs_sales_filtered")
 def _(spark, sf_dir):
-    _registered(spark, sf_dir)
-    return V.to_output(Q.q_marketing_vs_sales_filtered(spark, FILTER_REGION))
+    return V.to_output(Q.q_marketing_vs_sales_filtered(spark, FILTER_REGION, _views(spark, sf_dir)))
 
 
 @register("q_inventory_turns_filtered")

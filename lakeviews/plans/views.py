@@ -100,7 +100,18 @@ def vw_revenue_vs_hr_cost(fact_hr_cost: DataFrame, fact_finance_gl: DataFrame) -
     return agg_rollup_regions(vw_revenue_vs_hr_cost_by_region(fact_hr_cost, fact_finance_gl))
 
 
-def vw_marketing_spend_vs_sales(fact_marketing_spend: DataFrame, fact_sales: DataFrame) -> DataFrame:
+def vw_marketing_spend_vs_sales(fact_marketing_spend: DataFrame, fact_sales: DataFrame,
+                                region: str | None = None) -> DataFrame:
+    """Spend and sales per region and month, full outer join, all measures defaulting to 0.
+
+    A region filter is applied to *both* inputs: the output key is
+    COALESCE(m.region, s.region), which Catalyst cannot push through a full
+    outer join, but since the join is on region equality, filtering each side
+    by region gives the same rows and lets the predicate reach both scans.
+    """
+    if region:
+        fact_marketing_spend = fact_marketing_spend.where(F.col("region_code") == region)
+        fact_sales = fact_sales.where(F.col("region_code") == region)
     m = agg_spend(fact_marketing_spend)
     s = agg_sales(fact_sales)
     # Joining on column names makes the full-outer keys COALESCE(m.key, s.key).
@@ -148,8 +159,8 @@ class Views:
     def revenue_vs_hr(self) -> DataFrame:
         return agg_rollup_regions(self.by_region())
 
-    def marketing(self) -> DataFrame:
-        return vw_marketing_spend_vs_sales(self.star.fact_marketing_spend, self.star.fact_sales)
+    def marketing(self, region: str | None = None) -> DataFrame:
+        return vw_marketing_spend_vs_sales(self.star.fact_marketing_spend, self.star.fact_sales, region)
 
     def inventory(self) -> DataFrame:
         return vw_inventory_turns_vs_sales(self.star.fact_inventory_stock,

@@ -33,16 +33,51 @@ _DEFAULT_CONF = {
 }
 
 
+MB = 1024 * 1024
+
+
+def cluster_conf(input_bytes: int, total_cores: int, partition_mb: int = 256) -> dict:
+    """Partition sizing for a cluster run over ``input_bytes`` of input.
+
+    Scans are split into ``partition_mb`` pieces; the first shuffle of every
+    query gets enough partitions that each holds about ``partition_mb`` of the
+    input (at least 2 per core, so every core has work), and AQE then merges
+    small partitions toward the same advisory size and splits skewed ones
+    (five times the median and over 1 GiB).  Joins are broadcast only when the
+    measured side is under 64 MiB; anything larger stays a sort-merge join.
+    """
+    shuffle = max(2 * total_cores, -(-input_bytes // (partition_mb * MB)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_mb * MB),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_mb * MB),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(16 * MB),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * MB),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * MB),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 * MB),
+    }
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "lakeviews",
     shuffle_partitions: int | None = None,
     extra_conf: dict | None = None,
+    input_bytes: int | None = None,
+    total_cores: int | None = None,
 ) -> SparkSession:
+    """Session with the workload's settings.
+
+    ``input_bytes`` / ``total_cores`` size partitions for a cluster run
+    (see ``cluster_conf``); an explicit ``shuffle_partitions`` wins.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(_DEFAULT_CONF)
+    if input_bytes and total_cores:
+        conf.update(cluster_conf(input_bytes, total_cores))
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})

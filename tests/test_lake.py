@@ -51,3 +51,25 @@ def test_keep_last_follows_file_order(spark):
 def test_json_records_keep_nulls_and_drop_nan(spark):
     df = spark.createDataFrame([(1, float("nan"), None)], "k int, x double, s string")
     assert L.json_safe_records(df).collect()[0].record == '{"k":1,"x":null,"s":null}'
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_raw_scan_prunes_to_newest_partition(spark):
+    root = scratch_path(spark, "lake-test")
+    df = spark.createDataFrame([("a", "1", "n")], "id string, qty string, note string")
+    L.land_raw(df, root, "test", "things", "2024-01-01")
+    L.land_raw(df, root, "test", "things", "2024-01-02")
+    scan = L.scan_raw_csv(spark, root, C, keep_input_order=False)
+    plan = _plan(scan)
+    assert "PartitionFilters: [isnotnull(dt" in plan and "2024-01-02" in plan
+    assert scan.count() == 1
+
+
+def test_cluster_sizing():
+    from lakeviews.session import cluster_conf
+    c = cluster_conf(100 * 1024 ** 4, 8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600
+    assert int(cluster_conf(10 * 1024 ** 2, 8)["spark.sql.shuffle.partitions"]) == 16

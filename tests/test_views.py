@@ -60,3 +60,28 @@ def test_empty_parameter_means_no_filter(spark, small_dir):
     _views(spark, small_dir).register()
     all_rows = Q.q_revenue_vs_hr_filtered(spark, None, None).count()
     assert Q.q_revenue_vs_hr_filtered(spark, "", "").count() == all_rows
+
+
+def test_region_filter_reaches_parquet_scan(spark, small_dir):
+    """A filter on a view's grouping key is pushed through the aggregate to the scans."""
+    v = _views(spark, small_dir)
+    df = Q.q_marketing_vs_sales_filtered(spark, "EUROPE", v)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    # Both sides of the full outer join (spend and sales) scan region with the predicate.
+    assert plan.count("EqualTo(r_name,EUROPE)") >= 2
+    assert df.where(F.col("region_code") != "EUROPE").count() == 0
+    assert df.count() == v.marketing().where(F.col("region_code") == "EUROPE").count()
+
+
+def test_department_filter_reaches_both_join_sides(spark, small_dir):
+    _views(spark, small_dir).register()
+    df = Q.q_revenue_vs_hr_filtered(spark, "MACHINERY", "EUROPE")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("EqualTo(c_mktsegment,MACHINERY)") >= 2
+
+
+def test_scans_read_only_needed_columns(spark, small_dir):
+    v = _views(spark, small_dir)
+    plan = v.by_region()._jdf.queryExecution().executedPlan().toString()
+    lineitem_schema = [line for line in plan.splitlines() if "l_orderkey" in line and "ReadSchema" in line]
+    assert lineitem_schema and all("l_comment" not in s and "l_tax" not in s for s in lineitem_schema)
