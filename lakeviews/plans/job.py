@@ -11,6 +11,7 @@ constraint violations of the star schema do stop it when ``strict``.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,30 +48,55 @@ class RefreshResult:
     views: dict
 
 
+# Independent per-dataset jobs (landing, curating, loading) are submitted from a
+# few driver threads at once, so small datasets do not leave the cluster idle
+# between jobs.  Each job is still a full Spark job over the whole dataset.
+CONCURRENT_JOBS = 4
+
+
+def _in_parallel(fn, items):
+    with ThreadPoolExecutor(max_workers=CONCURRENT_JOBS) as pool:
+        return list(pool.map(fn, items))
+
+
 def land_all(raw_inputs: dict[str, DataFrame], lake_root: str, ingest_date: str) -> int:
     """Land every given raw dataset under its domain; returns the number landed."""
-    n = 0
-    for name, df in raw_inputs.items():
+    def land(item):
+        name, df = item
         c = CONTRACTS[name]
-        L.land_raw(df, lake_root, c.domain, c.name, ingest_date)
-        n += 1
-    return n
+        return L.land_raw(df, lake_root, c.domain, c.name, ingest_date)
+    return len(_in_parallel(land, list(raw_inputs.items())))
+
+
+def _curate(spark: SparkSession, lake_root: str, name: str):
+    """Scan the newest landing, coerce, keep the last row per key, write curated parquet."""
+    contract = CONTRACTS[name]
+    raw = L.scan_raw_csv(spark, lake_root, contract)
+    if raw is None:  # absent dataset: skip, not an error
+        return None
+    typed = coerce_types(raw, contract)
+    cleaned = dedupe_keep_last(typed, contract.primary_key, F.col(SEQ)).drop(SEQ)
+    L.write_curated(cleaned, lake_root, contract.domain, contract.name)
+    return raw
 
 
 def clean_all(spark: SparkSession, lake_root: str, updated_at=None):
-    """Clean every landed dataset in parent-first order; returns (reports, catalog rows, curated)."""
+    """Curate every landed dataset, then check each in parent-first order.
+
+    Returns (metrics per dataset, catalogue rows, curated frames).  The checks
+    read the curated files, so they run after all writes have finished.
+    """
+    raws = dict(zip(TRANSFORM_ORDER, _in_parallel(lambda n: _curate(spark, lake_root, n), TRANSFORM_ORDER)))
     curated: dict[str, DataFrame] = {}
     metrics, profiles = [], []
     for name in TRANSFORM_ORDER:
-        contract = CONTRACTS[name]
-        raw = L.scan_raw_csv(spark, lake_root, contract)
-        if raw is None:  # absent dataset: skip, not an error
+        raw = raws[name]
+        if raw is None:
             continue
-        typed = coerce_types(raw, contract)
-        cleaned = dedupe_keep_last(typed, contract.primary_key, F.col(SEQ)).drop(SEQ)
-        L.write_curated(cleaned, lake_root, contract.domain, contract.name)
+        contract = CONTRACTS[name]
         cur = L.scan_curated_parquet(spark, lake_root, contract.domain, contract.name)
         curated[name] = cur
+        # Parents are the datasets curated before this one (parent-first order).
         m = QC.run_quality_checks(cur, contract, curated)
         # Rows removed by de-duplication stay visible next to the post-dedupe checks.
         before = raw.agg(F.count(F.lit(1)).alias("v")).select(
@@ -108,7 +134,7 @@ def job_full_refresh(spark: SparkSession, raw_inputs: dict[str, DataFrame], lake
     if strict:
         for t, df in star.items():
             QC.enforce(QC.primary_key_violations(df, t, STAR_TABLES[t].primary_key))
-    star_path = L.load_star_tables(spark, star, lake_root, STAR_LOAD_ORDER)
+    star_path = L.load_star_tables(spark, star, lake_root, STAR_LOAD_ORDER, CONCURRENT_JOBS)
     loaded = L.read_star(spark, lake_root, [t for t in STAR_LOAD_ORDER if t in star])
 
     views = {
@@ -127,7 +153,6 @@ def job_full_refresh(spark: SparkSession, raw_inputs: dict[str, DataFrame], lake
     if export_root:
         sources = dict(views, dim_date=loaded.get("dim_date"), dim_department=loaded.get("dim_department"),
                        dim_region=loaded.get("dim_region"))
-        for fname, view, order in EXPORTS:
-            if sources.get(view) is not None:
-                L.export_flat_csv(sources[view], f"{export_root.rstrip('/')}/{fname}", order)
+        todo = [(f, v, o) for f, v, o in EXPORTS if sources.get(v) is not None]
+        _in_parallel(lambda e: L.export_flat_csv(sources[e[1]], f"{export_root.rstrip('/')}/{e[0]}", e[2]), todo)
     return RefreshResult(reports, catalog, star_path, views)

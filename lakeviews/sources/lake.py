@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import re
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -102,17 +103,24 @@ def scan_curated_parquet(spark: SparkSession, root: str, domain: str, dataset: s
 PARTITIONED_FACTS = {"fact_sales", "fact_finance_gl", "fact_inventory_movement", "fact_marketing_leads"}
 
 
-def load_star_tables(spark: SparkSession, star: dict[str, DataFrame], root: str, order: list[str]) -> str:
-    """Write every star table into a fresh version folder, then switch ``_CURRENT`` to it."""
+def load_star_tables(spark: SparkSession, star: dict[str, DataFrame], root: str, order: list[str],
+                     concurrent_jobs: int = 1) -> str:
+    """Write every star table into a fresh version folder, then switch ``_CURRENT`` to it.
+
+    The tables are independent, so up to ``concurrent_jobs`` writes run at once.
+    """
     version = uuid.uuid4().hex
     base = f"{root.rstrip('/')}/star/v={version}"
-    for table in order:
-        if table not in star:
-            continue
+
+    def write(table: str) -> None:
         w = star[table].write.mode("overwrite")
         if table in PARTITIONED_FACTS:
             w = w.partitionBy("month_start")
         w.parquet(f"{base}/{table}")
+
+    tables = [t for t in order if t in star]
+    with ThreadPoolExecutor(max_workers=max(1, concurrent_jobs)) as pool:
+        list(pool.map(write, tables))
     spark.createDataFrame([(base,)], "value string").coalesce(1).write.mode("overwrite") \
         .text(f"{root.rstrip('/')}/star/_CURRENT")
     return base
