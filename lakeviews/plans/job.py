@@ -42,7 +42,8 @@ EXPORTS = [
 
 @dataclass
 class RefreshResult:
-    reports: DataFrame
+    reports: DataFrame   # one row per dataset (passed, null / fk maps, duplicates)
+    metrics: DataFrame   # long metrics table, including rows_before_dedupe
     catalog: DataFrame
     star_path: str
     views: dict
@@ -117,8 +118,13 @@ def job_full_refresh(spark: SparkSession, raw_inputs: dict[str, DataFrame], lake
     all_metrics = metrics[0]
     for m in metrics[1:]:
         all_metrics = all_metrics.unionByName(m)
-    reports_path = f"{lake_root.rstrip('/')}/quality/dt={ingest_date}"
-    QC.quality_report(all_metrics.where(F.col("check") != "rows_before_dedupe")) \
+    # The long metrics table (with rows_before_dedupe) and the report row per
+    # dataset are both kept; the report is pivoted from the written metrics.
+    quality_root = f"{lake_root.rstrip('/')}/quality"
+    all_metrics.write.mode("overwrite").parquet(f"{quality_root}/metrics/dt={ingest_date}")
+    written = spark.read.parquet(f"{quality_root}/metrics/dt={ingest_date}")
+    reports_path = f"{quality_root}/reports/dt={ingest_date}"
+    QC.quality_report(written.where(F.col("check") != "rows_before_dedupe")) \
         .write.mode("overwrite").parquet(reports_path)
     reports = spark.read.parquet(reports_path)
 
@@ -155,4 +161,4 @@ def job_full_refresh(spark: SparkSession, raw_inputs: dict[str, DataFrame], lake
                        dim_region=loaded.get("dim_region"))
         todo = [(f, v, o) for f, v, o in EXPORTS if sources.get(v) is not None]
         _in_parallel(lambda e: L.export_flat_csv(sources[e[1]], f"{export_root.rstrip('/')}/{e[0]}", e[2]), todo)
-    return RefreshResult(reports, catalog, star_path, views)
+    return RefreshResult(reports, written, catalog, star_path, views)

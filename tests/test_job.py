@@ -27,6 +27,9 @@ def test_full_refresh(spark, small_dir):
     assert reports["sales.orders"].null_violations["customer_id"] > 0
     assert reports["sales.regions"].passed
 
+    before = {r.dataset: r.value for r in result.metrics.where(F.col("check") == "rows_before_dedupe").collect()}
+    assert before["finance.gl_transactions"] > reports["finance.gl_transactions"].row_count
+
     cat = {(r.domain, r.dataset_name): r.row_count for r in result.catalog.collect()}
     assert len(cat) == 16
     assert cat[("finance", "gl_transactions")] == raw.dataset("finance.gl_transactions") \
