@@ -18,18 +18,28 @@ TABLE_NAMES = (
 FIXED_SIZE_TABLES = {"region": 5, "nation": 25}
 
 
+# One relation per (session, file): opening a parquet table infers its schema
+# with a small Spark job, so a table is opened once per session and its
+# handle (a plan, not data) is shared by every query that reads it.
+_OPENED: dict[tuple[int, str], DataFrame] = {}
+
+
+def open_parquet(spark: SparkSession, path: str) -> DataFrame:
+    key = (id(spark._jsparkSession), path)
+    if key not in _OPENED:
+        _OPENED[key] = spark.read.parquet(path)
+    return _OPENED[key]
+
+
 class DriverTables:
     """Lazy handles on ``{sf_dir}/{name}.parquet``."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
-        self._cache: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        if name not in self._cache:
-            self._cache[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-        return self._cache[name]
+        return open_parquet(self.spark, f"{self.sf_dir}/{name}.parquet")
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLE_NAMES:
