@@ -40,15 +40,14 @@ def view_scores(question: Column) -> list[Column]:
     return out
 
 
-def pick_views(question: Column, top_n: int = 1) -> Column:
+def pick_views(scores: list[Column], top_n: int = 1) -> Column:
     """First ``top_n`` views with score > 0 (score descending, ties in registry order);
-    the default view when nothing matches.
+    the default view when nothing matches.  ``scores`` are per-view score columns.
 
     ``sort_array`` of (-score, position, view) structs puts the best first and the
     zero scores last; slicing to the number of positive scores drops those.  All
     built-ins with generated code (no lambda functions).
     """
-    scores = view_scores(question)
     entries = [F.struct((-s).alias("neg_score"), F.lit(i).alias("pos"), F.lit(v[0]).alias("view"))
                for i, (s, v) in enumerate(zip(scores, VIEW_REGISTRY))]
     matched = sum(((s > 0).cast("int") for s in scores[1:]), (scores[0] > 0).cast("int"))
@@ -57,7 +56,12 @@ def pick_views(question: Column, top_n: int = 1) -> Column:
 
 
 def route_questions(questions: DataFrame, text_col: str, id_cols: list[str], top_n: int = 1) -> DataFrame:
-    return questions.select(*id_cols, pick_views(F.col(text_col), top_n).alias("views"))
+    """Two projections: the keyword scores first, then the ranking over those
+    columns (one fused expression would repeat every score and outgrow the
+    generated-code size limit)."""
+    names = [f"__score_{i}" for i in range(len(VIEW_REGISTRY))]
+    scored = questions.select(*id_cols, *[s.alias(n) for s, n in zip(view_scores(F.col(text_col)), names)])
+    return scored.select(*id_cols, pick_views([F.col(n) for n in names], top_n).alias("views"))
 
 
 def cross_join_registry(questions: DataFrame, text_col: str, id_cols: list[str]) -> DataFrame:
@@ -76,10 +80,18 @@ def top_n_per_question(questions: DataFrame, text_col: str, id_cols: list[str],
 
 # ---------------- read-only SQL audit ----------------
 def audit_sql_log(df: DataFrame, sql_col: str, id_cols: list[str]) -> DataFrame:
-    sql = F.col(sql_col)
-    stripped = TX.fn_strip(sql)
-    cleaned = (F.when(stripped.endswith(";"), TX.fn_strip(F.regexp_replace(stripped, ";$", "")))
-               .otherwise(stripped))
+    """Trimmed statement, verdict and first failing rule per SQL text.
+
+    The trimmed text is computed in a first projection and the rules in a
+    second, so each regular expression runs once per row.
+    """
+    stripped0 = TX.fn_strip(F.col(sql_col))
+    df = df.select(*id_cols, F.col(sql_col).alias("__sql"), stripped0.alias("__stripped"))
+    stripped = F.col("__stripped")
+    df = df.select(*id_cols, "__sql", "__stripped",
+                   F.when(stripped.endswith(";"), TX.fn_strip(F.regexp_replace(stripped, ";$", "")))
+                   .otherwise(stripped).alias("__cleaned"))
+    sql, cleaned = F.col("__sql"), F.col("__cleaned")
     lowered = F.lower(cleaned)
     tokens = F.regexp_extract_all(lowered, F.lit(TX.TOKEN_PATTERN), 0)
     # First forbidden keyword in list order (array_intersect keeps the first array's
@@ -209,10 +221,19 @@ def report_answers(lines: DataFrame) -> DataFrame:
 
 
 def answer_questions(routed: DataFrame, answers: DataFrame, id_cols: list[str]) -> DataFrame:
-    """Join routed questions to the precomputed answers (one row per report, at most four)."""
+    """Join routed questions to the precomputed answers (one row per report, at most four).
+
+    The answers table is checkpointed into ``spark.checkpoint.dir`` first.  It
+    has four rows, so this is cheap, and it cuts the lineage of the four
+    summaries.  It also matters for the plan: the table is a union of branches
+    with literal report names, so without the cut the optimizer infers
+    ``report IN (...)`` for the question side and pushes it below the routing
+    projection, inlining the whole keyword scoring into a filter (and past the
+    generated-code size limit).  It is broadcast: bounded by the report kinds.
+    """
     view_map = F.create_map(*[x for kv in REPORT_OF_VIEW.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
     q = routed.select(*id_cols, F.col("views")[0].alias("view")) \
         .withColumn("report", F.coalesce(F.element_at(view_map, F.col("view")), F.lit("hr")))
-    # The answers table has one row per report kind (four), so broadcasting it is bounded.
-    return (q.join(F.broadcast(answers), "report")
+    fixed = answers.checkpoint(eager=True)
+    return (q.join(F.broadcast(fixed), "report")
             .select(*id_cols, F.lit("fallback").alias("mode"), "view", "sql", "answer"))

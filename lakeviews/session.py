@@ -21,6 +21,13 @@ _DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Broadcast joins are chosen only from *measured* sizes: the planner's
+    # file-size estimate of a compressed table can be far below its size in
+    # memory, so estimate-based broadcasting is off and AQE broadcasts a side
+    # once its shuffle output is known to be under the threshold.  Explicit
+    # hints are used only for tables of fixed size (region, nation).
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
@@ -44,7 +51,8 @@ def cluster_conf(input_bytes: int, total_cores: int, partition_mb: int = 256) ->
     input (at least 2 per core, so every core has work), and AQE then merges
     small partitions toward the same advisory size and splits skewed ones
     (five times the median and over 1 GiB).  Joins are broadcast only when the
-    measured side is under 64 MiB; anything larger stays a sort-merge join.
+    *measured* side is under 64 MiB (AQE); anything larger stays a sort-merge
+    join, and no join is broadcast from a file-size estimate.
     """
     shuffle = max(2 * total_cores, -(-input_bytes // (partition_mb * MB)))
     return {
@@ -53,7 +61,7 @@ def cluster_conf(input_bytes: int, total_cores: int, partition_mb: int = 256) ->
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_mb * MB),
         "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(16 * MB),
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * MB),
-        "spark.sql.autoBroadcastJoinThreshold": str(64 * MB),
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 * MB),
     }
@@ -89,11 +97,27 @@ def build_session(
     return spark
 
 
+# Settings applied to any session that runs the registered queries.
+_QUERY_CONF = {
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+}
+
+
 def tune_session(spark: SparkSession) -> None:
-    """Session-level settings that plan building relies on (safe to call repeatedly)."""
-    key = "spark.python.sql.dataFrameDebugging.enabled"
-    if spark.conf.get(key, "true") != "false":
-        spark.conf.set(key, "false")
+    """Session-level settings the plans rely on (safe to call repeatedly).
+
+    No estimate-based broadcasts (AQE decides from measured sizes), AQE with
+    skew-join splitting, and no Python call-site capture while plans are built.
+    The AQE broadcast threshold is set only if the session has none.
+    """
+    for key, value in _QUERY_CONF.items():
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
+    if spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None) in (None, "", "-1"):
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
