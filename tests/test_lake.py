@@ -73,3 +73,26 @@ def test_cluster_sizing():
     c = cluster_conf(100 * 1024 ** 4, 8000)
     assert int(c["spark.sql.shuffle.partitions"]) == 409600
     assert int(cluster_conf(10 * 1024 ** 2, 8)["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_keep_last_follows_file_order_across_splits(spark):
+    """One landed file read as several splits: the last row per key is still the last in the file."""
+    n, keys = 30000, 997
+    root = scratch_path(spark, "lake-test")
+    ids = F.pmod(F.col("id") * 7919, F.lit(keys)).cast("string")
+    notes = F.pmod(F.col("id") * 31337, F.lit(100003)).cast("string")
+    df = spark.range(n).coalesce(1).select(ids.alias("id"), F.lit("1").alias("qty"), notes.alias("note"))
+    L.land_raw(df, root, "test", "things", "2024-01-01")
+    expected = {}
+    for i in range(n):
+        expected[str(i * 7919 % keys)] = str(i * 31337 % 100003)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(64 * 1024))
+    try:
+        scan = L.scan_raw_csv(spark, root, C)
+        assert scan.rdd.getNumPartitions() > 1
+        out = dedupe_keep_last(coerce_types(scan, C), C.primary_key, F.col(SEQ)).drop(SEQ)
+        got = {r.id: r.note for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == expected
