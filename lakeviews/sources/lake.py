@@ -113,10 +113,15 @@ def load_star_tables(spark: SparkSession, star: dict[str, DataFrame], root: str,
     base = f"{root.rstrip('/')}/star/v={version}"
 
     def write(table: str) -> None:
-        w = star[table].write.mode("overwrite")
+        df = star[table]
         if table in PARTITIONED_FACTS:
-            w = w.partitionBy("month_start")
-        w.parquet(f"{base}/{table}")
+            # Rows of one month go to the same tasks, so each task writes few
+            # month folders (not tasks x months small files); AQE splits a large
+            # month into advisory-size pieces and merges small ones.
+            df.hint("rebalance", "month_start").write.mode("overwrite") \
+                .partitionBy("month_start").parquet(f"{base}/{table}")
+        else:
+            df.write.mode("overwrite").parquet(f"{base}/{table}")
 
     tables = [t for t in order if t in star]
     with ThreadPoolExecutor(max_workers=max(1, concurrent_jobs)) as pool:

@@ -96,3 +96,19 @@ def test_keep_last_follows_file_order_across_splits(spark):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert got == expected
+
+
+def test_partitioned_fact_is_written_without_small_files(spark, small_dir):
+    """Sixteen write tasks, one file per month folder: rows are clustered by month before writing."""
+    import glob
+
+    from lakeviews.plans.binding import StarBinding
+
+    gl = StarBinding(spark, small_dir).fact_finance_gl
+    root = scratch_path(spark, "lake-test")
+    base = L.load_star_tables(spark, {"fact_finance_gl": gl.repartition(16)}, root, ["fact_finance_gl"])
+    local = base.replace("file:", "")
+    months = glob.glob(f"{local}/fact_finance_gl/month_start=*")
+    files = glob.glob(f"{local}/fact_finance_gl/month_start=*/*.parquet")
+    assert months and len(files) == len(months)
+    assert spark.read.parquet(f"{base}/fact_finance_gl").count() == gl.count()
