@@ -70,9 +70,15 @@ def test_raw_scan_prunes_to_newest_partition(spark):
 
 def test_cluster_sizing():
     from lakeviews.session import cluster_conf
-    c = cluster_conf(100 * 1024 ** 4, 8000)
-    assert int(c["spark.sql.shuffle.partitions"]) == 409600
-    assert int(cluster_conf(10 * 1024 ** 2, 8)["spark.sql.shuffle.partitions"]) == 16
+    tib, mib = 1024 ** 4, 1024 ** 2
+    c = cluster_conf(100 * tib, 8000)
+    maps = 100 * tib // int(c["spark.sql.files.maxPartitionBytes"])
+    reducers = int(c["spark.sql.shuffle.partitions"])
+    assert (maps, reducers) == (204800, 102400)
+    # a quarter of the input over the reducers: 256 MiB each
+    assert 25 * tib // reducers == 256 * mib
+    assert c["spark.sql.adaptive.coalescePartitions.parallelismFirst"] == "false"
+    assert int(cluster_conf(10 * mib, 8)["spark.sql.shuffle.partitions"]) == 16
 
 
 def test_keep_last_follows_file_order_across_splits(spark):
