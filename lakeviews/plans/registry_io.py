@@ -18,7 +18,7 @@ from lakeviews.plans import queries as Q
 from lakeviews.plans import views as V
 from lakeviews.plans.binding import StarBinding
 from lakeviews.plans.registry import register
-from lakeviews.plans.registry_quality import _raw, _star_from_raw, all_coerced, coerced
+from lakeviews.plans.registry_quality import _raw, _raw_shared, _star_from_raw, all_coerced, coerced
 from lakeviews.session import scratch_path
 from lakeviews.sources import lake as L
 
@@ -87,7 +87,7 @@ def _(spark, sf_dir):
 @register("load_star_table")
 def _(spark, sf_dir):
     root = scratch_path(spark, "lake")
-    star = _star_from_raw(spark, sf_dir)
+    star = _star_from_raw(spark, sf_dir, shared=True)
     L.load_star_tables(spark, star, root, STAR_LOAD_ORDER)
     return L.read_star(spark, root, ["fact_sales"])["fact_sales"]
 
@@ -107,9 +107,9 @@ def _(spark, sf_dir):
 
 
 # ---------------- catalogue (§2.11) ----------------
-def _profiles(spark, sf_dir, deduped: bool, updated_at):
+def _profiles(spark, sf_dir, deduped: bool, updated_at, raw=None):
     from lakeviews.operators.dedupe import dedupe_keep_last, total_order
-    cur = all_coerced(_raw(spark, sf_dir))
+    cur = all_coerced(raw or _raw_shared(spark, sf_dir))
     out = []
     for name in TRANSFORM_ORDER:
         df = cur[name]
@@ -126,8 +126,9 @@ def _profiles(spark, sf_dir, deduped: bool, updated_at):
 
 def _catalog(spark, sf_dir):
     """Register every dataset as landed, then upsert the de-duplicated profiles."""
-    first = CAT.upsert(CAT.empty_catalog(spark), _profiles(spark, sf_dir, False, T1))
-    return CAT.upsert(first, _profiles(spark, sf_dir, True, T2))
+    raw = _raw_shared(spark, sf_dir)
+    first = CAT.upsert(CAT.empty_catalog(spark), _profiles(spark, sf_dir, False, T1, raw))
+    return CAT.upsert(first, _profiles(spark, sf_dir, True, T2, raw))
 
 
 @register("profile_dataset")
@@ -158,7 +159,7 @@ def _(spark, sf_dir):
 # ---------------- the full job (§2.13) ----------------
 @register("job_full_refresh")
 def _(spark, sf_dir):
-    raw = _raw(spark, sf_dir)
+    raw = _raw_shared(spark, sf_dir)
     inputs = {n: raw.dataset(n) for n in TRANSFORM_ORDER}
     root = scratch_path(spark, "lake")
     result = JOB.job_full_refresh(spark, inputs, root, DAY2, export_root=f"{root}/exports")
