@@ -58,7 +58,8 @@ def event_sql_log(events: DataFrame) -> DataFrame:
 
 
 def _summaries(spark, sf_dir):
-    v = V.Views(StarBinding(spark, sf_dir))
+    """The four report summaries; their views share the binding joins, computed once."""
+    v = V.Views(StarBinding(spark, sf_dir).materialize_joins())
     return (Q.q_hr_summary(v.revenue_vs_hr()), Q.q_marketing_summary(v.marketing()),
             Q.q_inventory_summary(v.inventory()), Q.q_pnl_summary(v.pnl()))
 
