@@ -85,3 +85,16 @@ def test_scans_read_only_needed_columns(spark, small_dir):
     plan = v.by_region()._jdf.queryExecution().executedPlan().toString()
     lineitem_schema = [line for line in plan.splitlines() if "l_orderkey" in line and "ReadSchema" in line]
     assert lineitem_schema and all("l_comment" not in s and "l_tax" not in s for s in lineitem_schema)
+
+
+def test_materialized_joins_give_the_same_views(spark, small_dir):
+    """Views over the written binding joins equal the in-plan ones and no longer join line items to orders."""
+    shared = V.Views(StarBinding(spark, small_dir).materialize_joins())
+    plain = _views(spark, small_dir)
+    for name in ("by_region", "pnl", "inventory", "marketing"):
+        a = V.to_output(getattr(shared, name)())
+        b = V.to_output(getattr(plain, name)())
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0 and a.count() == b.count()
+    plan = V.to_output(shared.pnl())._jdf.queryExecution().executedPlan().toString()
+    assert "lineitem.parquet" not in plan and "orders.parquet" not in plan
+    assert "binding-joins" in plan
