@@ -8,8 +8,8 @@ bucket, marketing spend is one campaign per customer.  Money is
 ``decimal(14,2)`` from the start, so every sum is exact and the result does
 not depend on row order.
 
-Plan shape: region and nation are fixed-size (5 and 25 rows) and broadcast;
-customer, orders and lineitem grow with the data and are joined by shuffle
+Plan shape: region and nation are fixed-size (5 and 25 rows) and broadcast
+once a row count confirms the bound (``DriverTables.bounded``); customer, orders and lineitem grow with the data and are joined by shuffle
 (AQE turns a join into a broadcast at run time only when the measured side
 is under the broadcast threshold).  Facts that aggregate line items
 (stock) aggregate after the join; Spark plans a partial aggregate before
@@ -44,13 +44,13 @@ class StarBinding:
     @cached_property
     def geo(self) -> DataFrame:
         n, r = self.t.nation, self.t.region
-        return (n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey)
+        return (n.join(self.t.bounded("region", r), n.n_regionkey == r.r_regionkey)
                 .select("n_nationkey", F.col("r_name").alias("region_code")))
 
     @cached_property
     def cust(self) -> DataFrame:
         c = self.t.customer
-        return (c.join(F.broadcast(self.geo), c.c_nationkey == F.col("n_nationkey"))
+        return (c.join(self.t.bounded("geo", self.geo), c.c_nationkey == F.col("n_nationkey"))
                 .select("c_custkey", F.col("c_mktsegment").alias("department"), "region_code"))
 
     @cached_property
@@ -73,7 +73,7 @@ class StarBinding:
     @cached_property
     def camp(self) -> DataFrame:
         c = self.t.customer
-        return (c.join(F.broadcast(self.geo), c.c_nationkey == F.col("n_nationkey"))
+        return (c.join(self.t.bounded("geo", self.geo), c.c_nationkey == F.col("n_nationkey"))
                 .select(F.col("c_custkey").alias("campaign_id"), "region_code",
                         F.date_add(F.lit("1995-01-01").cast("date"),
                                    (F.col("c_custkey") * 97 % 3000).cast("int")).alias("start_date"),

@@ -98,3 +98,15 @@ def test_materialized_joins_give_the_same_views(spark, small_dir):
     plan = V.to_output(shared.pnl())._jdf.queryExecution().executedPlan().toString()
     assert "lineitem.parquet" not in plan and "orders.parquet" not in plan
     assert "binding-joins" in plan
+
+
+def test_broadcast_hint_only_within_checked_bound(spark, small_dir):
+    from lakeviews.sources.driver import DriverTables
+
+    t = DriverTables(spark, small_dir)
+    hinted = t.bounded("nation", t.nation)
+    assert "broadcast" in hinted._jdf.queryExecution().analyzed().toString().lower()
+    over = t.bounded("nation-tight", t.nation, max_rows=24)
+    assert "broadcast" not in over._jdf.queryExecution().analyzed().toString().lower()
+    plan = StarBinding(spark, small_dir).cust._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
