@@ -229,11 +229,13 @@ def answer_questions(routed: DataFrame, answers: DataFrame, id_cols: list[str])
     with literal report names, so without the cut the optimizer infers
     ``report IN (...)`` for the question side and pushes it below the routing
     projection, inlining the whole keyword scoring into a filter (and past the
-    generated-code size limit).  It is broadcast: bounded by the report kinds.
+    generated-code size limit).  It is broadcast once a row count confirms the
+    bound of the report kinds; otherwise it is joined without a hint.
     """
     view_map = F.create_map(*[x for kv in REPORT_OF_VIEW.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
     q = routed.select(*id_cols, F.col("views")[0].alias("view")) \
         .withColumn("report", F.coalesce(F.element_at(view_map, F.col("view")), F.lit("hr")))
     fixed = answers.checkpoint(eager=True)
-    return (q.join(F.broadcast(fixed), "report")
+    side = F.broadcast(fixed) if fixed.limit(5).count() <= 4 else fixed
+    return (q.join(side, "report")
             .select(*id_cols, F.lit("fallback").alias("mode"), "view", "sql", "answer"))
