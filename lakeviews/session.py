@@ -107,7 +107,6 @@ def build_session(
 
 # Settings applied to any session that runs the registered queries.
 _QUERY_CONF = {
-    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -117,12 +116,13 @@ _QUERY_CONF = {
 def tune_session(spark: SparkSession) -> None:
     """Session-level settings the plans rely on (safe to call repeatedly).
 
-    No estimate-based broadcasts (AQE decides from measured sizes), AQE with
-    skew-join splitting, and no Python call-site capture while plans are built.
+    No estimate-based broadcasts (AQE decides from measured sizes) and AQE with
+    skew-join splitting.  Only run-time settings are touched, so this works on a
+    session built by anyone.
     The AQE broadcast threshold is set only if the session has none.
     """
     for key, value in _QUERY_CONF.items():
-        if spark.conf.get(key, None) != value:
+        if spark.conf.get(key, None) != value and spark.conf.isModifiable(key):
             spark.conf.set(key, value)
     if spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None) in (None, "", "-1"):
         spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
