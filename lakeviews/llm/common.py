@@ -40,6 +40,11 @@ def held_out(doc_id: Column | str) -> Column:
     return F.coalesce(F.crc32(F.encode(col.cast("string"), "UTF-8")) % 5 == 0, F.lit(False))
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of ``value``, computed once (a lambda's variable isn't computed anew for each use)."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeviews.llm.common import join_small, save, table
+from lakeviews.llm.common import join_small, let, save, table
 
 # Licence names with their texts or notices.
 KNOWN = {
@@ -76,40 +76,51 @@ _CHANGED = {k: v for k, v in EQUIVALENT.items() if k != v}
 COPYRIGHT_LINE = r"(?im)^[^A-Za-z0-9\n]*(?:copyright\b[^\n]*(?:\d{4}|\(c\)|©)|\(c\)[^\n]*\d{4}|©|all rights reserved)[^\n]*$"
 
 
+HAS_COPYRIGHT = r"(?i)copyright|\(c\)|©|all rights reserved"
+FIRST_WORD = r"[\p{L}\p{N}]+"
+
+
+def _respelt(form: Column) -> Column:
+    out = form
+    for a, b in _CHANGED.items():
+        out = F.regexp_replace(out, rf"\b{a}\b", b)
+    return F.when(form.rlike(r"\b(" + "|".join(_CHANGED) + r")\b"), out).otherwise(form)
+
+
 def canonical(text: Column) -> Column:
     """Canonical form of a text."""
-    out = F.regexp_replace(text, COPYRIGHT_LINE, " ")
-    out = F.trim(F.regexp_replace(F.lower(out), r"[^\p{L}\p{N}]+", " "))
-    respelt = out
-    for a, b in _CHANGED.items():
-        respelt = F.regexp_replace(respelt, rf"\b{a}\b", b)
-    return F.when(out.rlike(r"\b(" + "|".join(_CHANGED) + r")\b"), respelt).otherwise(out)
+    kept = let(text, lambda t: F.when(t.rlike(HAS_COPYRIGHT), F.regexp_replace(t, COPYRIGHT_LINE, " ")).otherwise(t))
+    return let(F.trim(F.regexp_replace(F.lower(kept), r"[^\p{L}\p{N}]+", " ")), _respelt)
 
 
 def digest(text: Column) -> Column:
-    form = canonical(F.coalesce(text, F.lit("")))
-    return F.when(form != "", F.sha2(form, 256))
+    return let(canonical(F.coalesce(text, F.lit(""))), lambda form: F.when(form != "", F.sha2(form, 256)))
 
 
 def known_digests(spark: SparkSession, known: dict[str, list[str]] = KNOWN) -> DataFrame:
-    """(digest, license), one row per digest."""
+    """(digest, license, first_word), one row per digest; the first word is that of the canonical form."""
     rows = [(name, x) for name, texts in known.items() for x in texts]
     return (spark.createDataFrame(rows, "license string, body string")
-            .select(digest(F.col("body")).alias("digest"), "license").filter("digest IS NOT NULL")
-            .groupBy("digest").agg(F.min("license").alias("license")))
+            .select(digest(F.col("body")).alias("digest"), "license",
+                    F.element_at(F.split(canonical(F.col("body")), " "), 1).alias("first_word")).filter("digest IS NOT NULL")
+            .groupBy("digest").agg(F.min("license").alias("license"), F.min("first_word").alias("first_word")))
 
 
 def scan(docs: DataFrame, known: DataFrame | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, digest, license, line_licenses, n_license_lines), one row per document.
 
     ``license`` is the licence that the whole text is, ``line_licenses`` the
-    sorted distinct licences, comma-joined, of its lines.  The known digests are written and
-    counted; more than fit a plan (100,000) are looked up by whole texts alone.
+    sorted distinct licences, comma-joined, of its lines.  Only a line whose
+    first word begins a known form, or can be respelt, needs its digest; the
+    known table is a reference list and comes to the driver as one.
     """
     spark = docs.sparkSession
     known = save(known if known is not None else known_digests(spark), "license-digests")
-    lines = F.filter(F.split(F.coalesce(F.col(text), F.lit("")), "\n"), lambda x: x != "")
-    names = F.map_from_entries(F.array(*[F.struct(F.lit(r["digest"]), F.lit(r["license"])) for r in known.collect()]))
+    listed = known.collect()
+    names = F.map_from_entries(F.array(*[F.struct(F.lit(r["digest"]), F.lit(r["license"])) for r in listed]))
+    begin = sorted({r["first_word"] for r in listed} | {k.split(" ")[0] for k in _CHANGED})
+    lines = F.filter(F.split(F.coalesce(F.col(text), F.lit("")), "\n"),
+                     lambda x: F.lower(F.regexp_extract(x, FIRST_WORD, 0)).isin(begin))
     found = F.filter(F.transform(lines, lambda x: F.element_at(names, digest(x))), lambda x: x.isNotNull())
     read = docs.select(F.col(doc_id).alias("doc_id"), digest(F.col(text)).alias("digest"), found.alias("found"))
     out = join_small(read.alias("d"), known.alias("k"), F.col("d.digest") == F.col("k.digest"))

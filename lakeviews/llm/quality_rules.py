@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeviews.llm.common import SPACES, WORD, join_small, save, table
+from lakeviews.llm.common import SPACES, WORD, join_small, let, save, table
 
 GRAM = 8
 SYMBOLS = "#*$%&|<>"
@@ -36,11 +36,6 @@ METRICS = {
 }
 
 
-def _let(value: Column, body) -> Column:
-    """``body`` of ``value``, computed once (a lambda's variable isn't computed anew for each use)."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def repeat_words(words: Column) -> Column:
     """Number of words inside any GRAM-word window that occurs twice or more among ``words``."""
 
@@ -56,14 +51,14 @@ def repeat_words(words: Column) -> Column:
 
         ordered = F.sort_array(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
         return (F.when(F.size(F.array_distinct(windows)) == F.size(windows), F.lit(0))
-                .otherwise(_let(_let(ordered, starts), covered)))
+                .otherwise(let(let(ordered, starts), covered)))
 
     def windows(hashes: Column) -> Column:
         return F.transform(F.sequence(F.lit(1), F.size(hashes) - (GRAM - 1)), lambda i: F.xxhash64(F.slice(hashes, i, GRAM)))
 
     short = F.size(words) <= GRAM
     return F.when(short, F.lit(0)).otherwise(
-        _let(F.transform(words, lambda w: F.xxhash64(w)), lambda hashes: _let(windows(hashes), repeated)))
+        let(F.transform(words, lambda w: F.xxhash64(w)), lambda hashes: let(windows(hashes), repeated)))
 
 
 def metrics(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
@@ -74,9 +69,9 @@ def metrics(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: s
                        F.col(source).cast("string").alias("source"), body.alias("body"))
     words = F.regexp_extract_all("body", F.lit(WORD), F.lit(0))
     lines = F.filter(F.split("body", "\n"), lambda x: x.rlike(WORD))
-    counted = _let(words, lambda w: F.struct(F.size(w).cast("long").alias("n_words"),
+    counted = let(words, lambda w: F.struct(F.size(w).cast("long").alias("n_words"),
                                              repeat_words(w).cast("long").alias("n_repeat_words")))
-    lined = _let(lines, lambda x: F.struct(F.size(x).cast("long").alias("n_lines"),
+    lined = let(lines, lambda x: F.struct(F.size(x).cast("long").alias("n_lines"),
                                            (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines")))
     out = read.select("doc_id", "lang", "source", counted.alias("w"), lined.alias("x"),
                       F.length(F.translate("body", SPACES, "")).cast("long").alias("word_chars"),
