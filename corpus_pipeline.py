@@ -2,14 +2,49 @@
 
 from __future__ import annotations
 
-STAGES = []
+from lakeviews.llm import decontamination, jaccard_join, mixing, quality_model, secrets
+from lakeviews.llm.common import save, table
+from lakeviews.llm.training import labelled
+
+
+def quality(spark, docs, sf_dir):
+    """Documents that the classifier, fitted on labelled documents that aren't held out, doesn't reject."""
+    net = quality_model.fit(labelled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "quality"))
+    return quality_model.accepted(docs, net)
+
+
+def near_duplicates(spark, docs, sf_dir):
+    """One document, of the least id, of each group of copies and near copies."""
+    return jaccard_join.one_of_each(docs)
+
+
+def decontaminate(spark, docs, sf_dir):
+    """Documents that hold no test item."""
+    return decontamination.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mask_secrets(spark, docs, sf_dir):
+    """All documents, with secrets in their texts replaced by a mark."""
+    return secrets.redact(docs)
+
+
+def mix_sources(spark, docs, sf_dir):
+    """The mix: documents that it takes, with the number of copies taken."""
+    return mixing.taken_documents(docs)
+
+
+STAGES = [
+    ("quality classifier", quality),
+    ("n-gram Jaccard join", near_duplicates),
+    ("benchmark decontamination", decontaminate),
+    ("secret scans", mask_secrets),
+    ("mixing sources", mix_sources),
+]
 ORACLE_SQL = None  # the model stages can't be expressed in SQL
 
 
 def run(spark, sf_dir: str):
-    from lakeviews.llm.common import save, table
-
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = save(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = save(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
     return docs

@@ -21,7 +21,7 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeviews.llm.common import hash60, join_small, n_words, save
+from lakeviews.llm.common import hash60, join_small, n_words, save, table
 
 BITS = 12  # of a level
 LEVELS = 3
@@ -120,9 +120,19 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: Fraction = S
                       (F.col("d.size") * copies).alias("taken"))
 
 
-def op1_mix(spark, sf_dir: str) -> DataFrame:
-    from lakeviews.llm.common import table
+def taken_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: Fraction = SHARE,
+                    doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """The documents that the mix takes, all columns, with ``copies``, how often each is taken (``mix_copies`` if the input has such a column)."""
+    sized = save(sizes(docs, doc_id, text, source), "mix-sizes")
+    cuts = thresholds(sized, targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share))
+    name = "copies" if "copies" not in docs.columns else "mix_copies"
+    bucket = F.shiftright(hash60(F.col(f"d.{doc_id}"), F.col(f"d.{text}")), 60 - LEVELS * BITS)
+    out = join_small(docs.alias("d"), cuts.alias("s"), F.col(f"d.{source}").cast("string").eqNullSafe(F.col("s.source")))
+    copies = F.col("s.full") + F.when(bucket < F.col("s.threshold"), 1).otherwise(0)
+    return out.select("d.*", copies.alias(name)).filter(F.col(name) > 0)
 
+
+def op1_mix(spark, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
