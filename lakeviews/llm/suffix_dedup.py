@@ -338,7 +338,7 @@ def _span_rows(rid: np.ndarray, size: np.ndarray, start: np.ndarray) -> pa.Recor
     new = np.ones(len(rid), bool)
     new[1:] = (rid[1:] != rid[:-1]) | (size[1:] != size[:-1]) | (start[1:] > start[:-1] + 1)
     begin = np.flatnonzero(new)
-    last = np.append(begin[1:], len(rid)) - 1
+    last = np.append(begin, len(rid))[1:] - 1
     return pa.RecordBatch.from_arrays([pa.array(rid[begin]), pa.array(size[begin]), pa.array(start[begin].astype(np.int32)), pa.array((start[last] + WINDOW).astype(np.int32))],
                                       ["rid", "size", "start", "end"])
 
