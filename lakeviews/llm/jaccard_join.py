@@ -109,27 +109,33 @@ def identified(docs: DataFrame, signed: bool, doc_id: str = "doc_id", text: str
 def _places(reps: DataFrame) -> DataFrame:
     """(set_id, place, blocks): where classes meet, places of two or more with different members."""
     start = F.explode(F.array(*[F.struct(F.lit(r).alias("run"), F.xxhash64(F.lit(r), F.element_at("signature", r + 1)).alias("node")) for r in range(runs())]))
-    nodes = reps.select("set_id", "signature", start.alias("s")).select("set_id", "signature", "s.run", "s.node")
+    nodes = reps.select("set_id", start.alias("s")).select("set_id", "s.run", "s.node")
+    # The coordinates a node is split on follow from the node alone, so that all its members use the same.
+    children = F.array(*[F.xxhash64("node", F.lit(k), F.element_at("signature", (F.pmod(F.xxhash64("node", F.lit(k)), F.lit(SPLITS)) + runs() + 1).cast("int")))
+                         for k in range(BRANCH)])
     found = []
     for depth in range(1, DEPTH + 1):
-        # The coordinates a node is split on follow from the node alone, so that all its members use the same.
-        child = [F.element_at("signature", (F.pmod(F.xxhash64("node", F.lit(k)), F.lit(SPLITS)) + runs() + 1).cast("int")) for k in range(BRANCH)]
-        nodes = save(nodes.withColumn("children", F.array(*[F.xxhash64("node", F.lit(k), c) for k, c in enumerate(child)])), f"jaccard-nodes{depth}")
+        nodes = save(nodes, f"jaccard-nodes{depth}")
         mark = F.xxhash64("set_id")
         sizes = save(nodes.groupBy("run", "node").agg(F.count(F.lit(1)).alias("n"), F.sum(F.shiftright(mark, 20)).alias("members"), F.bit_xor(mark).alias("mixed"))
                      .filter("n > 1"), f"jaccard-sizes{depth}")
         small = sizes.filter(F.col("n") <= LEAF).groupBy("n", "members", "mixed").agg(F.min(F.struct("run", "node")).alias("at")).select("at.run", "at.node", F.lit(1).alias("blocks"))
         large = sizes.filter(F.col("n") > LEAF)
+        blocks = F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")
         if large.isEmpty():
             chosen, split = small, None
         elif depth == DEPTH:
-            chosen, split = small.unionByName(large.select("run", "node", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))), None
+            chosen, split = small.unionByName(large.select("run", "node", blocks)), None
         else:
-            kin = (nodes.join(large.select("run", "node", "n"), ["run", "node"]).select("run", "node", "n", F.element_at("children", 1).alias("child"))
-                   .groupBy("run", "node", "n", "child").count().groupBy("run", "node", "n").agg(F.max("count").alias("most")))
-            kin = save(kin.withColumn("dense", F.col("most") * 2 > F.col("n")), f"jaccard-large{depth}")
-            chosen = small.unionByName(kin.filter("dense").select("run", "node", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
-            split = nodes.join(kin.filter("NOT dense").select("run", "node"), ["run", "node"]).select("set_id", "signature", "run", F.explode("children").alias("node"))
+            # Only members of large nodes are joined with their signatures.
+            inside = save(nodes.join(large.select("run", "node", "n"), ["run", "node"]).join(reps.select("set_id", "signature"), "set_id")
+                          .select("set_id", "run", "node", "n", children.alias("children")), f"jaccard-split{depth}")
+            kin = (inside.groupBy("run", "node", "n", F.element_at("children", 1)).count()
+                   .groupBy("run", "node", "n").agg((F.max("count") * 2 > F.col("n")).alias("dense")))
+            kin = save(kin, f"jaccard-large{depth}")
+            chosen = small.unionByName(kin.filter("dense").select("run", "node", blocks))
+            split = (inside.join(kin.filter("NOT dense").select("run", "node"), ["run", "node"], "left_semi")
+                     .select("set_id", "run", F.explode("children").alias("node")))
         # Places are ordered by run first.
         place = F.shiftleft(F.col("run").cast("long"), 56).bitwiseOR(F.shiftrightunsigned("node", 8))
         found.append(nodes.select("set_id", "run", "node").join(chosen, ["run", "node"]).select("set_id", place.alias("place"), "blocks"))
