@@ -8,7 +8,6 @@ temporary folder when the setting exists.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -24,8 +23,7 @@ _DEFAULT_CONF = {
     # Broadcast joins are chosen only from *measured* sizes: the planner's
     # file-size estimate of a compressed table can be far below its size in
     # memory, so estimate-based broadcasting is off and AQE broadcasts a side
-    # once its shuffle output is known to be under the threshold.  Explicit
-    # hints are used only for tables of fixed size (region, nation).
+    # once its shuffle output is known to be under the threshold.
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.ansi.enabled": "true",
@@ -134,6 +132,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="lakeviews-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -142,8 +142,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, never-reused folder under the shared checkpoint location."""
-    root = ensure_checkpoint_dir(spark)
-    if "://" not in root:
-        os.makedirs(root, exist_ok=True)
-    return f"{root.rstrip('/')}/lakeviews/{name}-{uuid.uuid4().hex}"
+    """A fresh, never-reused folder under the application's part of the shared checkpoint location."""
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/lakeviews/{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete everything this application wrote with ``scratch_path``; results still to be read must be written first."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -7,59 +7,34 @@ the parquet scan, so a table handle costs nothing until a plan uses it.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 TABLE_NAMES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 )
 
-# Tables whose size is fixed by the TPC-H specification at every scale factor
-# (5 regions, 25 nations); only these (and their join) are hinted for broadcast.
-FIXED_SIZE_TABLES = {"region": 5, "nation": 25}
-
-# The hint is still given only behind a size check: once per session and
-# table, at most BROADCAST_MAX_ROWS + 1 rows are read and counted.  A table
-# over the bound is joined without a hint, so Spark plans a sort-merge join
-# and AQE may still broadcast it if its *measured* size is under the threshold.
-BROADCAST_MAX_ROWS = 10_000
-_WITHIN_BOUND: dict[tuple, bool] = {}
-
-
-def within_rows(df: DataFrame, key: tuple, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most ``max_rows + 1``; cached by ``key``)."""
-    if key not in _WITHIN_BOUND:
-        _WITHIN_BOUND[key] = df.limit(max_rows + 1).count() <= max_rows
-    return _WITHIN_BOUND[key]
-
-
-# One relation per (session, file): opening a parquet table infers its schema
-# with a small Spark job, so a table is opened once per session and its
-# handle (a plan, not data) is shared by every query that reads it.
-_OPENED: dict[tuple[int, str], DataFrame] = {}
-
-
-def open_parquet(spark: SparkSession, path: str) -> DataFrame:
-    key = (id(spark._jsparkSession), path)
-    if key not in _OPENED:
-        _OPENED[key] = spark.read.parquet(path)
-    return _OPENED[key]
-
 
 class DriverTables:
-    """Lazy handles on ``{sf_dir}/{name}.parquet``."""
+    """Lazy handles on ``{sf_dir}/{name}.parquet``; a table is opened once per instance."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._opened: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return open_parquet(self.spark, f"{self.sf_dir}/{name}.parquet")
-
-    def bounded(self, name: str, df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-        """``df`` with a broadcast hint if it has at most ``max_rows`` rows, else unchanged."""
-        key = (id(self.spark._jsparkSession), self.sf_dir, name, max_rows)
-        return F.broadcast(df) if within_rows(df, key, max_rows) else df
+        if name not in self._opened:
+            self._opened[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._opened[name]
+
+    def version(self, names: tuple[str, ...]) -> tuple:
+        """Size and time of change of every file of the tables."""
+        hadoop, found = self.spark._jvm.org.apache.hadoop.fs, []
+        for name in names:
+            where = hadoop.Path(f"{self.sf_dir}/{name}.parquet")
+            fs = where.getFileSystem(self.spark._jsc.hadoopConfiguration())
+            found += [(s.getPath().toString(), s.getLen(), s.getModificationTime()) for s in fs.listStatus(where)]
+        return tuple(found)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLE_NAMES:
