@@ -18,8 +18,14 @@ SEQ = "_input_seq"
 
 
 def with_input_order(df: DataFrame) -> DataFrame:
-    """Attach the input position of every row of a file scan (call before any shuffle)."""
+    """Attach the input position of every row of a file scan (call before any shuffle).
+
+    Files written by Spark are ordered by their part number, not by its text:
+    ``part-100000`` comes after ``part-99999``.
+    """
+    part = F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).try_cast("long")
     return df.withColumn(SEQ, F.struct(
+        part.alias("part"),
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("pos")))

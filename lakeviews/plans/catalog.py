@@ -15,6 +15,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeviews.sources.lake import point_to, pointed_to
+
 CATALOG_KEYS = ["domain", "dataset_name"]
 CATALOG_SCHEMA = ("domain string, dataset_name string, schema_json string, partition_keys string, "
                   "row_count bigint, last_updated timestamp")
@@ -63,14 +65,11 @@ def save_catalog(catalog: DataFrame, root: str) -> str:
     spark = catalog.sparkSession
     path = f"{root.rstrip('/')}/catalog/v={uuid.uuid4().hex}"
     catalog.write.parquet(path)
-    spark.createDataFrame([(path,)], "value string").coalesce(1).write.mode("overwrite") \
-        .text(f"{root.rstrip('/')}/catalog/_CURRENT")
+    point_to(spark, f"{root.rstrip('/')}/catalog", path)
     return path
 
 
 def load_catalog(spark: SparkSession, root: str) -> DataFrame:
-    try:
-        path = spark.read.text(f"{root.rstrip('/')}/catalog/_CURRENT").first()[0]
-    except Exception:  # noqa: BLE001 - no catalogue written yet
-        return empty_catalog(spark)
-    return spark.read.parquet(path)
+    """The newest saved catalogue, empty if none was ever saved; a failing read raises."""
+    path = pointed_to(spark, f"{root.rstrip('/')}/catalog")
+    return empty_catalog(spark) if path is None else spark.read.schema(CATALOG_SCHEMA).parquet(path)

@@ -5,7 +5,7 @@ Layout under a lake root (any Hadoop-compatible URI):
   raw/<domain>/<dataset>/dt=YYYY-MM-DD/part-*.csv   landed text, header row
   curated/<domain>/<dataset>/                       cleaned parquet
   star/v=<version>/<table>/                         warehouse tables, one folder per load
-  star/_CURRENT/                                    one-line text naming the live version
+  star/_CURRENT/                                    log of live versions, the last one counts
 
 Re-landing a day overwrites only that day's partition (dynamic partition
 overwrite).  The newest landing is found from the file listing (no data is
@@ -16,11 +16,10 @@ half-written or empty warehouse, and nothing is overwritten while read.
 
 from __future__ import annotations
 
-import re
 import uuid
+import time
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
@@ -28,7 +27,34 @@ from pyspark.sql.types import DoubleType, FloatType
 from lakeviews.contracts import NULL_TOKENS, Contract
 from lakeviews.operators.dedupe import with_input_order
 
-_DT = re.compile(r"/dt=([^/]+)/")
+def folders(spark: SparkSession, path: str) -> list[str] | None:
+    """Names directly below ``path``; None if there is no such folder.  Any other failure raises."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(where):
+        return None
+    return [entry.getPath().getName() for entry in fs.listStatus(where)]
+
+
+def point_to(spark: SparkSession, root: str, path: str) -> None:
+    """Make ``path`` the current version under ``root``: one line more in a log that is only appended to."""
+    line = f"{time.time_ns():020d}\t{path}"
+    spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("append").text(f"{root}/_CURRENT")
+
+
+def pointed_to(spark: SparkSession, root: str) -> str | None:
+    """The current version under ``root``; None if none was ever written."""
+    if folders(spark, f"{root}/_CURRENT") is None:
+        return None
+    line = spark.read.text(f"{root}/_CURRENT").agg(F.max("value")).first()[0]
+    if line is None:
+        raise ValueError(f"{root}/_CURRENT names no version")
+    return line.split("\t", 1)[1]
+
+
+# Fields may hold quoted line breaks and doubled quotes, so a file is read by one
+# task; landing writes as many files as tasks.
+CSV = {"header": True, "multiLine": True, "escape": '"'}
 
 
 def raw_path(root: str, domain: str, dataset: str) -> str:
@@ -44,19 +70,14 @@ def land_raw(df: DataFrame, root: str, domain: str, dataset: str, ingest_date: s
     path = raw_path(root, domain, dataset)
     (df.withColumn("dt", F.lit(ingest_date))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .option("header", True).partitionBy("dt").csv(path))
+     .options(**CSV).partitionBy("dt").csv(path))
     return path
 
 
 def latest_partition(spark: SparkSession, root: str, domain: str, dataset: str, contract: Contract) -> str | None:
-    """Newest ``dt`` value (lexicographic max) from the file listing; None when nothing landed."""
-    path = raw_path(root, domain, dataset)
-    try:
-        files = spark.read.schema(contract.raw_schema()).option("header", True).csv(path).inputFiles()
-    except AnalysisException:  # nothing landed for this dataset
-        return None
-    keys = [m.group(1) for f in files if (m := _DT.search(f))]
-    return max(keys) if keys else None
+    """Newest ``dt`` value (lexicographic max) from the names of the day folders; None when nothing landed."""
+    names = folders(spark, raw_path(root, domain, dataset)) or []
+    return max((n[3:] for n in names if n.startswith("dt=")), default=None)
 
 
 def scan_raw_csv(spark: SparkSession, root: str, contract: Contract, keep_input_order: bool = True) -> DataFrame | None:
@@ -69,23 +90,21 @@ def scan_raw_csv(spark: SparkSession, root: str, contract: Contract, keep_input_
     if latest is None:
         return None
     path = raw_path(root, contract.domain, contract.name)
-    schema = contract.raw_schema().add("dt", "string")
-    df = (spark.read.schema(schema).option("header", True).option("basePath", path).csv(path)
-          .where(F.col("dt") == F.lit(latest)))
+    df = spark.read.schema(contract.raw_schema()).options(**CSV).csv(f"{path}/dt={latest}")
     if keep_input_order:
         df = with_input_order(df)
     cols = [F.when(~F.col(c).isin(*NULL_TOKENS), F.col(c)).alias(c) for c in contract.columns]
-    extra = [c for c in df.columns if c not in contract.columns and c != "dt"]
+    extra = [c for c in df.columns if c not in contract.columns]
     return df.select(*cols, *extra)
 
 
 def raw_file_inventory(spark: SparkSession, root: str) -> DataFrame:
     """One row per landed file: path, size in bytes, data rows."""
-    raw = f"{root.rstrip('/')}/raw/*/*/*/*.csv"
-    df = spark.read.option("header", True).text(raw)
-    return (df.select(F.col("_metadata.file_path").alias("file_path"),
-                      F.col("_metadata.file_size").alias("file_size"))
-            .groupBy("file_path", "file_size").agg((F.count(F.lit(1)) - 1).alias("data_rows")))
+    files = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/raw/*/*/*/*.csv").select(
+        F.col("path").alias("file_path"), F.col("length").alias("file_size"))
+    rows = spark.read.schema("first_column string").options(**CSV).csv(f"{root.rstrip('/')}/raw/*/*/*/*.csv")
+    counted = rows.groupBy(F.col("_metadata.file_path").alias("file_path")).agg(F.count(F.lit(1)).alias("data_rows"))
+    return files.join(counted, "file_path", "left").select("file_path", "file_size", F.coalesce("data_rows", F.lit(0)).alias("data_rows"))
 
 
 def write_curated(df: DataFrame, root: str, domain: str, dataset: str) -> str:
@@ -126,13 +145,15 @@ def load_star_tables(spark: SparkSession, star: dict[str, DataFrame], root: str,
     tables = [t for t in order if t in star]
     with ThreadPoolExecutor(max_workers=max(1, concurrent_jobs)) as pool:
         list(pool.map(write, tables))
-    spark.createDataFrame([(base,)], "value string").coalesce(1).write.mode("overwrite") \
-        .text(f"{root.rstrip('/')}/star/_CURRENT")
+    point_to(spark, f"{root.rstrip('/')}/star", base)
     return base
 
 
 def current_star(spark: SparkSession, root: str) -> str:
-    return spark.read.text(f"{root.rstrip('/')}/star/_CURRENT").first()[0]
+    base = pointed_to(spark, f"{root.rstrip('/')}/star")
+    if base is None:
+        raise ValueError(f"no star schema was loaded under {root}")
+    return base
 
 
 def read_star(spark: SparkSession, root: str, tables) -> dict[str, DataFrame]:
@@ -141,9 +162,9 @@ def read_star(spark: SparkSession, root: str, tables) -> dict[str, DataFrame]:
 
 
 def export_flat_csv(df: DataFrame, path: str, order_by: list[str] | None = None) -> str:
-    """One header-first CSV file in the given order (``coalesce(1)`` only here: exports are views)."""
+    """CSV with a header, in the given order: numbered files that each hold a range of it (one file when small)."""
     out = df.orderBy(*order_by) if order_by else df
-    out.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    out.write.mode("overwrite").options(**CSV).csv(path)
     return path
 
 

@@ -39,3 +39,24 @@ def test_save_and_load(spark):
     CAT.save_catalog(cat, root)
     assert CAT.load_catalog(spark, root).count() == 1
     assert CAT.load_catalog(spark, scratch_path(spark, "empty")).count() == 0
+
+
+def test_a_failing_read_raises(spark):
+    """Only a catalogue that was never written is empty: a lost version or an empty pointer is an error."""
+    import os
+
+    import pytest
+
+    root = scratch_path(spark, "catalog-test")
+    first = CAT.upsert(CAT.empty_catalog(spark), _profile(spark, "sales", "orders", 3, dt.datetime(2024, 1, 1)))
+    path = CAT.save_catalog(first, root)
+    second = CAT.upsert(CAT.load_catalog(spark, root), _profile(spark, "hr", "employees", 4, dt.datetime(2024, 1, 2)))
+    newest = CAT.save_catalog(second, root)
+    assert newest != path and CAT.load_catalog(spark, root).count() == 2
+    os.rename(newest, newest + "-gone")
+    with pytest.raises(Exception):
+        CAT.load_catalog(spark, root).count()
+    empty = scratch_path(spark, "catalog-test")
+    spark.createDataFrame([], "value string").write.text(f"{empty}/catalog/_CURRENT")
+    with pytest.raises(ValueError):
+        CAT.load_catalog(spark, empty)

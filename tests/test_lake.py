@@ -64,7 +64,7 @@ def test_raw_scan_prunes_to_newest_partition(spark):
     L.land_raw(df, root, "test", "things", "2024-01-02")
     scan = L.scan_raw_csv(spark, root, C, keep_input_order=False)
     plan = _plan(scan)
-    assert "PartitionFilters: [isnotnull(dt" in plan and "2024-01-02" in plan
+    assert "dt=2024-01-02" in plan and "dt=2024-01-01" not in plan
     assert scan.count() == 1
 
 
@@ -118,3 +118,34 @@ def test_partitioned_fact_is_written_without_small_files(spark, small_dir):
     files = glob.glob(f"{local}/fact_finance_gl/month_start=*/*.parquet")
     assert months and len(files) == len(months)
     assert spark.read.parquet(f"{base}/fact_finance_gl").count() == gl.count()
+
+
+def test_part_numbers_above_five_digits_keep_their_order(spark):
+    """Two landed files named as Spark would name them: the row of part 100000 is the last."""
+    import os
+
+    root = scratch_path(spark, "lake-test")
+    day = L.raw_path(root, "test", "things").replace("file:", "") + "/dt=2024-01-01"
+    os.makedirs(day)
+    for part, note in (("99999", "first"), ("100000", "last")):
+        with open(f"{day}/part-{part}-x-c000.csv", "w") as f:
+            f.write(f"id,qty,note\na,1,{note}\n")
+    out = dedupe_keep_last(coerce_types(L.scan_raw_csv(spark, root, C), C), C.primary_key, F.col(SEQ)).collect()
+    assert [(r.id, r.note) for r in out] == [("a", "last")]
+
+
+def test_quoted_line_breaks_and_quotes_survive(spark):
+    root = scratch_path(spark, "lake-test")
+    rows = [("a", "1", "one\ntwo"), ("b", "2", 'say "hi", he said'), ("c", "3", "back\\slash")]
+    L.land_raw(spark.createDataFrame(rows, "id string, qty string, note string"), root, "test", "things", "2024-01-01")
+    got = L.scan_raw_csv(spark, root, C, keep_input_order=False).orderBy("id").collect()
+    assert [tuple(r) for r in got] == rows
+    assert L.raw_file_inventory(spark, root).agg(F.sum("data_rows")).first()[0] == 3
+
+
+def test_only_a_missing_folder_counts_as_absent(spark):
+    import pytest
+
+    assert L.folders(spark, scratch_path(spark, "absent")) is None
+    with pytest.raises(Exception):
+        L.latest_partition(spark, "no-such-scheme://host/lake", "test", "things", C)
