@@ -2,11 +2,11 @@
 
 Every rule turns a bad value into NULL instead of failing the job:
 
-  date    ``try_cast(date)`` after trimming; accepts 2024-1-5 and date-times
-          (time part dropped)
-  int     integral text -> BIGINT; "10.0" -> 10; "1.5" -> NULL (not integral)
+  date    the whole text must be year-month-day, as 2024-1-5, with or without a
+          time of day (dropped); anything after it -> NULL
+  int     integral text -> BIGINT, every digit kept; "10.0" -> 10; "1.5" -> NULL
   float   decimal / scientific text -> DOUBLE; Java suffixes such as "1.0d",
-          words such as "NaN" -> NULL
+          words such as "NaN" or "inf" and numbers beyond DOUBLE -> NULL
   bool    lower-cased value in {true, 1, yes}; anything else, NULL included,
           -> false
   string  unchanged (values are read as text, so leading zeros survive)
@@ -22,22 +22,26 @@ from lakeviews.contracts import Contract
 # Plain decimal or scientific notation, optional sign, surrounding blanks allowed.
 NUMBER_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
+DATE_PATTERN = (r"^\s*\d{4}-\d{1,2}-\d{1,2}"
+                r"([T ]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d+)?)?\s*(Z|[+-]\d{1,2}:?\d{2})?)?\s*$")
+
 # --- Fixed values: text accepted as true ---
 TRUE_WORDS = ["true", "1", "yes"]
 
 
 def coerce_date(c: Column) -> Column:
-    return F.trim(c).try_cast("date")
+    return F.when(c.rlike(DATE_PATTERN), F.trim(c).try_cast("date"))
 
 
 def coerce_float(c: Column) -> Column:
     d = F.when(c.rlike(NUMBER_PATTERN), F.trim(c).try_cast("double"))
-    return F.when(~F.isnan(d), d)
+    return F.when(F.abs(d) < F.lit(float("inf")), d)
 
 
 def coerce_int(c: Column) -> Column:
-    d = coerce_float(c)
-    whole = F.when(d == F.floor(d), d.try_cast("long"))
+    # 20 digits before the point hold every BIGINT; the text is never read as a double.
+    exact = F.when(c.rlike(NUMBER_PATTERN), F.trim(c).try_cast("decimal(38,18)"))
+    whole = F.when(exact == F.floor(exact), exact.try_cast("long"))
     return F.coalesce(F.trim(c).try_cast("long"), whole)
 
 
@@ -62,33 +66,7 @@ def coerce_column(c: Column, logical_type: str) -> Column:
     return COERCERS[logical_type](c)
 
 
-def coerce_sql(name: str, kind: str) -> str:
-    """The same rules as the column builders above, as one SQL expression."""
-    c = f"`{name}`"
-    pattern = NUMBER_PATTERN.replace("\\", "\\\\")
-    number = f"CASE WHEN {c} RLIKE '{pattern}' THEN try_cast(trim({c}) AS DOUBLE) END"
-    as_float = f"CASE WHEN isnan({number}) THEN NULL ELSE {number} END"
-    if kind == "date":
-        return f"try_cast(trim({c}) AS DATE)"
-    if kind == "float":
-        return as_float
-    if kind == "int":
-        # Text matching the number pattern is never NaN, so the pattern guard suffices.
-        return (f"coalesce(try_cast(trim({c}) AS BIGINT), "
-                f"CASE WHEN {number} = floor({number}) THEN try_cast({number} AS BIGINT) END)")
-    if kind == "bool":
-        words = ", ".join(f"'{w}'" for w in TRUE_WORDS)
-        return f"coalesce(lower({c}) IN ({words}), false)"
-    return f"CAST({c} AS STRING)"
-
-
 def coerce_types(df: DataFrame, contract: Contract) -> DataFrame:
-    """Apply the contract to every declared column present; keep undeclared ones as they are.
-
-    Built as one ``selectExpr`` (one SQL expression per column).
-    """
-    exprs = []
-    for name in df.columns:
-        kind = contract.columns.get(name)
-        exprs.append(f"{coerce_sql(name, kind)} AS `{name}`" if kind else f"`{name}`")
-    return df.selectExpr(*exprs)
+    """Apply the contract to every declared column present; keep undeclared ones as they are."""
+    return df.select(*[coerce_column(F.col(f"`{c}`"), contract.columns[c]).alias(c) if c in contract.columns else F.col(f"`{c}`")
+                       for c in df.columns])

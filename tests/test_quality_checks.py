@@ -173,3 +173,28 @@ def test_enforce_raises_on_duplicate_primary_key(spark):
 def test_report_maps_serialise(spark):
     r = _report(spark, [("a", "x")])
     assert json.loads(json.dumps(r.null_violations)) == {"id": 0, "name": 0}
+
+
+def test_coercion_reads_whole_texts_exactly(spark):
+    from lakeviews.functions import coerce as CO
+
+    dates = ["2024-01-05", "2024-1-5", " 2024-01-05T10:20:30Z ", "2024-01-05 10:20", "2024-01-05 garbage", "2024-01-05Tzzz", "2024-13-01", "20240105"]
+    got = [r.d is not None for r in spark.createDataFrame([(d,) for d in dates], "t string").select(CO.coerce_date(F.col("t")).alias("d")).collect()]
+    assert got == [True] * 4 + [False] * 4
+    ints = ["9007199254740993.0", "9007199254740993", "9223372036854775807.000", "9223372036854775808", "1e3", "1.5", "1e400"]
+    got = [r.i for r in spark.createDataFrame([(d,) for d in ints], "t string").select(CO.coerce_int(F.col("t")).alias("i")).collect()]
+    assert got == [9007199254740993, 9007199254740993, 9223372036854775807, None, 1000, None, None]
+    floats = ["1e400", "inf", "NaN", "-2.5e-3", "1.0d"]
+    got = [r.x for r in spark.createDataFrame([(d,) for d in floats], "t string").select(CO.coerce_float(F.col("t")).alias("x")).collect()]
+    assert got == [None, None, None, -0.0025, None]
+
+
+def test_enforce_names_every_violation(spark):
+    import pytest
+
+    from lakeviews.operators import quality as QC
+
+    rows = [("t", "fk", f"c{i}", "p", i + 1) for i in range(9)]
+    with pytest.raises(QC.ConstraintViolation) as e:
+        QC.enforce(spark.createDataFrame(rows, QC.METRIC_SCHEMA))
+    assert all(f"t.c{i} fk={i + 1}" in str(e.value) for i in range(9))
