@@ -9,9 +9,8 @@ flow.
 Sub-packages:
   sources    scans and sinks (driver tables, raw CSV zone, curated parquet)
   functions  column-expression builders (coercion, rounding, text helpers)
-  operators  table-level operators (dedupe, quality checks, upsert, joins)
-  plans      star schema, views, named queries, text jobs, the full job
-  streaming  incremental landing of the raw zone (file source, availableNow)
+  operators  table-level operators (dedupe, quality checks)
+  plans      star schema, views, joins, named queries, text jobs, catalogue, the full job
 """
 
 from lakeviews.session import build_session, scratch_path

@@ -211,28 +211,14 @@ STAR_LOAD_ORDER = [
     "fact_inventory_movement", "fact_marketing_spend", "fact_marketing_leads",
 ]
 
-# --- Fixed values: the registry of cross-domain views (description, keywords, columns) ---
+# --- Fixed values: the registry of cross-domain views and their routing keywords ---
 VIEW_REGISTRY = [
     ("vw_revenue_vs_hr_cost",
-     "Revenue, COGS, and gross margin vs HR cost, by department and month.",
-     ["hr cost", "headcount cost", "revenue", "margin", "department", "salary", "benefits"],
-     ["department", "month_start", "hr_cost", "gl_revenue", "cogs", "gross_margin"]),
-    ("vw_revenue_vs_hr_cost_by_region",
-     "Same as vw_revenue_vs_hr_cost but broken out by region as well as department.",
-     ["hr cost", "region", "revenue", "margin", "department"],
-     ["department", "region_code", "month_start", "hr_cost", "gl_revenue", "cogs", "gross_margin"]),
-    ("vw_marketing_spend_vs_sales",
-     "Marketing spend vs sales revenue and order count, by region and month.",
-     ["marketing", "spend", "campaign", "sales lift", "region", "channel"],
-     ["region_code", "month_start", "marketing_spend", "sales_revenue", "order_count"]),
-    ("vw_inventory_turns_vs_sales",
-     "Inventory turnover ratio (outbound qty / on-hand qty) vs sales velocity, by SKU/region/month.",
-     ["inventory", "turns", "turnover", "stock", "warehouse", "sku", "velocity"],
-     ["sku", "region_code", "month_start", "quantity_on_hand", "outbound_qty", "turnover_ratio"]),
-    ("vw_department_pnl",
-     "Department-level P&L: revenue, opex, budget, and HR cost by department/month.",
-     ["pnl", "p&l", "budget", "opex", "department", "profit", "loss"],
-     ["department", "month_start", "revenue", "total_opex", "budget_amount", "hr_cost"]),
+     ["hr cost", "headcount cost", "revenue", "margin", "department", "salary", "benefits"]),
+    ("vw_revenue_vs_hr_cost_by_region", ["hr cost", "region", "revenue", "margin", "department"]),
+    ("vw_marketing_spend_vs_sales", ["marketing", "spend", "campaign", "sales lift", "region", "channel"]),
+    ("vw_inventory_turns_vs_sales", ["inventory", "turns", "turnover", "stock", "warehouse", "sku", "velocity"]),
+    ("vw_department_pnl", ["pnl", "p&l", "budget", "opex", "department", "profit", "loss"]),
 ]
 
 DEFAULT_VIEW = "vw_revenue_vs_hr_cost"

@@ -5,8 +5,11 @@ what was written, so lineage is cut at every stage boundary (a lost
 executor only recomputes the current stage) and a re-run starts from
 written data.  Parents are cleaned before children; a child's foreign keys
 are checked against the parents' *curated* files.  Failing checks warn (the
-report says so) but do not stop the run, as in the reference pipeline;
-constraint violations of the star schema do stop it when ``strict``.
+report says so) but do not stop the run.  A violated constraint of the star
+schema (primary key, foreign key, NOT NULL, VARCHAR length) stops it before
+the load, so the live version stays as it was; ``strict=False`` only skips that.
+Orphans in the curated data that no constraint of the star forbids are loaded
+and reported.
 """
 
 from __future__ import annotations
@@ -14,10 +17,10 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from lakeviews.contracts import CONTRACTS, STAR_LOAD_ORDER, STAR_TABLES, TRANSFORM_ORDER
+from lakeviews.contracts import CONTRACTS, STAR_LOAD_ORDER, TRANSFORM_ORDER
 from lakeviews.functions.coerce import coerce_types
 from lakeviews.operators import quality as QC
 from lakeviews.operators.dedupe import SEQ, dedupe_keep_last
@@ -70,15 +73,16 @@ def land_all(raw_inputs: dict[str, DataFrame], lake_root: str, ingest_date: str)
 
 
 def _curate(spark: SparkSession, lake_root: str, name: str):
-    """Scan the newest landing, coerce, keep the last row per key, write curated parquet."""
+    """Scan the newest landing, coerce, keep the last row per key, write curated parquet; returns the rows scanned."""
     contract = CONTRACTS[name]
     raw = L.scan_raw_csv(spark, lake_root, contract)
     if raw is None:  # absent dataset: skip, not an error
         return None
-    typed = coerce_types(raw, contract)
+    seen = Observation()
+    typed = coerce_types(raw.observe(seen, F.count(F.lit(1)).alias("rows")), contract)
     cleaned = dedupe_keep_last(typed, contract.primary_key, F.col(SEQ)).drop(SEQ)
     L.write_curated(cleaned, lake_root, contract.domain, contract.name)
-    return raw
+    return seen.get["rows"]
 
 
 def clean_all(spark: SparkSession, lake_root: str, updated_at=None):
@@ -87,12 +91,11 @@ def clean_all(spark: SparkSession, lake_root: str, updated_at=None):
     Returns (metrics per dataset, catalogue rows, curated frames).  The checks
     read the curated files, so they run after all writes have finished.
     """
-    raws = dict(zip(TRANSFORM_ORDER, _in_parallel(lambda n: _curate(spark, lake_root, n), TRANSFORM_ORDER)))
+    scanned = dict(zip(TRANSFORM_ORDER, _in_parallel(lambda n: _curate(spark, lake_root, n), TRANSFORM_ORDER)))
     curated: dict[str, DataFrame] = {}
     metrics, profiles = [], []
     for name in TRANSFORM_ORDER:
-        raw = raws[name]
-        if raw is None:
+        if scanned[name] is None:
             continue
         contract = CONTRACTS[name]
         cur = L.scan_curated_parquet(spark, lake_root, contract.domain, contract.name)
@@ -100,17 +103,14 @@ def clean_all(spark: SparkSession, lake_root: str, updated_at=None):
         # Parents are the datasets curated before this one (parent-first order).
         m = QC.run_quality_checks(cur, contract, curated)
         # Rows removed by de-duplication stay visible next to the post-dedupe checks.
-        before = raw.agg(F.count(F.lit(1)).alias("v")).select(
-            F.lit(name).alias("dataset"), F.lit("rows_before_dedupe").alias("check"),
-            F.lit(None).cast("string").alias("column"), F.lit(None).cast("string").alias("parent"),
-            F.col("v").cast("long").alias("value"))
+        before = spark.createDataFrame([(name, "rows_before_dedupe", None, None, scanned[name])], QC.METRIC_SCHEMA)
         metrics.append(m.unionByName(before))
         profiles.append(CAT.profile_dataset(cur, contract.domain, contract.name, [], updated_at))
     return metrics, profiles, curated
 
 
 def job_full_refresh(spark: SparkSession, raw_inputs: dict[str, DataFrame], lake_root: str,
-                     ingest_date: str, export_root: str | None = None, strict: bool = False,
+                     ingest_date: str, export_root: str | None = None, strict: bool = True,
                      updated_at=None) -> RefreshResult:
     land_all(raw_inputs, lake_root, ingest_date)
     metrics, profiles, curated = clean_all(spark, lake_root, updated_at)
@@ -128,18 +128,17 @@ def job_full_refresh(spark: SparkSession, raw_inputs: dict[str, DataFrame], lake
         .write.mode("overwrite").parquet(reports_path)
     reports = spark.read.parquet(reports_path)
 
-    catalog = CAT.load_catalog(spark, lake_root)
-    for p in profiles:
-        catalog = CAT.upsert(catalog, p)
-    CAT.save_catalog(catalog, lake_root)
+    rows = profiles[0]
+    for p in profiles[1:]:
+        rows = rows.unionByName(p)
+    CAT.save_catalog(CAT.upsert(CAT.load_catalog(spark, lake_root), rows), lake_root)
     catalog = CAT.load_catalog(spark, lake_root)
 
     departments = (S.dim_department_from(curated["hr.headcount_costs"])
                    if "hr.headcount_costs" in curated else None)
     star = S.build_star(spark, curated, departments)
     if strict:
-        for t, df in star.items():
-            QC.enforce(QC.primary_key_violations(df, t, STAR_TABLES[t].primary_key))
+        QC.enforce(S.violations(star))
     star_path = L.load_star_tables(spark, star, lake_root, STAR_LOAD_ORDER, CONCURRENT_JOBS)
     loaded = L.read_star(spark, lake_root, [t for t in STAR_LOAD_ORDER if t in star])
 

@@ -87,7 +87,7 @@ def q_hr_summary(revenue_vs_hr: DataFrame) -> DataFrame:
               F.round(F.sum("gross_margin"), 2).cast("double").alias("total_gross_margin")))
     rev = F.col("total_revenue")
     pct = F.when(rev.isNotNull() & (rev != 0), F.col("total_hr_cost") / rev * 100).otherwise(F.lit(0.0))
-    return s.withColumn("hr_cost_pct_of_revenue", pct)
+    return s.withColumn("hr_cost_pct_of_revenue", pct).orderBy(F.col("total_hr_cost").desc(), "department")
 
 
 def q_marketing_summary(marketing: DataFrame) -> DataFrame:
@@ -96,7 +96,7 @@ def q_marketing_summary(marketing: DataFrame) -> DataFrame:
               F.round(F.sum("sales_revenue"), 2).cast("double").alias("total_revenue")))
     spend = F.col("total_spend")
     ratio = F.when(spend.isNotNull() & (spend != 0), F.col("total_revenue") / spend).otherwise(F.lit(0.0))
-    return s.withColumn("revenue_to_spend", ratio)
+    return s.withColumn("revenue_to_spend", ratio).orderBy(F.col("total_spend").desc(), "region_code")
 
 
 def q_inventory_summary(inventory: DataFrame) -> DataFrame:
@@ -104,7 +104,8 @@ def q_inventory_summary(inventory: DataFrame) -> DataFrame:
     t = F.round(F.col("turnover_ratio") * 1000).cast("long")
     return (inventory.groupBy("sku")
             .agg(avg_thousandths_round3(t).alias("avg_turnover_ratio"),
-                 F.sum("outbound_qty").cast("long").alias("total_outbound_qty")))
+                 F.sum("outbound_qty").cast("long").alias("total_outbound_qty"))
+            .orderBy(F.col("avg_turnover_ratio").desc_nulls_last(), "sku"))
 
 
 def q_pnl_summary(pnl: DataFrame) -> DataFrame:
@@ -114,14 +115,16 @@ def q_pnl_summary(pnl: DataFrame) -> DataFrame:
               F.round(F.sum("budget_amount"), 2).cast("double").alias("total_budget"),
               F.round(F.sum("hr_cost"), 2).cast("double").alias("total_hr_cost")))
     # Subtraction propagates NULL: no budget -> no variance.
-    return s.withColumn("opex_budget_variance", F.col("total_opex") - F.col("total_budget"))
+    return (s.withColumn("opex_budget_variance", F.col("total_opex") - F.col("total_budget"))
+            .orderBy(F.col("total_revenue").desc(), "department"))
 
 
 # --- dashboard series ---
 def q_sales_monthly(fact_sales: DataFrame) -> DataFrame:
     return (filter_not_cancelled(fact_sales).groupBy("region_code", "month_start")
             .agg(F.sum("order_total").cast("double").alias("revenue"),
-                 F.count(F.lit(1)).alias("orders")))
+                 F.count(F.lit(1)).alias("orders"))
+            .orderBy("month_start", "region_code"))
 
 
 def agg_headcount(fact_hr_cost: DataFrame) -> DataFrame:
@@ -131,24 +134,25 @@ def agg_headcount(fact_hr_cost: DataFrame) -> DataFrame:
 
 
 def q_hr_monthly(fact_hr_cost: DataFrame) -> DataFrame:
-    return agg_headcount(fact_hr_cost).withColumn("total_cost", F.col("total_cost").cast("double"))
+    return (agg_headcount(fact_hr_cost).withColumn("total_cost", F.col("total_cost").cast("double"))
+            .orderBy("month_start", "department"))
 
 
 def q_finance_monthly(pnl: DataFrame) -> DataFrame:
-    return pnl.select("department", "month_start", "revenue", "total_opex", "budget_amount")
+    return pnl.select("department", "month_start", "revenue", "total_opex", "budget_amount").orderBy("month_start", "department")
 
 
 def q_inventory_monthly(inventory: DataFrame) -> DataFrame:
-    return inventory.select("sku", "region_code", "month_start", "quantity_on_hand", "turnover_ratio")
+    return inventory.select("sku", "region_code", "month_start", "quantity_on_hand", "turnover_ratio").orderBy("month_start", "sku", "region_code")
 
 
 def q_marketing_monthly(marketing: DataFrame) -> DataFrame:
-    return marketing.select("region_code", "month_start", "marketing_spend", "sales_revenue")
+    return marketing.select("region_code", "month_start", "marketing_spend", "sales_revenue").orderBy("month_start", "region_code")
 
 
 def q_story_series(by_region: DataFrame, department: str, region: str) -> DataFrame:
     return (by_region.where((F.col("department") == department) & (F.col("region_code") == region))
-            .select("month_start", "hr_cost", "gross_margin"))
+            .select("month_start", "hr_cost", "gross_margin").orderBy("month_start"))
 
 
 def filter_date_range(df: DataFrame, start: dt.date, end: dt.date, column: str = "month_start") -> DataFrame:

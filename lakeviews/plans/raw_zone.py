@@ -46,7 +46,7 @@ class RawZone:
         geo = self.star.geo
         region = F.when(F.col("c_nationkey") == 24, F.lit("ATLANTIS")).otherwise(F.col("region_code"))
         signup = F.date_add(F.lit("1995-01-01").cast("date"), (F.col("c_custkey") * 97 % 3000).cast("int"))
-        return (c.join(self.t.bounded("geo", geo), c.c_nationkey == geo.n_nationkey)
+        return (c.join(geo, c.c_nationkey == geo.n_nationkey)
                 .select(s("c_custkey").alias("customer_id"), region.alias("region_code"),
                         F.col("c_mktsegment").alias("segment"), s(signup).alias("signup_date")))
 

@@ -9,16 +9,17 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lakeviews.contracts import CONTRACTS, STAR_LOAD_ORDER, TRANSFORM_ORDER
 from lakeviews.plans import catalog as CAT
 from lakeviews.plans import job as JOB
 from lakeviews.plans import queries as Q
+from lakeviews.plans import star as S
 from lakeviews.plans import views as V
-from lakeviews.plans.binding import StarBinding
-from lakeviews.plans.registry import register
-from lakeviews.plans.registry_quality import _raw, _raw_shared, _star_from_raw, all_coerced, coerced
+from lakeviews.plans.registry import register, star
+from lakeviews.plans.registry_quality import _raw, _star_from_raw, all_coerced, coerced
 from lakeviews.session import scratch_path
 from lakeviews.sources import lake as L
 
@@ -66,15 +67,28 @@ def _(spark, sf_dir):
 
 @register("raw_file_inventory")
 def _(spark, sf_dir):
+    """Data rows of the landed files, by dataset and day."""
     root, _ = _land_two_days(spark, sf_dir, "sales.orders")
-    return L.raw_file_inventory(spark, root)
+    where = r"/raw/([^/]+)/([^/]+)/dt=([^/]+)/"
+    files = L.raw_file_inventory(spark, root)
+    return (files.groupBy(F.concat_ws(".", F.regexp_extract("file_path", where, 1), F.regexp_extract("file_path", where, 2)).alias("dataset"),
+                          F.regexp_extract("file_path", where, 3).alias("ingest_date"))
+            .agg(F.sum("data_rows").alias("data_rows"), F.bool_and(F.col("file_size") > 0).alias("all_have_bytes")))
 
 
 @register("write_curated")
 def _(spark, sf_dir):
+    """Writes all sixteen datasets; returns the rows of each and its orders' keys as read back."""
     root = scratch_path(spark, "lake")
-    L.write_curated(coerced(_raw(spark, sf_dir), "sales.orders"), root, "sales", "orders")
-    return L.scan_curated_parquet(spark, root, "sales", "orders")
+    parts = []
+    for name, df in all_coerced(_raw(spark, sf_dir)).items():
+        c = CONTRACTS[name]
+        L.write_curated(df, root, c.domain, c.name)
+        key = F.concat_ws("|", *[F.col(k).cast("string") for k in c.primary_key])
+        parts.append(L.scan_curated_parquet(spark, root, c.domain, c.name).agg(
+            F.count(F.lit(1)).alias("row_count"), F.min(key).alias("least_key"), F.max(key).alias("greatest_key"))
+            .select(F.lit(name).alias("dataset"), "row_count", "least_key", "greatest_key"))
+    return S.stacked(parts)
 
 
 @register("scan_curated_parquet")
@@ -87,29 +101,48 @@ def _(spark, sf_dir):
 @register("load_star_table")
 def _(spark, sf_dir):
     root = scratch_path(spark, "lake")
-    star = _star_from_raw(spark, sf_dir, shared=True)
-    L.load_star_tables(spark, star, root, STAR_LOAD_ORDER)
-    return L.read_star(spark, root, ["fact_sales"])["fact_sales"]
+    """Loads all eleven tables; returns the rows of each as read back."""
+    L.load_star_tables(spark, _star_from_raw(spark, sf_dir), root, STAR_LOAD_ORDER)
+    loaded = L.read_star(spark, root, STAR_LOAD_ORDER)
+    return S.stacked([df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(t).alias("table_name"), "row_count") for t, df in loaded.items()])
 
 
 @register("export_flat_csv")
 def _(spark, sf_dir):
-    path = scratch_path(spark, "export") + "/department_pnl"
-    pnl = V.to_output(V.Views(StarBinding(spark, sf_dir)).pnl())
-    L.export_flat_csv(pnl, path, ["department", "month_start"])
-    return spark.read.schema(pnl.schema).option("header", True).csv(path)
+    """Writes all eight exports; returns header and rows of each as read back, and whether they are in order."""
+    root = scratch_path(spark, "export")
+    built, views = _star_from_raw(spark, sf_dir), V.Views(star(spark, sf_dir))
+    sources = {"vw_revenue_vs_hr_cost": views.revenue_vs_hr(), "vw_revenue_vs_hr_cost_by_region": views.by_region(),
+               "vw_marketing_spend_vs_sales": views.marketing(), "vw_inventory_turns_vs_sales": views.inventory(),
+               "vw_department_pnl": views.pnl(), **{d: built[d] for d in ("dim_date", "dim_department", "dim_region")}}
+    parts = []
+    for name, view, order in JOB.EXPORTS:
+        df = V.to_output(sources[view])
+        L.export_flat_csv(df, f"{root}/{name}", order)
+        read = spark.read.schema(df.schema).options(**L.CSV).csv(f"{root}/{name}")
+        key = F.struct(*[F.col(c) for c in order]) if order else F.lit(0)
+        # Part files are in name order; a part holds a range of the order.
+        placed = read.select(key.alias("k"), F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("at"))
+        by_file = placed.groupBy("file").agg(F.count(F.lit(1)).alias("n"), F.min("k").alias("least"), F.max("k").alias("most"),
+                                             F.min_by("k", "at").alias("first"), F.max_by("k", "at").alias("last"))
+        before = F.lag("most").over(Window.orderBy("file"))
+        checked = by_file.withColumn("ok", (F.col("first") == F.col("least")) & (F.col("last") == F.col("most"))
+                                     & F.coalesce(before <= F.col("least"), F.lit(True)))
+        parts.append(checked.agg(F.sum("n").alias("row_count"), F.bool_and("ok").alias("in_order")).select(
+            F.lit(name).alias("export"), F.lit(",".join(df.columns)).alias("header"), "row_count", "in_order"))
+    return S.stacked(parts)
 
 
 @register("json_safe_records")
 def _(spark, sf_dir):
-    s = Q.q_inventory_summary(V.Views(StarBinding(spark, sf_dir)).inventory())
+    s = Q.q_inventory_summary(V.Views(star(spark, sf_dir)).inventory())
     return L.json_safe_records(s)
 
 
 # ---------------- catalogue (§2.11) ----------------
 def _profiles(spark, sf_dir, deduped: bool, updated_at, raw=None):
     from lakeviews.operators.dedupe import dedupe_keep_last, total_order
-    cur = all_coerced(raw or _raw_shared(spark, sf_dir))
+    cur = all_coerced(raw or _raw(spark, sf_dir))
     out = []
     for name in TRANSFORM_ORDER:
         df = cur[name]
@@ -126,7 +159,7 @@ def _profiles(spark, sf_dir, deduped: bool, updated_at, raw=None):
 
 def _catalog(spark, sf_dir):
     """Register every dataset as landed, then upsert the de-duplicated profiles."""
-    raw = _raw_shared(spark, sf_dir)
+    raw = _raw(spark, sf_dir)
     first = CAT.upsert(CAT.empty_catalog(spark), _profiles(spark, sf_dir, False, T1, raw))
     return CAT.upsert(first, _profiles(spark, sf_dir, True, T2, raw))
 
@@ -159,8 +192,8 @@ def _(spark, sf_dir):
 # ---------------- the full job (§2.13) ----------------
 @register("job_full_refresh")
 def _(spark, sf_dir):
-    raw = _raw_shared(spark, sf_dir)
+    raw = _raw(spark, sf_dir)
     inputs = {n: raw.dataset(n) for n in TRANSFORM_ORDER}
     root = scratch_path(spark, "lake")
     result = JOB.job_full_refresh(spark, inputs, root, DAY2, export_root=f"{root}/exports")
-    return result.views["vw_revenue_vs_hr_cost_by_region"]
+    return result.reports.select("dataset", "row_count", "duplicate_key_count")

@@ -5,23 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeviews.contracts import CONTRACTS, STAR_TABLES, TRANSFORM_ORDER
+from lakeviews.contracts import CONTRACTS, TRANSFORM_ORDER
 from lakeviews.functions import coerce as C
 from lakeviews.operators import dedupe as D
 from lakeviews.operators import quality as QC
 from lakeviews.plans import star as S
 from lakeviews.plans.binding import StarBinding
 from lakeviews.plans.raw_zone import RawZone
-from lakeviews.plans.registry import register
+from lakeviews.plans.registry import register, star
 
 
 def _raw(spark, sf_dir) -> RawZone:
-    return RawZone(StarBinding(spark, sf_dir))
-
-
-def _raw_shared(spark, sf_dir) -> RawZone:
-    """Raw zone for plans that derive all sixteen datasets: the binding joins are computed once."""
-    return RawZone(StarBinding(spark, sf_dir).materialize_joins())
+    return RawZone(star(spark, sf_dir))
 
 
 def coerced(raw: RawZone, name: str) -> DataFrame:
@@ -35,7 +30,13 @@ def all_coerced(raw: RawZone) -> dict[str, DataFrame]:
 # ---------------- coercion (§2.2) ----------------
 @register("coerce_types")
 def _(spark, sf_dir):
-    return coerced(_raw(spark, sf_dir), "sales.order_lines")
+    """Every column of every dataset: how many values it keeps, and of how many rows."""
+    parts = []
+    for name, df in all_coerced(_raw(spark, sf_dir)).items():
+        counts = df.agg(F.count(F.lit(1)).alias("n"), *[F.count(c).alias(f"n_{c}") for c in df.columns])
+        per = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.lit(t).alias("type"), F.col(f"n_{c}").alias("kept")) for c, t in df.dtypes]))
+        parts.append(counts.select("n", per.alias("x")).select(F.lit(name).alias("dataset"), "x.column", "x.type", "x.kept", F.col("n").alias("row_count")))
+    return S.stacked(parts)
 
 
 @register("coerce_date")
@@ -110,30 +111,23 @@ def _metrics_all(raw: RawZone) -> DataFrame:
 
 @register("check_nulls")
 def _(spark, sf_dir):
-    raw = _raw(spark, sf_dir)
-    return QC.check_nulls(coerced(raw, "sales.orders"), CONTRACTS["sales.orders"])
+    cur = all_coerced(_raw(spark, sf_dir))
+    return S.stacked([QC.check_nulls(cur[n], CONTRACTS[n]) for n in TRANSFORM_ORDER])
 
 
 @register("check_duplicates")
 def _(spark, sf_dir):
-    raw = _raw(spark, sf_dir)
-    return QC.check_duplicates(coerced(raw, "finance.gl_transactions"), CONTRACTS["finance.gl_transactions"])
+    cur = all_coerced(_raw(spark, sf_dir))
+    return S.stacked([QC.check_duplicates(cur[n], CONTRACTS[n]) for n in TRANSFORM_ORDER])
 
 
 @register("check_referential_integrity")
 def _(spark, sf_dir):
-    raw = _raw(spark, sf_dir)
-    cur = {n: coerced(raw, n) for n in ("sales.regions", "sales.customers", "sales.orders",
-                                        "marketing.campaigns", "marketing.leads_by_campaign")}
-    parts = [QC.check_referential_integrity(cur[n], CONTRACTS[n], cur)
-             for n in ("sales.customers", "sales.orders", "marketing.leads_by_campaign")]
-    # Parent not available -> -1.
-    parts.append(QC.check_referential_integrity(coerced(raw, "hr.attrition_events"),
-                                                CONTRACTS["hr.attrition_events"], {}))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Every foreign key of every dataset, and those of one dataset whose parents aren't there (-1)."""
+    cur = all_coerced(_raw(spark, sf_dir))
+    parts = [QC.check_referential_integrity(cur[n], CONTRACTS[n], cur) for n in TRANSFORM_ORDER if CONTRACTS[n].fk_checks]
+    alone = QC.check_referential_integrity(cur["hr.attrition_events"], CONTRACTS["hr.attrition_events"], {})
+    return S.stacked([*parts, alone.withColumn("dataset", F.concat("dataset", F.lit(" (no parents)")))])
 
 
 @register("anti_join_orphans")
@@ -145,7 +139,7 @@ def _(spark, sf_dir):
 
 @register("run_quality_checks")
 def _(spark, sf_dir):
-    return _metrics_all(_raw_shared(spark, sf_dir))
+    return _metrics_all(_raw(spark, sf_dir))
 
 
 def _report_json(report: DataFrame) -> DataFrame:
@@ -155,30 +149,35 @@ def _report_json(report: DataFrame) -> DataFrame:
 
 @register("quality_report")
 def _(spark, sf_dir):
-    return _report_json(QC.quality_report(_metrics_all(_raw_shared(spark, sf_dir))))
+    return _report_json(QC.quality_report(_metrics_all(_raw(spark, sf_dir))))
 
 
 @register("quality_passed")
 def _(spark, sf_dir):
-    return QC.quality_passed(QC.quality_report(_metrics_all(_raw_shared(spark, sf_dir))))
+    return QC.quality_passed(QC.quality_report(_metrics_all(_raw(spark, sf_dir))))
 
 
 @register("quality_summary")
 def _(spark, sf_dir):
-    return QC.quality_summary(QC.quality_report(_metrics_all(_raw_shared(spark, sf_dir))))
+    return QC.quality_summary(QC.quality_report(_metrics_all(_raw(spark, sf_dir))))
 
 
 @register("clean_dataset")
 def _(spark, sf_dir):
-    raw = _raw(spark, sf_dir)
-    orders = coerced(raw, "sales.orders")
-    return D.dedupe_keep_last(orders, CONTRACTS["sales.orders"].primary_key,
-                              D.total_order(orders, exclude=("order_id",)))
+    """All sixteen datasets coerced and de-duplicated: rows and distinct keys."""
+    parts = []
+    for name, df in all_coerced(_raw(spark, sf_dir)).items():
+        pk = CONTRACTS[name].primary_key
+        kept = D.dedupe_keep_last(df, pk, D.total_order(df, exclude=pk))
+        key = F.concat_ws("|", *[F.col(k).cast("string") for k in pk])
+        parts.append(kept.agg(F.count(F.lit(1)).alias("row_count"), F.min(key).alias("least_key"), F.max(key).alias("greatest_key"))
+                     .select(F.lit(name).alias("dataset"), "row_count", "least_key", "greatest_key"))
+    return S.stacked(parts)
 
 
 # ---------------- star schema (§2.2, §2.9) ----------------
-def _star_from_raw(spark, sf_dir, shared: bool = False) -> dict[str, DataFrame]:
-    raw = _raw_shared(spark, sf_dir) if shared else _raw(spark, sf_dir)
+def _star_from_raw(spark, sf_dir) -> dict[str, DataFrame]:
+    raw = _raw(spark, sf_dir)
     cur = all_coerced(raw)
     departments = S.dim_department_from(cur["hr.headcount_costs"])
     return S.build_star(spark, cur, departments)
@@ -209,8 +208,7 @@ def _(spark, sf_dir):
 
 @register("union_distinct_dates")
 def _(spark, sf_dir):
-    raw = _raw(spark, sf_dir)
-    cur = all_coerced(raw)
+    cur = all_coerced(_raw(spark, sf_dir))
     return S.union_distinct_dates([(cur[n], c) for n, c in S.DATE_SOURCES])
 
 
@@ -237,49 +235,21 @@ def _(spark, sf_dir):
                      .alias("discount_hundredths"))
 
 
-def _star_violations(spark, sf_dir) -> DataFrame:
-    star = _star_from_raw(spark, sf_dir, shared=True)
-    parts = [QC.primary_key_violations(star[t], t, STAR_TABLES[t].primary_key) for t in star]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
 @register("enforce_primary_keys")
 def _(spark, sf_dir):
-    return _star_violations(spark, sf_dir)
+    return S.primary_key_violations(_star_from_raw(spark, sf_dir))
 
 
 @register("enforce_foreign_keys")
 def _(spark, sf_dir):
-    star = _star_from_raw(spark, sf_dir, shared=True)
-    parts = []
-    for t, spec in STAR_TABLES.items():
-        for column, dim, dim_column in spec.foreign_keys:
-            if t in star and dim in star:
-                parts.append(QC.foreign_key_violations(star[t], t, column, star[dim], dim, dim_column))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return S.foreign_key_violations(_star_from_raw(spark, sf_dir))
 
 
 @register("enforce_not_null")
 def _(spark, sf_dir):
-    star = _star_from_raw(spark, sf_dir)
-    return QC.not_null_violations(star["dim_date"], "dim_date", STAR_TABLES["dim_date"].not_null)
+    return S.not_null_violations(_star_from_raw(spark, sf_dir))
 
 
 @register("check_varchar_len")
 def _(spark, sf_dir):
-    star = _star_from_raw(spark, sf_dir, shared=True)
-    parts = []
-    for t, spec in STAR_TABLES.items():
-        limits = {c: n for c, _, n in spec.columns if n}
-        if t in star and limits:
-            parts.append(QC.varchar_violations(star[t], t, limits))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return S.varchar_violations(_star_from_raw(spark, sf_dir))

@@ -12,7 +12,7 @@ from lakeviews.plans import queries as Q
 from lakeviews.plans import text_jobs as J
 from lakeviews.plans import views as V
 from lakeviews.plans.binding import StarBinding
-from lakeviews.plans.registry import register
+from lakeviews.plans.registry import register, star
 
 # --- Fixed values: questions of the routing tests, keyed by event type ---
 QUESTION_OF_EVENT = {
@@ -35,6 +35,14 @@ def event_questions(events: DataFrame) -> DataFrame:
     return events.select("event_id", q.alias("question"))
 
 
+def all_questions(t) -> DataFrame:
+    """(question_id, question): every turn of every conversation and one question per event."""
+    turns = t.conversations.select(F.concat_ws("-", F.lit("turn"), F.col("conv_id").cast("string"), F.col("turn").cast("string"))
+                                   .alias("question_id"), F.col("text").alias("question"))
+    events = event_questions(t.events).select(F.concat_ws("-", F.lit("event"), F.col("event_id").cast("string")).alias("question_id"), "question")
+    return turns.unionByName(events)
+
+
 def event_sql_log(events: DataFrame) -> DataFrame:
     """One SQL text per event, from twelve statement shapes chosen by event id."""
     uid = F.col("user_id").cast("string")
@@ -57,9 +65,13 @@ def event_sql_log(events: DataFrame) -> DataFrame:
     return events.select("event_id", sql.alias("sql_text"))
 
 
+def _hr_summary(spark, sf_dir):
+    return Q.q_hr_summary(V.Views(star(spark, sf_dir)).revenue_vs_hr())
+
+
 def _summaries(spark, sf_dir):
     """The four report summaries; their views share the binding joins, computed once."""
-    v = V.Views(StarBinding(spark, sf_dir).materialize_joins())
+    v = V.Views(star(spark, sf_dir))
     return (Q.q_hr_summary(v.revenue_vs_hr()), Q.q_marketing_summary(v.marketing()),
             Q.q_inventory_summary(v.inventory()), Q.q_pnl_summary(v.pnl()))
 
@@ -67,21 +79,19 @@ def _summaries(spark, sf_dir):
 # ---------------- routing and audit (§2.12, §2.3, §2.5) ----------------
 @register("route_questions")
 def _(spark, sf_dir):
-    conv = StarBinding(spark, sf_dir).t.conversations.where(F.col("role") == "user")
+    conv = StarBinding(spark, sf_dir).t.conversations
     return J.route_questions(conv, "text", ["conv_id", "turn"]).select(
         "conv_id", "turn", F.col("views")[0].alias("view"))
 
 
 @register("cross_join_registry")
 def _(spark, sf_dir):
-    q = event_questions(StarBinding(spark, sf_dir).t.events)
-    return J.cross_join_registry(q, "question", ["event_id"])
+    return J.cross_join_registry(all_questions(StarBinding(spark, sf_dir).t), "question", ["question_id"])
 
 
 @register("top_n_per_question")
 def _(spark, sf_dir):
-    q = event_questions(StarBinding(spark, sf_dir).t.events)
-    return J.top_n_per_question(q, "question", ["event_id"], 2)
+    return J.top_n_per_question(all_questions(StarBinding(spark, sf_dir).t), "question", ["question_id"], 2)
 
 
 @register("audit_sql_log")
@@ -102,42 +112,50 @@ def _(spark, sf_dir):
 
 @register("answer_questions")
 def _(spark, sf_dir):
-    q = event_questions(StarBinding(spark, sf_dir).t.events)
-    routed = J.route_questions(q, "question", ["event_id"])
-    answers = J.report_answers(J.report_lines(*_summaries(spark, sf_dir)))
-    return J.answer_questions(routed, answers, ["event_id"])
+    return J.answer_questions(all_questions(StarBinding(spark, sf_dir).t), "question", ["question_id"])
 
 
 # ---------------- ordering operators (§2.5) ----------------
 @register("sort_view")
 def _(spark, sf_dir):
-    inv = V.Views(StarBinding(spark, sf_dir)).inventory()
-    return inv.orderBy("sku", "region_code", "month_start")
+    """All five views in their order: the key of each row and its position."""
+    v = V.Views(star(spark, sf_dir))
+    views = [("vw_revenue_vs_hr_cost", v.revenue_vs_hr(), V.DEPT_GRAIN),
+             ("vw_revenue_vs_hr_cost_by_region", v.by_region(), V.REGION_GRAIN),
+             ("vw_marketing_spend_vs_sales", v.marketing(), V.MARKET_GRAIN),
+             ("vw_inventory_turns_vs_sales", v.inventory(), V.SKU_GRAIN), ("vw_department_pnl", v.pnl(), V.DEPT_GRAIN)]
+    rows = [df.select(F.lit(name).alias("view"), F.struct(*[F.when(F.lit(c != "sku"), F.col(c).cast("string")).otherwise(F.lpad(F.col(c).cast("string"), 20, "0")).alias(f"k{i}")
+                                                            for i, c in enumerate([*grain, *grain[:3 - len(grain)]])]).alias("k"),
+                      F.concat_ws("|", *[F.col(c).cast("string") for c in grain]).alias("sort_key")) for name, df, grain in views]
+    stacked = rows[0]
+    for r in rows[1:]:
+        stacked = stacked.unionByName(r)
+    return J.positions(stacked, ["view"], ["k"], "pos").select("view", "sort_key", "pos")
 
 
 @register("sort_desc_nulls_last")
 def _(spark, sf_dir):
-    s = Q.q_inventory_summary(V.Views(StarBinding(spark, sf_dir)).inventory())
+    s = Q.q_inventory_summary(V.Views(star(spark, sf_dir)).inventory())
     return s.orderBy(F.col("avg_turnover_ratio").desc_nulls_last(), F.col("sku").asc())
 
 
 @register("top_1_department")
 def _(spark, sf_dir):
-    hr = Q.q_hr_summary(V.Views(StarBinding(spark, sf_dir)).revenue_vs_hr())
+    hr = Q.q_hr_summary(V.Views(star(spark, sf_dir)).revenue_vs_hr())
     return hr.orderBy(F.col("total_hr_cost").desc(), F.col("department").asc()).limit(1) \
         .select("department", "total_hr_cost")
 
 
 @register("limit_preview")
 def _(spark, sf_dir):
-    s = Q.q_inventory_summary(V.Views(StarBinding(spark, sf_dir)).inventory())
+    s = Q.q_inventory_summary(V.Views(star(spark, sf_dir)).inventory())
     return s.orderBy(F.col("avg_turnover_ratio").desc_nulls_last(), F.col("sku").asc()).limit(20)
 
 
 # ---------------- scalar functions (§2.7) ----------------
 @register("fn_coalesce")
 def _(spark, sf_dir):
-    pnl = V.Views(StarBinding(spark, sf_dir)).pnl()
+    pnl = V.Views(star(spark, sf_dir)).pnl()
     return pnl.select("department", "month_start",
                       F.coalesce("budget_amount", F.lit(0)).cast("double").alias("budget_or_zero"),
                       F.coalesce("hr_cost", "budget_amount").cast("double").alias("hr_cost_or_budget"))
@@ -145,7 +163,7 @@ def _(spark, sf_dir):
 
 @register("fn_case_guard")
 def _(spark, sf_dir):
-    s = StarBinding(spark, sf_dir)
+    s = star(spark, sf_dir)
     out = V.agg_outbound(s.fact_inventory_movement)
     j = s.fact_inventory_stock.join(out, V.SKU_GRAIN, "left")
     q = F.coalesce(F.col("outbound_qty"), F.lit(0))
@@ -169,14 +187,14 @@ def _(spark, sf_dir):
 
 @register("fn_round_avg3")
 def _(spark, sf_dir):
-    inv = V.Views(StarBinding(spark, sf_dir)).inventory()
+    inv = V.Views(star(spark, sf_dir)).inventory()
     t = F.round(F.col("turnover_ratio") * 1000).cast("long")
     return inv.groupBy("region_code").agg(N.avg_thousandths_round3(t).alias("avg_turnover_ratio"))
 
 
 @register("fn_negate")
 def _(spark, sf_dir):
-    gl = StarBinding(spark, sf_dir).fact_finance_gl
+    gl = star(spark, sf_dir).fact_finance_gl
     return gl.groupBy("account_code").agg((-F.sum("amount")).cast("double").alias("negated_total"))
 
 
@@ -189,12 +207,12 @@ def _(spark, sf_dir):
 
 @register("fn_ratio_pct")
 def _(spark, sf_dir):
-    return _summaries(spark, sf_dir)[0].select("department", "hr_cost_pct_of_revenue")
+    return _hr_summary(spark, sf_dir).select("department", "hr_cost_pct_of_revenue")
 
 
 @register("fn_ratio_x")
 def _(spark, sf_dir):
-    return _summaries(spark, sf_dir)[1].select("region_code", "revenue_to_spend")
+    return Q.q_marketing_summary(V.Views(star(spark, sf_dir)).marketing()).select("region_code", "revenue_to_spend")
 
 
 LICENSE_WORDS = ("license", "copyright", "password", "secret")
@@ -229,14 +247,14 @@ def _(spark, sf_dir):
 
 @register("fn_money_text")
 def _(spark, sf_dir):
-    hr = _summaries(spark, sf_dir)[0]
+    hr = _hr_summary(spark, sf_dir)
     return hr.select("department", TX.fn_money_text(F.col("total_hr_cost")).alias("hr_cost_text"),
                      TX.fn_money_text(F.col("total_gross_margin")).alias("margin_text"))
 
 
 @register("fn_ratio_text")
 def _(spark, sf_dir):
-    hr = _summaries(spark, sf_dir)[0]
+    hr = _hr_summary(spark, sf_dir)
     return hr.select("department", TX.fn_ratio_text(F.col("hr_cost_pct_of_revenue")).alias("pct_text"))
 
 

@@ -12,11 +12,12 @@ regions, SKUs), never the number of facts.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeviews.contracts import DEFAULT_VIEW, FORBIDDEN_KEYWORDS, FORBIDDEN_SCHEMAS, VIEW_REGISTRY
 from lakeviews.functions import text as TX
+from lakeviews.session import scratch_path
 
 # --- Fixed values: audit verdict messages, in rule order ---
 MSG_EMPTY = "empty SQL"
@@ -32,7 +33,7 @@ def view_scores(question: Column) -> list[Column]:
     """Score per registered view: number of its keywords contained in the lower-cased question."""
     q = F.lower(question)
     out = []
-    for _, _, keywords, _ in VIEW_REGISTRY:
+    for _, keywords in VIEW_REGISTRY:
         score = F.lit(0)
         for k in keywords:
             score = score + F.contains(q, F.lit(k)).cast("int")
@@ -194,21 +195,41 @@ REPORT_OF_VIEW = {
 }
 
 
+def positions(df: DataFrame, group: list[str], order: list[str], name: str) -> DataFrame:
+    """Position from 1 of each row in ``order`` within ``group``, without one task per group.
+
+    Rows are dealt to tasks by ranges of (group, order) and written; a row's position is that in
+    its piece plus the sizes of the group's pieces before it (one row per group and piece).
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "positions")
+    pieces = df.repartitionByRange(*group, *order).withColumn("__piece", F.spark_partition_id())
+    pieces.write.parquet(path)
+    dealt = spark.read.schema(pieces.schema).parquet(path)
+    sizes = dealt.groupBy(*group, "__piece").agg(F.count(F.lit(1)).alias("__n"))
+    before = F.sum("__n").over(Window.partitionBy(*group).orderBy("__piece").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sizes.select(*group, "__piece", F.coalesce(before, F.lit(0)).alias("__before"))
+    own = F.row_number().over(Window.partitionBy(*group, "__piece").orderBy(*order))
+    return (dealt.withColumn("__own", own).join(starts, [*group, "__piece"])
+            .select(*df.columns, (F.col("__own") + F.col("__before")).cast("int").alias(name)))
+
+
 def report_lines(hr: DataFrame, mkt: DataFrame, inv: DataFrame, pnl: DataFrame) -> DataFrame:
     """(report, pos, line): header at 0, then one line per summary row in report order.
 
     The HR report ends with a note naming the department with the highest HR cost.
     """
+    spark = hr.sparkSession
     body = hr_lines(hr).unionByName(mkt_lines(mkt)).unionByName(inv_lines(inv)).unionByName(pnl_lines(pnl))
-    grouped = body.groupBy("report").agg(F.sort_array(F.collect_list(F.struct("sort_key", "label", "line"))).alias("rows"))
-    header = F.element_at(F.create_map(*[x for kv in _HEADERS.items() for x in (F.lit(kv[0]), F.lit(kv[1]))]),
-                          F.col("report"))
-    top_dept = F.col("rows")[0]["label"]
-    note = F.when(F.col("report") == "hr",
-                  F.array(F.format_string(HR_NOTE.replace("{}", "%s"), top_dept)))
-    lines = F.concat(F.array(header), F.col("rows").getField("line"),
-                     F.coalesce(note, F.array().cast("array<string>")))
-    return grouped.select("report", F.posexplode(lines).alias("pos", "line"))
+    placed = positions(body, ["report"], ["sort_key"], "pos")
+    heads = spark.createDataFrame([(k, 0, v) for k, v in _HEADERS.items()], "report string, pos int, line string")
+    # Only of reports that have lines.
+    heads = heads.join(placed.select("report").distinct(), "report", "left_semi")
+    note = (placed.where(F.col("report") == "hr").agg(F.max("pos").alias("last"), F.min_by("label", "pos").alias("top"))
+            .where("last IS NOT NULL")
+            .select(F.lit("hr").alias("report"), (F.col("last") + 1).alias("pos"),
+                    F.format_string(HR_NOTE.replace("{}", "%s"), "top").alias("line")))
+    return placed.select("report", "pos", "line").unionByName(heads.select("report", "pos", "line")).unionByName(note)
 
 
 def report_answers(lines: DataFrame) -> DataFrame:
@@ -220,22 +241,18 @@ def report_answers(lines: DataFrame) -> DataFrame:
             .select("report", sql.alias("sql"), "answer"))
 
 
-def answer_questions(routed: DataFrame, answers: DataFrame, id_cols: list[str]) -> DataFrame:
-    """Join routed questions to the precomputed answers (one row per report, at most four).
+def answer_questions(questions: DataFrame, text_col: str, id_cols: list[str]) -> DataFrame:
+    """Each question with the view it is routed to, and the report and SQL that answer it.
 
-    The answers table is checkpointed into ``spark.checkpoint.dir`` first.  It
-    has four rows, so this is cheap, and it cuts the lineage of the four
-    summaries.  It also matters for the plan: the table is a union of branches
-    with literal report names, so without the cut the optimizer infers
-    ``report IN (...)`` for the question side and pushes it below the routing
-    projection, inlining the whole keyword scoring into a filter (and past the
-    generated-code size limit).  It is broadcast once a row count confirms the
-    bound of the report kinds; otherwise it is joined without a hint.
+    The answer's text is looked up by report (``report_answers``) when it is
+    shown: it is the same for all questions of a report and not copied to them.
     """
-    view_map = F.create_map(*[x for kv in REPORT_OF_VIEW.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
-    q = routed.select(*id_cols, F.col("views")[0].alias("view")) \
-        .withColumn("report", F.coalesce(F.element_at(view_map, F.col("view")), F.lit("hr")))
-    fixed = answers.checkpoint(eager=True)
-    side = F.broadcast(fixed) if fixed.limit(5).count() <= 4 else fixed
-    return (q.join(side, "report")
-            .select(*id_cols, F.lit("fallback").alias("mode"), "view", "sql", "answer"))
+    kept = questions.select(*id_cols, F.col(text_col).alias("question"))
+    routed = route_questions(kept, "question", [*id_cols, "question"])
+
+    def by(pairs: dict) -> Column:
+        return F.create_map(*[F.lit(x) for kv in pairs.items() for x in kv])
+
+    report = F.coalesce(F.element_at(by(REPORT_OF_VIEW), F.col("view")), F.lit("hr"))
+    return (routed.select(*id_cols, "question", F.lit("fallback").alias("mode"), F.col("views")[0].alias("view"))
+            .withColumn("report", report).withColumn("sql", F.element_at(by(_SQL), F.col("report"))))

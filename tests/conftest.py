@@ -11,10 +11,17 @@ SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    from lakeviews.session import build_session
+    """A plain session: everything must run on one that this library did not build."""
+    from pyspark.sql import SparkSession
 
-    s = build_session("local[*]", app_name="lakeviews-tests", shuffle_partitions=8)
+    s = (SparkSession.builder.master("local[*]").appName("tests").config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false").config("spark.sql.shuffle.partitions", "8")
+         .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "6g").getOrCreate())
+    s.sparkContext.setLogLevel("ERROR")
     yield s
+    from lakeviews.session import clear_scratch
+
+    clear_scratch(s)
     s.stop()
 
 

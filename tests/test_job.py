@@ -23,7 +23,7 @@ def test_full_refresh(spark, small_dir):
     # De-duplication ran before the checks: no key repeats survive.
     assert all(r.duplicate_key_count == 0 for r in reports.values())
     # Customers of one nation point at an unknown region; pending orders have no customer.
-    assert reports["sales.customers"].fk_violations["region_code"] > 0
+    assert reports["sales.customers"].fk_violations["region_code->sales.regions"] > 0
     assert reports["sales.orders"].null_violations["customer_id"] > 0
     assert reports["sales.regions"].passed
 
@@ -42,8 +42,7 @@ def test_full_refresh(spark, small_dir):
 
     local = exports.replace("file:", "")
     for name, _, _ in JOB.EXPORTS:
-        parts = [f for f in os.listdir(f"{local}/{name}") if f.endswith(".csv")]
-        assert len(parts) == 1, name
+        assert [f for f in os.listdir(f"{local}/{name}") if f.endswith(".csv")], name
 
 
 def test_rerun_same_day_is_idempotent(spark, small_dir):
@@ -65,3 +64,43 @@ def test_rerun_same_day_is_idempotent(spark, small_dir):
     assert second.catalog.count() == 16
     days = spark.read.option("header", True).csv(L.raw_path(root, "sales", "orders")).select("dt").distinct()
     assert [str(r.dt) for r in days.collect()] == ["2024-01-02"]
+
+
+def test_violations_stop_the_load(spark, small_dir):
+    """One violation of each kind raises, and the live version stays."""
+    import pytest
+
+    from lakeviews.operators.quality import ConstraintViolation
+    from lakeviews.sources import lake as L
+
+    raw = RawZone(StarBinding(spark, small_dir).materialize_joins())
+    inputs = {n: raw.dataset(n) for n in TRANSFORM_ORDER}
+    root = scratch_path(spark, "job-test")
+    star = JOB.job_full_refresh(spark, inputs, root, "2024-01-02").star_path
+    sales = inputs["sales.orders"]
+    broken = {
+        "pk_null": sales.withColumn("order_id", F.when(F.col("order_id") != F.lit("1"), F.col("order_id"))),
+        "fk": sales.withColumn("region_code", F.lit("NOWHERE")),
+        "varchar": sales.withColumn("status", F.lit("x" * 60)),
+    }
+    for kind, df in broken.items():
+        with pytest.raises(ConstraintViolation, match=kind):
+            JOB.job_full_refresh(spark, {**inputs, "sales.orders": df}, root, "2024-01-03")
+        assert L.current_star(spark, root) == star
+
+
+def test_not_null_and_duplicates_are_violations(spark):
+    import datetime as dt
+
+    import pytest
+
+    from lakeviews.operators import quality as QC
+    from lakeviews.plans import star as S
+
+    day = dt.date(2024, 1, 1)
+    dates = spark.createDataFrame([(day, 2024, 1, day, 1, None), (day, 2024, 1, day, 1, "January")],
+                                  "date_key date, year int, month int, month_start date, quarter int, month_name string")
+    with pytest.raises(QC.ConstraintViolation, match="not_null=1"):
+        QC.enforce(S.violations({"dim_date": dates}))
+    with pytest.raises(QC.ConstraintViolation, match="pk_duplicate=1"):
+        QC.enforce(S.violations({"dim_date": dates}))

@@ -100,13 +100,42 @@ def test_materialized_joins_give_the_same_views(spark, small_dir):
     assert "binding-joins" in plan
 
 
-def test_broadcast_hint_only_within_checked_bound(spark, small_dir):
-    from lakeviews.sources.driver import DriverTables
-
-    t = DriverTables(spark, small_dir)
-    hinted = t.bounded("nation", t.nation)
-    assert "broadcast" in hinted._jdf.queryExecution().analyzed().toString().lower()
-    over = t.bounded("nation-tight", t.nation, max_rows=24)
-    assert "broadcast" not in over._jdf.queryExecution().analyzed().toString().lower()
-    plan = StarBinding(spark, small_dir).cust._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan
+def test_no_side_is_broadcast_by_a_hint(spark, small_dir):
+    for name in ("by_region", "pnl", "inventory", "marketing"):
+        plan = getattr(_views(spark, small_dir), name)()._jdf.queryExecution().analyzed().toString().lower()
+        assert "broadcast" not in plan
+
+
+def test_totals_beyond_the_warehouse_type_only_fail_in_the_load(spark):
+    """Sums above 10^12 pass the views; narrowing them to decimal(14,2) raises."""
+    import datetime as dt
+
+    import pytest
+
+    from lakeviews.plans import star as S
+
+    day, big = dt.date(2024, 1, 1), "9999999999999.99"
+    hr = spark.sql(f"SELECT 'd' AS department, 'r' AS region_code, DATE'2024-01-01' AS month_start, 1 AS headcount, "
+                   f"CAST({big} AS decimal(28,2)) AS salary_cost, CAST(0 AS decimal(28,2)) AS benefits_cost, CAST({big} AS decimal(28,2)) AS total_cost")
+    gl = spark.sql("SELECT 'd' AS department, 'r' AS region_code, DATE'2024-01-01' AS month_start, '4000' AS account_code, "
+                   "CAST(1 AS decimal(14,2)) AS amount")
+    row = V.to_output(V.vw_revenue_vs_hr_cost(hr.union(hr), gl)).first()
+    assert row.month_start == day and row.hr_cost == 2 * float(big)
+    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
+        S.narrow_to_star(hr, "fact_hr_cost").collect()
+
+
+def test_results_come_in_their_order(spark, small_dir):
+    from lakeviews.plans.registry import QUERIES
+
+    orders = {
+        "q_hr_summary": lambda r: (-r.total_hr_cost, r.department), "q_marketing_summary": lambda r: (-r.total_spend, r.region_code),
+        "q_inventory_summary": lambda r: (r.avg_turnover_ratio is None, -(r.avg_turnover_ratio or 0), r.sku),
+        "q_pnl_summary": lambda r: (-r.total_revenue, r.department), "q_sales_monthly": lambda r: (r.month_start, r.region_code),
+        "q_hr_monthly": lambda r: (r.month_start, r.department), "q_finance_monthly": lambda r: (r.month_start, r.department),
+        "q_inventory_monthly": lambda r: (r.month_start, r.sku, r.region_code), "q_marketing_monthly": lambda r: (r.month_start, r.region_code),
+        "q_story_series": lambda r: r.month_start,
+    }
+    for key, order in orders.items():
+        rows = QUERIES[key](spark, small_dir).collect()
+        assert len(rows) > 1 and rows == sorted(rows, key=order), key
