@@ -1,7 +1,7 @@
 """Toxicity: FTRL-proximal logistic regression over hashed word n-grams and skip-grams.
 
 Features are the distinct buckets (2^20) of words, word pairs and pairs with
-one word between, lower case, punctuation apart.  Per-coordinate rates and L1
+one word between, lower case, punctuation apart, that enough sampled texts hold.  Per-coordinate rates and L1
 leave few non-zero weights; only those are broadcast.  A bounded sample of
 labelled rows is featurised in parallel and fitted by one task in hash order.
 
@@ -22,8 +22,10 @@ from lakeviews.llm.common import held_out, table
 from lakeviews.llm.training import SAMPLE, labelled
 
 BUCKETS = 1 << 20
-ALPHA, BETA, L1, L2 = 0.2, 1.0, 1.0, 0.5
-EPOCHS = 3
+ALPHA, BETA, L1, L2 = 1.0, 1.0, 20.0, 0.5
+FULL = 3_000  # rows from which L1 holds in full; fewer give less evidence to a coordinate
+COMMON = 0.01  # of the sample that holds a feature, at least: rarer ones only remember single rows
+EPOCHS = 5
 
 
 def _features(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -46,13 +48,13 @@ def _featurised(batches):
 class Ftrl:
     """McMahan et al.'s update: weights follow from the sums z and n of each coordinate."""
 
-    def __init__(self, size: int):
-        self.z, self.n = np.zeros(size), np.zeros(size)
+    def __init__(self, size: int, l1: float = L1):
+        self.z, self.n, self.l1 = np.zeros(size), np.zeros(size), l1
 
     def weights(self, at) -> np.ndarray:
         z = self.z[at]
-        w = -(z - np.sign(z) * L1) / ((BETA + np.sqrt(self.n[at])) / ALPHA + L2)
-        return np.where(np.abs(z) <= L1, 0.0, w)
+        w = -(z - np.sign(z) * self.l1) / ((BETA + np.sqrt(self.n[at])) / ALPHA + L2)
+        return np.where(np.abs(z) <= self.l1, 0.0, w)
 
     def learn(self, at: np.ndarray, label: int) -> None:
         w = self.weights(at)
@@ -63,9 +65,13 @@ class Ftrl:
 
 
 def _fitted(batches):
-    rows = [(label, np.asarray(x, np.int64)) for b in batches for label, x in
-            zip(b.column("label").to_pylist(), (s.values.to_numpy() for s in b.column("buckets")))]
-    model = Ftrl(BUCKETS + 1)  # the last coordinate is the intercept
+    rows = [(label, x) for b in batches for label, x in zip(b.column("label").to_pylist(), (s.values.to_numpy() for s in b.column("buckets")))]
+    held = np.zeros(BUCKETS, np.int64)
+    for _, x in rows:
+        held[x] += 1
+    common = held >= max(2, COMMON * len(rows))
+    rows = [(label, x[common[x]]) for label, x in rows]
+    model = Ftrl(BUCKETS + 1, L1 * min(1, len(rows) / FULL))  # the last coordinate is the intercept
     for _ in range(EPOCHS):
         for label, x in rows:
             model.learn(np.append(x, BUCKETS), label)
