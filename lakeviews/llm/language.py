@@ -32,6 +32,7 @@ ROUNDS = 4
 LONGEST = 32
 MAX_PIECE = 16  # bytes
 FLOOR = 1e-8
+CHUNK = 1 << 20  # words repeat more in longer chunks
 START = 32  # the byte that marks a word's start
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -153,7 +154,7 @@ def _words(raw: np.ndarray, offs: np.ndarray) -> tuple[bw.Words, np.ndarray, np.
 def _counted(batches):
     for b in batches:
         langs = np.array(b.column("lang").to_pylist(), object)
-        for lo, hi, raw, offs in bw.chunks(b.column("text")):
+        for lo, hi, raw, offs in bw.chunks(b.column("text"), CHUNK):
             row, which, own, start, end = _words(raw, offs)
             part = langs[lo:hi]
             for lang in sorted(set(part)):
@@ -223,7 +224,7 @@ def predict(docs: DataFrame, learned: tuple[list[str], list[bytes], np.ndarray],
         names = np.array([*langs, "und"], object)
         for b in batches:
             best, sure = np.full(b.num_rows, len(langs)), np.zeros(b.num_rows)
-            for lo, hi, raw, offs in bw.chunks(b.column("text")) if langs else ():
+            for lo, hi, raw, offs in bw.chunks(b.column("text"), CHUNK) if langs else ():
                 row, which, own, start, end = _words(raw, offs)
                 logs = log_probability(vocabulary, probability, own, start, end)
                 total = np.stack([np.bincount(row, logs[which, k], hi - lo) for k in range(len(langs))], 1)
