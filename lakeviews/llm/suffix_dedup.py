@@ -200,35 +200,48 @@ def repeats(prefixes: list[int], lefts: list[bytes]) -> list[list[tuple[int, int
     return found
 
 
-def _runs(batches, parts: int):
-    """Front-coded sorted runs of the contexts' suffixes, one for each part of each ``RUN_BYTES``."""
-    held, size = [], 0
+SENT = pa.schema([("part", pa.int32()), ("shared", pa.list_(pa.int32())), ("rest", pa.list_(pa.binary())), ("left", pa.list_(pa.binary())),
+                  ("one", pa.list_(pa.int64())), ("two", pa.list_(pa.int64())), ("rid", pa.list_(pa.int64())), ("size", pa.list_(pa.int64())),
+                  ("at", pa.list_(pa.int32())), ("open", pa.list_(pa.bool_()))])
+
+
+def _sent_row(part: int, **lists) -> pa.RecordBatch:
+    columns = [pa.array([part], pa.int32())]
+    return pa.RecordBatch.from_arrays(columns + [pa.array([lists.get(f.name)], f.type) for f in list(SENT)[1:]], schema=SENT)
 
-    def flush():
-        by: dict[int, list] = {}
-        for x in held:
-            by.setdefault(x[0], []).append(x[1:])
-        for part, rows in sorted(by.items()):
-            rows.sort()
-            shared, rest = front_coded([r[0] for r in rows])
-            _, left, rid, n, at, mine = zip(*rows)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int32()), pa.array([shared], pa.list_(pa.int32())), pa.array([rest], pa.list_(pa.binary())), pa.array([left], pa.list_(pa.binary())),
-                 pa.array([rid], pa.list_(pa.int64())), pa.array([n], pa.list_(pa.int64())), pa.array([at], pa.list_(pa.int32())), pa.array([mine], pa.list_(pa.bool_()))],
-                ["part", "shared", "rest", "left", "rid", "size", "at", "open"])
 
+def _runs(held: list[tuple]):
+    """Front-coded sorted runs of the contexts' suffixes, one for each part."""
+    by: dict[int, list] = {}
+    for x in held:
+        by.setdefault(x[0], []).append(x[1:])
+    for part, rows in sorted(by.items()):
+        rows.sort()
+        shared, rest = front_coded([r[0] for r in rows])
+        _, left, rid, n, at, mine = zip(*rows)
+        yield _sent_row(part, shared=shared, rest=rest, left=left, rid=rid, size=n, at=at, open=mine)
+
+
+def _sent(batches, parts: int):
+    """What a task sends of its texts' contexts: sorted runs, and fingerprints of the strings of large grams."""
+    held, size = [], 0
     for b in batches:
-        raw, offs = bw.buffers(b.column("text"))
-        for i, (rid, n, zones) in enumerate(zip(b.column("rid").to_pylist(), b.column("size").to_pylist(), b.column("zones").to_pylist())):
-            text = raw[offs[i]:offs[i + 1]].tobytes()
-            for z in zones:
-                right = text[z["at"]:z["last"] + WINDOW]
-                held.append((z["gram"] % parts, right, text[z["first"]:z["at"]][::-1], rid, n, z["at"], z["open"]))
-                size += z["last"] + WINDOW - z["first"]
+        rids, sizes, zones = (b.column(c).to_pylist() for c in ("rid", "size", "zones"))
+        for lo, hi, raw, offs in bw.chunks(b.column("text")):
+            printed = [(i, z) for i in range(hi - lo) for z in zones[lo + i] if z["large"]]
+            if printed:
+                yield from _printed(raw, offs, printed, np.array(rids[lo:hi]), np.array(sizes[lo:hi]), parts)
+            for i in range(hi - lo):
+                text = raw[offs[i]:offs[i + 1]].tobytes()
+                for z in zones[lo + i]:
+                    if not z["large"]:
+                        held.append((z["gram"] % parts, text[z["at"]:z["last"] + WINDOW], text[z["first"]:z["at"]][::-1],
+                                     rids[lo + i], sizes[lo + i], z["at"], z["open"]))
+                        size += z["last"] + WINDOW - z["first"]
             if size > RUN_BYTES:
-                yield from flush()
+                yield from _runs(held)
                 held, size = [], 0
-    yield from flush()
+    yield from _runs(held)
 
 
 def _merged(batches):
@@ -283,44 +296,36 @@ def _joined(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return starts[begin], ends[np.append(begin[1:], len(starts)) - 1]
 
 
-def _printed(batches, parts: int):
-    """Fingerprints of the strings of contexts of large grams: a task sends each once, and says itself what it holds twice."""
-    names = ["part", "one", "two", "rid", "size", "start", "open"]
-    for b in batches:
-        for lo, hi, raw, offs in bw.chunks(b.column("text")):
-            sums = bw.prefix_sums(raw)
-            part = b.slice(lo, hi - lo)
-            zones = [(i, z) for i, zs in enumerate(part.column("zones").to_pylist()) for z in zs]
-            if not zones:
-                continue
-            row = np.concatenate([np.full(z["last"] - z["first"] + 1, i) for i, z in zones])
-            mine = np.concatenate([np.full(z["last"] - z["first"] + 1, z["open"]) for _, z in zones])
-            start = np.concatenate([np.arange(z["first"], z["last"] + 1) for _, z in zones]) + offs[row]
-            one = bw.span_hash(sums, start, start + WINDOW)
-            # a second hash over other values of the bytes
-            two = bw.span_hash(bw.prefix_sums(raw[::-1]), len(raw) - start - WINDOW, len(raw) - start)
-            order = np.lexsort((two, one))
-            one, two, row, mine, start = (x[order] for x in (one, two, row, mine, start))
-            new = np.ones(len(one), bool)
-            new[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
-            begin = np.flatnonzero(new)
-            alone = np.diff(np.append(begin, len(one))) == 1
-            rid, size = part.column("rid").to_numpy(), part.column("size").to_numpy()
-            twice = np.flatnonzero(~np.repeat(alone, np.diff(np.append(begin, len(one)))) & mine)
-            dest = (one[begin] % np.uint64(parts)).astype(np.int32)
-            groups = [(-1, twice)] + [(int(p), begin[dest == p]) for p in np.unique(dest)]
-            only = np.zeros(len(one), bool)
-            only[begin[alone]] = True
-            for p, at in groups:
-                if len(at):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([p], pa.int32()), pa.array([one[at].view(np.int64)]), pa.array([two[at].view(np.int64)]), pa.array([rid[row[at]]]), pa.array([size[row[at]]]),
-                         pa.array([(start[at] - offs[row[at]]).astype(np.int32)]), pa.array([(only & mine)[at] if p >= 0 else np.ones(len(at), bool)])], names)
+def _printed(raw: np.ndarray, offs: np.ndarray, zones: list[tuple], rid: np.ndarray, size: np.ndarray, parts: int):
+    """Fingerprints of the strings of contexts of large grams: each is sent once, and what is held twice is told at once (part -1)."""
+    row = np.concatenate([np.full(z["last"] - z["first"] + 1, i) for i, z in zones])
+    mine = np.concatenate([np.full(z["last"] - z["first"] + 1, z["open"]) for _, z in zones])
+    start = np.concatenate([np.arange(z["first"], z["last"] + 1) for _, z in zones]) + offs[row]
+    one = span_prints(raw, start)
+    # a second hash, over the bytes backwards
+    two = span_prints(raw[::-1], len(raw) - start - WINDOW)
+    order = np.lexsort((two, one))
+    one, two, row, mine, start = (x[order] for x in (one, two, row, mine, start))
+    new = np.ones(len(one), bool)
+    new[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
+    begin = np.flatnonzero(new)
+    times = np.diff(np.append(begin, len(one)))
+    alone = np.zeros(len(one), bool)
+    alone[begin[times == 1]] = True
+    dest = (one[begin] % np.uint64(parts)).astype(np.int32)
+    for part, at in [(-1, np.flatnonzero(np.repeat(times > 1, times) & mine))] + [(int(p), begin[dest == p]) for p in np.unique(dest)]:
+        if len(at):
+            yield _sent_row(part, one=one[at].view(np.int64), two=two[at].view(np.int64), rid=rid[row[at]], size=size[row[at]],
+                            at=(start[at] - offs[row[at]]).astype(np.int32), open=(alone & mine)[at])
+
+
+def span_prints(raw: np.ndarray, start: np.ndarray) -> np.ndarray:
+    return bw.span_hash(bw.prefix_sums(raw), start, start + WINDOW)
 
 
 def _matched(batches):
     """Spans of open strings whose fingerprint was sent by two tasks."""
-    held: list[tuple] = [tuple(b.column(c)[i].values.to_numpy(zero_copy_only=False) for c in ("one", "two", "rid", "size", "start", "open")) for b in batches for i in range(b.num_rows)]
+    held: list[tuple] = [tuple(b.column(c)[i].values.to_numpy(zero_copy_only=False) for c in ("one", "two", "rid", "size", "at", "open")) for b in batches for i in range(b.num_rows)]
     if held:
         one, two, rid, size, start, mine = (np.concatenate(x) for x in zip(*held))
         order = np.lexsort((two, one))
@@ -346,7 +351,7 @@ def _span_rows(rid: np.ndarray, size: np.ndarray, start: np.ndarray) -> pa.Recor
 def _told(batches):
     for b in batches:
         for i in range(b.num_rows):
-            yield _span_rows(*(b.column(c)[i].values.to_numpy() for c in ("rid", "size", "start")))
+            yield _span_rows(*(b.column(c)[i].values.to_numpy() for c in ("rid", "size", "at")))
 
 
 SPANS = "rid long, size long, start int, end int"
@@ -357,7 +362,7 @@ def spans(rows: DataFrame) -> DataFrame:
     spark = rows.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     found = save(rows.filter(F.col("size") >= WINDOW).mapInArrow(_anchored, "rid long, size long, gram long, context long, at int, first int, last int"), "suffix-anchors")
-    often = found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
+    often = save(found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram"), "suffix-often")
     # only anchors of repeated grams go on
     held = save(found.join(often, "gram"), "suffix-repeated")
     by_context = save(held.groupBy("gram", "context").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("rid", "size", "at", "first", "last")).alias("z")), "suffix-contexts")
@@ -366,23 +371,17 @@ def spans(rows: DataFrame) -> DataFrame:
              .select("rid", "size", F.col("first").alias("start"), (F.col("last") + WINDOW).alias("end")))
     # one context of each kind stands for all; it is open if it isn't known to be repeated
     open_ = save(by_context.join(by_gram, "gram").select("z.*", "gram", "kinds", (F.col("n") == 1).alias("open")), "suffix-mixed")
-    zone = F.struct("gram", "at", "first", "last", "open")
-
-    def with_text(zones: DataFrame) -> DataFrame:
-        lists = zones.groupBy("rid", "size").agg(F.collect_list(zone).alias("zones"))
-        return rows.join(lists, ["rid", "size"]).select("rid", "size", "text", "zones")
-
-    runs = with_text(open_.filter(F.col("kinds") <= LARGE)).mapInArrow(
-        lambda batches: _runs(batches, parts),
-        "part int, shared array<int>, rest array<binary>, left array<binary>, rid array<long>, size array<long>, at array<int>, open array<boolean>")
-    out = whole.unionByName(runs.repartition(parts, "part").mapInArrow(_merged, SPANS))
-    large = open_.filter(F.col("kinds") > LARGE)
-    if not large.isEmpty():
-        prints = save(with_text(large).mapInArrow(lambda batches: _printed(batches, parts),
-                      "part int, one array<long>, two array<long>, rid array<long>, size array<long>, start array<int>, open array<boolean>"), "suffix-prints")
-        out = (out.unionByName(prints.filter("part < 0").mapInArrow(_told, SPANS))
-               .unionByName(prints.filter("part >= 0").repartition(parts, "part").mapInArrow(_matched, SPANS)))
-    return out
+    zone = F.struct("gram", "at", "first", "last", "open", (F.col("kinds") > LARGE).alias("large"))
+    lists = open_.groupBy("rid", "size").agg(F.collect_list(zone).alias("zones"))
+    sent = rows.join(lists, ["rid", "size"]).select("rid", "size", "text", "zones").mapInArrow(
+        lambda batches: _sent(batches, parts), "part int, shared array<int>, rest array<binary>, left array<binary>, one array<long>, two array<long>, "
+                                               "rid array<long>, size array<long>, at array<int>, open array<boolean>")
+    sent = save(sent, "suffix-sent")
+    runs = sent.filter("shared IS NOT NULL").select("part", "shared", "rest", "left", "rid", "size", "at", "open")
+    prints = sent.filter("one IS NOT NULL").select("part", "one", "two", "rid", "size", "at", "open")
+    return (whole.unionByName(runs.repartition(parts, "part").mapInArrow(_merged, SPANS))
+            .unionByName(prints.filter("part < 0").mapInArrow(_told, SPANS))
+            .unionByName(prints.filter("part >= 0").repartition(parts, "part").mapInArrow(_matched, SPANS)))
 
 
 def keyed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
