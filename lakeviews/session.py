@@ -8,6 +8,8 @@ temporary folder when the setting exists.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -135,6 +137,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="lakeviews-ckpt-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
