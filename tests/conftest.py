@@ -16,7 +16,8 @@ def spark():
 
     s = (SparkSession.builder.master("local[*]").appName("tests").config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false").config("spark.sql.shuffle.partitions", "8")
-         .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "6g").getOrCreate())
+         .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "6g")
+         .config("spark.python.sql.dataFrameDebugging.enabled", "false").getOrCreate())  # else every Column looks up its call site
     s.sparkContext.setLogLevel("ERROR")
     yield s
     from lakeviews.session import clear_scratch

@@ -63,8 +63,8 @@ def test_raw_scan_prunes_to_newest_partition(spark):
     L.land_raw(df, root, "test", "things", "2024-01-01")
     L.land_raw(df, root, "test", "things", "2024-01-02")
     scan = L.scan_raw_csv(spark, root, C, keep_input_order=False)
-    plan = _plan(scan)
-    assert "dt=2024-01-02" in plan and "dt=2024-01-01" not in plan
+    files = scan.inputFiles()
+    assert files and all("/dt=2024-01-02/" in f for f in files)
     assert scan.count() == 1
 
 
@@ -82,7 +82,7 @@ def test_cluster_sizing():
 
 
 def test_keep_last_follows_file_order_across_splits(spark):
-    """One landed file read as several splits: the last row per key is still the last in the file."""
+    """A landed file larger than a split is read by one task (its fields may hold line breaks), in file order."""
     n, keys = 30000, 997
     root = scratch_path(spark, "lake-test")
     ids = F.pmod(F.col("id") * 7919, F.lit(keys)).cast("string")
@@ -96,7 +96,7 @@ def test_keep_last_follows_file_order_across_splits(spark):
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(64 * 1024))
     try:
         scan = L.scan_raw_csv(spark, root, C)
-        assert scan.rdd.getNumPartitions() > 1
+        assert scan.rdd.getNumPartitions() == 1
         out = dedupe_keep_last(coerce_types(scan, C), C.primary_key, F.col(SEQ)).drop(SEQ)
         got = {r.id: r.note for r in out.collect()}
     finally:

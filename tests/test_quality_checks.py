@@ -118,7 +118,7 @@ def test_report_fails_with_nulls(spark):
 def test_report_fails_when_parent_missing(spark):
     df = spark.createDataFrame([("o1", "w1")], "order_id string, widget_id string")
     r = QC.quality_report(QC.run_quality_checks(df, CHILD, {})).collect()[0]
-    assert r.passed is False and r.fk_violations["widget_id"] == -1
+    assert r.passed is False and r.fk_violations["widget_id->test.widgets"] == -1
 
 
 def test_quality_summary(spark):
