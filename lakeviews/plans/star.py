@@ -133,6 +133,9 @@ def build_star(spark: SparkSession, curated: dict[str, DataFrame],
 
 # --- constraints of the star: one metrics row per constraint ---
 def stacked(parts: list[DataFrame]) -> DataFrame:
+    """Union of the parts; an empty metrics table if there are none."""
+    if not parts:
+        return SparkSession.active().createDataFrame([], QC.METRIC_SCHEMA)
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
