@@ -1,8 +1,9 @@
 """Toxicity: FTRL-proximal logistic regression over hashed word n-grams and skip-grams.
 
 Features are the distinct buckets (2^20) of words, word pairs and pairs with
-one word between, lower case, punctuation apart, that enough sampled texts hold.  Per-coordinate rates and L1
-leave few non-zero weights; only those are broadcast.  A bounded sample of
+one word between, lower case, punctuation apart.  All of them are learned from,
+however few texts hold one: per-coordinate rates and L1 alone leave few
+non-zero weights; only those are broadcast.  A bounded sample of
 labelled rows is featurised in parallel and fitted by one task in hash order.
 
 Defined results: null and empty texts have no features and get the
@@ -23,8 +24,6 @@ from lakeviews.llm.training import SAMPLE, labelled
 
 BUCKETS = 1 << 20
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 20.0, 0.5
-FULL = 3_000  # rows from which L1 holds in full; fewer give less evidence to a coordinate
-COMMON = 0.01  # of the sample that holds a feature, at least: rarer ones only remember single rows
 EPOCHS = 5
 
 
@@ -66,12 +65,7 @@ class Ftrl:
 
 def _fitted(batches):
     rows = [(label, x) for b in batches for label, x in zip(b.column("label").to_pylist(), (s.values.to_numpy() for s in b.column("buckets")))]
-    held = np.zeros(BUCKETS, np.int64)
-    for _, x in rows:
-        held[x] += 1
-    common = held >= max(2, COMMON * len(rows))
-    rows = [(label, x[common[x]]) for label, x in rows]
-    model = Ftrl(BUCKETS + 1, L1 * min(1, len(rows) / FULL))  # the last coordinate is the intercept
+    model = Ftrl(BUCKETS + 1)  # the last coordinate is the intercept
     for _ in range(EPOCHS):
         for label, x in rows:
             model.learn(np.append(x, BUCKETS), label)
