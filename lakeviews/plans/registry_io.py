@@ -100,21 +100,20 @@ def _(spark, sf_dir):
 @register("load_star_table")
 def _(spark, sf_dir):
     root = scratch_path(spark, "lake")
-    """Loads all eleven tables; returns the rows of each as read back."""
+    """Loads all eleven tables; returns the rows of each as read back, with every value."""
     L.load_star_tables(spark, _star_from_raw(spark, sf_dir), root, STAR_LOAD_ORDER)
-    loaded = L.read_star(spark, root, STAR_LOAD_ORDER)
-    return S.stacked([df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(t).alias("table_name"), "row_count") for t, df in loaded.items()])
+    return S.stacked_rows(L.read_star(spark, root, STAR_LOAD_ORDER), "table_name")
 
 
 @register("export_flat_csv")
 def _(spark, sf_dir):
-    """Writes all eight exports; returns header and rows of each as read back, and whether they are in order."""
+    """Writes all eight exports; returns the rows of each as read back, the header its files hold and whether they are in order."""
     root = scratch_path(spark, "export")
     built, views = _star_from_raw(spark, sf_dir), V.Views(star(spark, sf_dir))
     sources = {"vw_revenue_vs_hr_cost": views.revenue_vs_hr(), "vw_revenue_vs_hr_cost_by_region": views.by_region(),
                "vw_marketing_spend_vs_sales": views.marketing(), "vw_inventory_turns_vs_sales": views.inventory(),
                "vw_department_pnl": views.pnl(), **{d: built[d] for d in ("dim_date", "dim_department", "dim_region")}}
-    parts = []
+    parts = {}
     for name, view, order in JOB.EXPORTS:
         df = V.to_output(sources[view])
         L.export_flat_csv(df, f"{root}/{name}", order)
@@ -127,9 +126,13 @@ def _(spark, sf_dir):
         before = F.lag("most").over(Window.orderBy("file"))
         checked = by_file.withColumn("ok", (F.col("first") == F.col("least")) & (F.col("last") == F.col("most"))
                                      & F.coalesce(before <= F.col("least"), F.lit(True)))
-        parts.append(checked.agg(F.sum("n").alias("row_count"), F.bool_and("ok").alias("in_order")).select(
-            F.lit(name).alias("export"), F.lit(",".join(df.columns)).alias("header"), "row_count", "in_order"))
-    return S.stacked(parts)
+        lines = spark.read.text(f"{root}/{name}").select("value", F.col("_metadata.file_name").alias("file"),
+                                                         F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
+        first = lines.filter("block = 0").groupBy("file").agg(F.min_by("value", "at").alias("header"))
+        # One row each: the distinct headers of the files, and whether all files are in order.
+        header = first.agg(F.array_join(F.array_sort(F.collect_set("header")), " | ").alias("header"))
+        parts[name] = read.crossJoin(F.broadcast(header)).crossJoin(F.broadcast(checked.agg(F.bool_and("ok").alias("in_order"))))
+    return S.stacked_rows(parts, "export")
 
 
 @register("json_safe_records")

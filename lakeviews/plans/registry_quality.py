@@ -30,13 +30,8 @@ def all_coerced(raw: RawZone) -> dict[str, DataFrame]:
 # ---------------- coercion (§2.2) ----------------
 @register("coerce_types")
 def _(spark, sf_dir):
-    """Every column of every dataset: how many values it keeps, and of how many rows."""
-    parts = []
-    for name, df in all_coerced(_raw(spark, sf_dir)).items():
-        counts = df.agg(F.count(F.lit(1)).alias("n"), *[F.count(c).alias(f"n_{c}") for c in df.columns])
-        per = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.lit(t).alias("type"), F.col(f"n_{c}").alias("kept")) for c, t in df.dtypes]))
-        parts.append(counts.select("n", per.alias("x")).select(F.lit(name).alias("dataset"), "x.column", "x.type", "x.kept", F.col("n").alias("row_count")))
-    return S.stacked(parts)
+    """The coerced rows of every dataset, every column with its value."""
+    return S.stacked_rows(all_coerced(_raw(spark, sf_dir)), "dataset")
 
 
 @register("coerce_date")
@@ -164,15 +159,12 @@ def _(spark, sf_dir):
 
 @register("clean_dataset")
 def _(spark, sf_dir):
-    """All sixteen datasets coerced and de-duplicated: rows and distinct keys."""
-    parts = []
+    """All sixteen datasets coerced and de-duplicated: the rows that are kept, with every value."""
+    kept = {}
     for name, df in all_coerced(_raw(spark, sf_dir)).items():
         pk = CONTRACTS[name].primary_key
-        kept = D.dedupe_keep_last(df, pk, D.total_order(df, exclude=pk))
-        key = F.concat_ws("|", *[F.col(k).cast("string") for k in pk])
-        parts.append(kept.agg(F.count(F.lit(1)).alias("row_count"), F.min(key).alias("least_key"), F.max(key).alias("greatest_key"))
-                     .select(F.lit(name).alias("dataset"), "row_count", "least_key", "greatest_key"))
-    return S.stacked(parts)
+        kept[name] = D.dedupe_keep_last(df, pk, D.total_order(df, exclude=pk))
+    return S.stacked_rows(kept, "dataset")
 
 
 # ---------------- star schema (§2.2, §2.9) ----------------

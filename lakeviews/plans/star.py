@@ -132,6 +132,15 @@ def build_star(spark: SparkSession, curated: dict[str, DataFrame],
 
 
 # --- constraints of the star: one metrics row per constraint ---
+def stacked_rows(parts: dict[str, DataFrame], label: str) -> DataFrame:
+    """All rows of all parts under the columns of all, null where a part lacks one; ``label`` holds the part's name."""
+    out = None
+    for name, df in parts.items():
+        named = df.select(F.lit(name).alias(label), *[F.col(c) for c in df.columns])
+        out = named if out is None else out.unionByName(named, allowMissingColumns=True)
+    return out
+
+
 def stacked(parts: list[DataFrame]) -> DataFrame:
     """Union of the parts; an empty metrics table if there are none."""
     if not parts:
