@@ -2,7 +2,8 @@
 
 The base patterns label credentials in the corpus.  Spark counts the prefixes
 of their character-class strings; the prefix tree of one kind (states that at
-least 1 in ``1 / MIN_SHARE`` of its credentials pass) is merged into a
+least 1 in ``1 / MIN_SHARE`` of its credentials pass, and what follows them:
+rarer states are leaves, which keep their outgoing counts) is merged into a
 probabilistic automaton: states whose outgoing frequencies are statistically
 compatible (Hoeffding bound, recursively) become one.  Every candidate, a
 token of 16 or more credential characters with a letter and a digit, is scored
@@ -44,7 +45,7 @@ SEARCH = PATTERNS | {"hex": re.compile(r"([0-9a-f]{24,})"), "access": re.compile
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
 WORTH = r"(?i:password|passwd|secret|token|api_?key)|[A-Za-z0-9+/_.=-]{16,}"
 
-MIN_SHARE = 0.002  # of a kind's credentials that pass a state, at least
+MIN_SHARE = 0.002  # of a kind's credentials that pass a state whose successors come to the driver, at least
 MIN_LABELLED = 20
 DEPTH = 64  # of the prefix tree; longer credentials go on in the automaton
 ALPHA = 1e-3  # of the compatibility test
@@ -90,33 +91,43 @@ def credentials(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def prefixes(counted: DataFrame) -> DataFrame:
-    """(kind, prefix, passed, ended) of prefix-tree states that enough credentials pass."""
+    """(kind, prefix, passed, ended, follows) of prefix-tree states that enough credentials pass, and of all their children.
+
+    ``follows`` counts the next symbols of a state, whether or not the states they lead to are listed.
+    """
     depth = F.least(F.length("shape"), F.lit(DEPTH))
     each = counted.select("kind", "shape", "n", F.explode(F.sequence(F.lit(0), depth)).alias("d"))
-    states = (each.groupBy("kind", F.expr("substring(shape, 1, d)").alias("prefix"))
-              .agg(F.sum("n").alias("passed"), F.sum(F.when(F.col("d") == F.length("shape"), F.col("n")).otherwise(0)).alias("ended")))
+    steps = (each.groupBy("kind", F.expr("substring(shape, 1, d)").alias("prefix"), F.expr("substring(shape, d + 1, 1)").alias("symbol"))
+             .agg(F.sum("n").alias("n")))
+    states = steps.groupBy("kind", "prefix").agg(
+        F.sum("n").alias("passed"), F.coalesce(F.sum(F.when(F.col("symbol") == "", F.col("n"))), F.lit(0)).alias("ended"),
+        F.map_from_entries(F.array_sort(F.collect_list(F.when(F.col("symbol") != "", F.struct("symbol", "n"))))).alias("follows"))
     total = counted.groupBy("kind").agg(F.sum("n").alias("total"))
-    return (states.join(F.broadcast(total), "kind")  # a row per kind: three
-            .filter((F.col("total") >= MIN_LABELLED) & (F.col("passed") >= F.greatest(F.lit(2.0), F.col("total") * MIN_SHARE)))
-            .select("kind", "prefix", "passed", "ended"))
+    states = save(states.join(F.broadcast(total), "kind").filter(F.col("total") >= MIN_LABELLED), "secret-states")  # a row per kind: three
+    often = states.filter(F.col("passed") >= F.greatest(F.lit(2.0), F.col("total") * MIN_SHARE)).select("kind", F.col("prefix").alias("parent"))
+    parent = F.when(F.col("prefix") != "", F.expr("substring(prefix, 1, length(prefix) - 1)")).otherwise("")
+    # At most DEPTH / MIN_SHARE rows a kind are broadcast.  A state that is passed often has a parent that is.
+    listed = states.withColumn("parent", parent).join(F.broadcast(often), ["kind", "parent"], "left_semi")
+    return listed.select("kind", "prefix", "passed", "ended", "follows")
 
 
 class Automaton:
-    """Probabilistic automaton merged from a prefix tree {prefix: (passed, ended)}.
+    """Probabilistic automaton merged from a prefix tree {prefix: (passed, ended)} or {prefix: (passed, ended, follows)}.
 
-    States are tested in order of their prefix: each is merged into the first
+    ``follows`` counts next symbols, also those whose states the tree doesn't
+    list; without it the listed children are counted.  States are tested in order of their prefix: each is merged into the first
     compatible state already kept, and so are their successors, or is kept.
     """
 
     def __init__(self, tree: dict[str, tuple[int, int]]):
-        self.passed = {p: n for p, (n, _) in tree.items()}
-        self.ended = {p: e for p, (_, e) in tree.items()}
+        self.passed = {p: x[0] for p, x in tree.items()}
+        self.ended = {p: x[1] for p, x in tree.items()}
         self.next: dict[str, dict[str, str]] = {p: {} for p in tree}
-        self.counts: dict[str, dict[str, int]] = {p: {} for p in tree}
+        self.counts: dict[str, dict[str, int]] = {p: dict(x[2]) if len(x) > 2 else {} for p, x in tree.items()}
         for p in sorted(tree, key=len):
             if p and p[:-1] in tree:
                 self.next[p[:-1]][p[-1]] = p
-                self.counts[p[:-1]][p[-1]] = tree[p][0]
+                self.counts[p[:-1]].setdefault(p[-1], tree[p][0])
         kept: list[str] = []
         todo = [""] if "" in tree else []
         while todo:
@@ -197,11 +208,15 @@ def likelihood(automaton: dict, shaped: str) -> float:
 
 def infer(docs: DataFrame, text: str = "text") -> dict[str, tuple[dict, float]]:
     """kind -> (automaton's table, least likelihood of a secret), from all documents' labelled credentials."""
-    counted = save(credentials(docs, text), "secret-shapes")
+    return learned(save(credentials(docs, text), "secret-shapes"))
+
+
+def learned(counted: DataFrame) -> dict[str, tuple[dict, float]]:
+    """``infer`` from (kind, shape, n), a written table."""
     trees: dict[str, dict] = {}
-    # At most DEPTH / MIN_SHARE states a kind come to the driver.
+    # At most DEPTH / MIN_SHARE states a kind and their children come to the driver.
     for r in prefixes(counted).collect():
-        trees.setdefault(r["kind"], {})[r["prefix"]] = (r["passed"], r["ended"])
+        trees.setdefault(r["kind"], {})[r["prefix"]] = (r["passed"], r["ended"], r["follows"])
     tables = {kind: Automaton(tree).table() for kind, tree in sorted(trees.items())}
     if not tables:
         return {}
