@@ -8,8 +8,10 @@ probabilistic automaton: states whose outgoing frequencies are statistically
 compatible (Hoeffding bound, recursively) become one.  Every candidate, a
 token of 16 or more credential characters with a letter and a digit, is scored
 by its likelihood per character under each automaton.  A candidate at least as
-likely as all but 1 % of the kind's labelled credentials is a learned span
-unless a base span overlaps it.
+likely as all but 1 % of the kind's labelled credentials is a learned span.
+Candidates are the runs of credential characters, without what base spans take
+of them; a run that isn't a learned span is tried without punctuation at its
+ends, then in its parts between ``=``, ``/`` and ``.``, one mark after the other.
 
 Defined results: null texts are empty; texts without a match give 0 counts, an
 empty span list and the digest of the empty string; a kind with fewer than
@@ -43,6 +45,9 @@ LEAST = {"assign": 6, "access": 20, "hex": 24}
 # Runs of hex digits or key characters below the least length are never kept, so only longer ones are looked for.
 SEARCH = PATTERNS | {"hex": re.compile(r"([0-9a-f]{24,})"), "access": re.compile(r"(AKIA[A-Z0-9]{16,})")}
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
+LENGTH = 16  # of a candidate, at least
+MARKS = "+/_.=-"  # tried without at both ends
+SPLITS = "=/."
 WORTH = r"(?i:password|passwd|secret|token|api_?key)|[A-Za-z0-9+/_.=-]{16,}"
 
 MIN_SHARE = 0.002  # of a kind's credentials that pass a state whose successors come to the driver, at least
@@ -244,17 +249,57 @@ def learned(counted: DataFrame) -> dict[str, tuple[dict, float]]:
     return out
 
 
+def _runs(text: str, base: list):
+    """(start, end) of the runs of credential characters, and of what base spans leave of them."""
+    taken, i = sorted((s, e) for s, _, e, _ in base), 0
+    for m in CANDIDATE.finditer(text):
+        at = m.start()
+        while i < len(taken) and taken[i][0] < m.end():
+            if taken[i][0] - at >= LENGTH:
+                yield at, taken[i][0]
+            at = max(at, taken[i][1])
+            if taken[i][1] > m.end():  # goes on in later runs
+                break
+            i += 1
+        if m.end() - at >= LENGTH:
+            yield at, m.end()
+
+
+def _parts(text: str, start: int, end: int, mark: str):
+    for part in text[start:end].split(mark):
+        yield start, start + len(part)
+        start += len(part) + 1
+
+
 def spans_of(text: str, model: dict[str, tuple[dict, float]]) -> tuple[list, list]:
     """(base spans, learned spans); a learned one is (start, kind, end, likelihood)."""
     base, learned = base_spans(text), []
-    for m in CANDIDATE.finditer(text) if model else ():
-        value = m[0]
-        if not (re.search("[0-9]", value) and re.search("[A-Za-z]", value)) or any(s < m.end() and m.start() < e for s, _, e, _ in base):
-            continue
+
+    def scored(start: int, end: int) -> bool:
+        value = text[start:end]
+        if len(value) < LENGTH or not (re.search("[0-9]", value) and re.search("[A-Za-z]", value)):
+            return False
         shaped = shape(value)
         best = max(((likelihood(t, shaped) - least, kind) for kind, (t, least) in model.items()))
         if best[0] >= 0:
-            learned.append((m.start(), f"learned_{best[1]}", m.end(), best[0]))
+            learned.append((start, f"learned_{best[1]}", end, best[0]))
+        return best[0] >= 0
+
+    def tried(start: int, end: int, splits: str) -> None:
+        if end - start < LENGTH or scored(start, end):
+            return
+        value = text[start:end]
+        left, right = start + len(value) - len(value.lstrip(MARKS)), start + len(value.rstrip(MARKS))
+        if (left, right) != (start, end) and scored(left, right):
+            return
+        for k, mark in enumerate(splits):
+            if mark in value:
+                for s, e in _parts(text, start, end, mark):
+                    tried(s, e, splits[k + 1:])
+                return
+
+    for start, end in _runs(text, base) if model else ():
+        tried(start, end, SPLITS)
     return base, learned
 
 
