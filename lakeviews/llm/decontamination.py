@@ -16,13 +16,17 @@ bounded broadcast however long the benchmark is.
 
 Defined results: words are lower-case (ASCII) runs of letters, digits and
 non-ASCII characters; a test item's answer is its last quarter of words; items
-of fewer than ``LEAST`` distinct words tell no leak from chance and match
-nothing, nor do null texts; repeated documents and items give repeated rows;
+of fewer than ``LEAST`` distinct words match where a text holds them exactly:
+their words in order or, if they hold a character of a script written without
+spaces, their characters in order; items without a word and null texts match
+nothing; repeated documents and items give repeated rows;
 an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -139,6 +143,55 @@ def _hashes(text: str) -> np.ndarray:
     return bw.words(raw, np.array([0, len(raw)]), bw.PUNCTUATION, lower=True).hash
 
 
+#: Chinese, Japanese, Thai, Lao, Tibetan, Burmese and Khmer are written without spaces.
+UNSPACED = re.compile("[\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+
+
+def _compact(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, offsets) of the texts without what separates words."""
+    keep = ~bw.PUNCTUATION[raw]
+    return raw[keep], np.concatenate([[0], np.cumsum(keep)])[offs]
+
+
+class Exact:
+    """Items of fewer than ``LEAST`` distinct words, by hash of their words or characters in order."""
+
+    def __init__(self, items: list[tuple[int, str]]):
+        self.words: dict[int, dict[int, list]] = {}  # number of words -> hash -> items
+        self.chars: dict[int, dict[int, list]] = {}  # bytes -> hash -> items
+        self.begin = np.zeros(256, bool)  # first bytes of items by characters
+        for item_id, text in items:
+            raw = np.frombuffer((text or "").encode(), np.uint8)
+            w = bw.words(raw, np.array([0, len(raw)]), bw.PUNCTUATION, lower=True)
+            if not 0 < len(np.unique(w.hash)) < LEAST:
+                continue
+            if UNSPACED.search(text):
+                kept, _ = _compact(raw, np.array([0, len(raw)]))
+                at, n, h = self.chars, len(kept), bw.span_hash(bw.prefix_sums(kept, True), np.array([0]), np.array([len(kept)]))
+                first = chr(kept[0])
+                self.begin[[ord(first.lower()), ord(first.upper())] if first.isascii() else kept[0]] = True
+            else:
+                at, n, h = self.words, len(w.hash), bw.grams(w, len(w.hash))[1]
+            at.setdefault(n, {}).setdefault(int(h[0]), []).append(item_id)
+
+    @staticmethod
+    def _hits(known: dict[int, list], row: np.ndarray, h: np.ndarray):
+        hit = np.isin(h, np.array(list(known), np.uint64))
+        return [(int(r), i) for r, v in zip(*bw.distinct(row[hit], h[hit])) for i in known[int(v)]]
+
+    def search(self, w: bw.Words, raw: np.ndarray, offs: np.ndarray) -> list[tuple[int, int]]:
+        """(row, item) of every text that holds an item, once each."""
+        found = [x for n, known in self.words.items() for x in self._hits(known, *bw.grams(w, n))]
+        if self.chars:
+            kept, cut = _compact(raw, offs)
+            sums, start = bw.prefix_sums(kept, True), np.flatnonzero(self.begin[kept])
+            row = np.searchsorted(cut, start, "right") - 1
+            for n, known in self.chars.items():
+                whole = start + n <= cut[row + 1]
+                found += self._hits(known, row[whole], bw.span_hash(sums, start[whole], start[whole] + n))
+        return found
+
+
 def indexes(items: list[tuple[int, str]]) -> list[Index]:
     """The items' index, by the length of passage that they need."""
     by: dict[int, list] = {}
@@ -165,10 +218,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: s
 
     def one_pass(number: int) -> DataFrame:
         listed = tests.filter(F.col("pass") == number).orderBy("item_id", "text").collect()
-        shared = spark.sparkContext.broadcast(indexes([(r["item_id"], r["text"]) for r in listed]))
+        items = [(r["item_id"], r["text"]) for r in listed]
+        shared = spark.sparkContext.broadcast((indexes(items), Exact(items)))
 
         def searched(batches):
-            parts = shared.value
+            parts, exact = shared.value
             for b in batches:
                 for lo, hi, raw, offs in bw.chunks(b.column("text")):
                     w = bw.words(raw, offs, bw.PUNCTUATION, lower=True)
@@ -181,6 +235,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: s
                             if question >= QUESTION and answer >= ANSWER:
                                 key = (int(row), id(part), int(k))
                                 best[key] = max(best.get(key, (0.0, 0.0, 0.0, None)), (score, question, answer, part.ids[k]), key=lambda x: x[:3])
+                    for k, (row, item) in enumerate(exact.search(w, raw, offs)):
+                        best[(row, 0, k)] = (1.0, 1.0, 1.0, item)
                     ids = b.column("doc_id").slice(lo, hi - lo).take(pa.array([r for r, _, _ in best], pa.int64()))
                     found = list(best.values())
                     yield pa.RecordBatch.from_arrays(
