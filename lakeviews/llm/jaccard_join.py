@@ -30,7 +30,7 @@ from fractions import Fraction
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
@@ -48,9 +48,11 @@ SPLITS = 24  # signature values to split on, besides one for each run
 
 
 def runs(similar: float = float(SIMILAR), recall: float = RECALL) -> int:
-    """Runs after which a pair at the threshold has met, split once on the way, with probability ``recall``."""
-    once = similar * (1 - (1 - similar) ** BRANCH)
-    return math.ceil(math.log(1 - recall) / math.log(1 - once))
+    """Runs after which a pair at the threshold has met, split at every depth on the way, with probability ``recall``."""
+    met = 1.0
+    for _ in range(DEPTH - 1):
+        met = 1 - (1 - similar * met) ** BRANCH
+    return math.ceil(math.log(1 - recall) / math.log(1 - similar * met))
 
 
 SIGNATURE = runs() + SPLITS
@@ -106,13 +108,20 @@ def identified(docs: DataFrame, signed: bool, doc_id: str = "doc_id", text: str
     return docs.mapInArrow(of, StructType([*docs.schema.fields, *extra]))
 
 
+def _coordinates() -> list[Column]:
+    """The places in the signature, from 0 and all different, that a node is split on.
+
+    They follow from the node alone, so that all its members use the same.
+    """
+    step = F.pmod(F.xxhash64("node", F.lit(1)), F.lit(SPLITS // BRANCH)) + 1
+    return [F.pmod(F.pmod(F.xxhash64("node", F.lit(0)), F.lit(SPLITS)) + step * k, F.lit(SPLITS)) + runs() for k in range(BRANCH)]
+
+
 def _places(reps: DataFrame) -> DataFrame:
     """(set_id, place, blocks): where classes meet, places of two or more with different members."""
     start = F.explode(F.array(*[F.struct(F.lit(r).alias("run"), F.xxhash64(F.lit(r), F.element_at("signature", r + 1)).alias("node")) for r in range(runs())]))
     nodes = reps.select("set_id", start.alias("s")).select("set_id", "s.run", "s.node")
-    # The coordinates a node is split on follow from the node alone, so that all its members use the same.
-    children = F.array(*[F.xxhash64("node", F.lit(k), F.element_at("signature", (F.pmod(F.xxhash64("node", F.lit(k)), F.lit(SPLITS)) + runs() + 1).cast("int")))
-                         for k in range(BRANCH)])
+    children = F.array(*[F.xxhash64("node", F.lit(k), F.element_at("signature", (at + 1).cast("int"))) for k, at in enumerate(_coordinates())])
     found = []
     for depth in range(1, DEPTH + 1):
         nodes = save(nodes, f"jaccard-nodes{depth}")
