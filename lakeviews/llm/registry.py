@@ -10,8 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeviews.llm import (decontamination, jaccard_join, language, licenses, mixing, quality_model, quality_rules,
-                           secrets, suffix_dedup, toxicity)
+from lakeviews.llm import (decontamination, fill_middle, jaccard_join, language, licenses, line_dedup, mixing, periodic_runs,
+                           quality_model, quality_rules, secrets, suffix_dedup, toxicity)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix": mixing.op1_mix,
@@ -24,10 +24,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": quality_rules.op8_quality_rules,
     "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
     "op10_licenses": licenses.op10_licenses,
+    "op11_fill_middle": fill_middle.op11_fill_middle,
+    "op12_periodic_runs": periodic_runs.op12_periodic_runs,
+    "op13_line_dedup": line_dedup.op13_line_dedup,
 }
 
 ORACLES: dict[str, str] = {
     "op1_mix": mixing.OP1_SQL,
     "op8_quality_rules": quality_rules.OP8_SQL,
     "op10_licenses": licenses.op10_sql(),
+    "op11_fill_middle": fill_middle.OP11_SQL,
+    "op13_line_dedup": line_dedup.OP13_SQL,
 }

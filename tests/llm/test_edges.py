@@ -3,8 +3,8 @@
 import pytest
 from helpers import ODD, labels, odd_docs
 
-from lakeviews.llm import (decontamination, jaccard_join, language, licenses, mixing, quality_model, quality_rules, secrets,
-                           suffix_dedup, toxicity)
+from lakeviews.llm import (decontamination, fill_middle, jaccard_join, language, licenses, line_dedup, mixing, periodic_runs,
+                           quality_model, quality_rules, secrets, suffix_dedup, toxicity)
 
 
 def bench(spark, rows=((1, "one two three four five six seven eight"), (2, None), (3, "the"))):
@@ -28,6 +28,10 @@ PER_DOCUMENT = {
     "rules": lambda s, d: quality_rules.judge(d),
     "suffixes": lambda s, d: suffix_dedup.removed(d),
     "licenses": lambda s, d: licenses.scan(d),
+    "fill in middle": lambda s, d: fill_middle.restore(fill_middle.fill_in_middle(d)),
+    "runs": lambda s, d: periodic_runs.runs(periodic_runs.planted(d)),
+    "lines": lambda s, d: line_dedup.without_shared_lines(d),
+    "lines by join": lambda s, d: line_dedup.without_shared_lines(d, least_docs=2, most_keys=0),
 }
 OTHERS = {
     "leaks": lambda s, d: decontamination.leaks(d, bench(s)),
