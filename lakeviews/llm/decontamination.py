@@ -10,9 +10,10 @@ at or above the threshold are retrieved.  Each is verified on the words around
 the passage: enough of the question's word pairs and of the answer's words.
 
 Passages overlap by half and are at least twice as long as the items they are
-searched for, so that a copied item lies whole in one of them.  An index part
-holds ``PART`` items and a pass over the documents takes ``PARTS`` of them: a
-bounded broadcast however long the benchmark is.
+searched for, so that a copied item lies whole in one of them.  A pass over the
+documents takes up to ``PASS`` items, whatever their texts, which bounds the
+broadcast: posting lists of index parts of ``PART`` items, of which a task opens
+one at a time (as a table of terms and items) for ``OPEN`` bytes of texts.
 
 Defined results: words are lower-case (ASCII) runs of letters, digits and
 non-ASCII characters; a test item's answer is its last quarter of words; items
@@ -20,7 +21,11 @@ of fewer than ``LEAST`` distinct words match where a text holds them exactly:
 their words in order or, if they hold a character of a script written without
 spaces, their characters in order; items without a word and null texts match
 nothing; repeated documents and items give repeated rows;
-an empty table gives no rows; other columns are ignored.
+an empty table gives no rows; other columns are ignored.  ``leaks`` lists every
+match.  ``clean`` keeps a document whose only matches say nothing: an item of
+one word (or of fewer than ``CHARS`` characters of a script without spaces),
+or an exactly matched item that more than ``SHARE`` of all documents, and more
+than ``FEW``, hold.
 """
 
 from __future__ import annotations
@@ -33,37 +38,52 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeviews.llm import bytewords as bw
-from lakeviews.llm.common import hash60, save, table
+from lakeviews.llm.common import save, table
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.5
 QUESTION, ANSWER = 0.5, 0.5  # least overlap
 LEAST = 6
 SHORTEST = 32  # words of half a passage
-PART, PARTS, BLOCK = 256, 8, 8
-SLOTS = 18
+PART, PASS, BLOCK = 512, 1 << 16, 8
+OPEN = 4 << 20
+SLOTS = 16
+CHARS, SHARE, FEW = 4, 0.01, 20
 
 
 class Index:
-    """Items of at most ``half`` words: impacts by term and item, bounds by term and by term and block."""
+    """Items of at most ``half`` words: posting lists by term (item's place, impact) and, while open, bounds by term and block."""
 
-    def __init__(self, items: list[tuple[int, np.ndarray]], half: int):
+    def __init__(self, items: list[tuple], half: int):
         self.half, self.ids, self.texts = half, [i for i, _ in items], [h for _, h in items]
         own = [np.unique(h, return_counts=True) for _, h in items]
         self.terms = np.unique(np.concatenate([t for t, _ in own]))
         n, size = len(items), np.array([len(h) for _, h in items], float)
-        impact = np.zeros((len(self.terms) + 1, -(-n // BLOCK) * BLOCK), np.float32)
         at = [np.searchsorted(self.terms, t) for t, _ in own]
         holds = np.bincount(np.concatenate(at), minlength=len(self.terms))
         idf = np.log(1 + (n - holds + 0.5) / (holds + 0.5))
-        for k, (a, (_, tf)) in enumerate(zip(at, own)):
-            score = idf[a] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size[k] / size.mean()))
-            impact[a, k] = score / score.sum()
+        score = [idf[a] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size[k] / size.mean())) for k, (a, (_, tf)) in enumerate(zip(at, own))]
+        order = np.argsort(np.concatenate(at), kind="stable")
+        self.posted = np.repeat(np.arange(n, dtype=np.int32), [len(a) for a in at])[order]
+        self.value = np.concatenate([x / x.sum() for x in score]).astype(np.float32)[order]
+        self.begin = np.concatenate([[0], np.cumsum(holds)])
+        self.open()
+
+    def open(self) -> "Index":
+        impact = np.zeros((len(self.terms) + 1, -(-len(self.ids) // BLOCK) * BLOCK), np.float32)
+        impact[np.repeat(np.arange(len(self.terms)), np.diff(self.begin)), self.posted] = self.value
         self.impact = impact
         self.block = impact.reshape(len(impact), -1, BLOCK).max(2)
         self.term = impact.max(1)
         slot = (self.terms >> np.uint64(64 - SLOTS)).astype(np.int64)
         self.slots = np.searchsorted(slot, np.arange((1 << SLOTS) + 1))  # of the terms with these first bits
+        return self
+
+    def close(self) -> None:
+        self.impact = self.block = self.term = self.slots = None
+
+    def __getstate__(self):
+        return {**self.__dict__, "impact": None, "block": None, "term": None, "slots": None}
 
     def find(self, h: np.ndarray) -> np.ndarray:
         """Term numbers of word hashes; len(terms) where there is none."""
@@ -154,9 +174,13 @@ def _compact(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 class Exact:
-    """Items of fewer than ``LEAST`` distinct words, by hash of their words or characters in order."""
+    """Items of fewer than ``LEAST`` distinct words, by hash of their words or characters in order.
+
+    ``telling`` has those of more than one word, or of ``CHARS`` characters.
+    """
 
     def __init__(self, items: list[tuple[int, str]]):
+        self.telling: set[int] = set()
         self.words: dict[int, dict[int, list]] = {}  # number of words -> hash -> items
         self.chars: dict[int, dict[int, list]] = {}  # bytes -> hash -> items
         self.begin = np.zeros(256, bool)  # first bytes of items by characters
@@ -168,10 +192,13 @@ class Exact:
             if UNSPACED.search(text):
                 kept, _ = _compact(raw, np.array([0, len(raw)]))
                 at, n, h = self.chars, len(kept), bw.span_hash(bw.prefix_sums(kept, True), np.array([0]), np.array([len(kept)]))
-                first = chr(kept[0])
+                first, telling = chr(kept[0]), len(kept.tobytes().decode()) >= CHARS
                 self.begin[[ord(first.lower()), ord(first.upper())] if first.isascii() else kept[0]] = True
             else:
                 at, n, h = self.words, len(w.hash), bw.grams(w, len(w.hash))[1]
+                telling = n > 1
+            if telling:
+                self.telling.add(item_id)
             at.setdefault(n, {}).setdefault(int(h[0]), []).append(item_id)
 
     @staticmethod
@@ -193,7 +220,7 @@ class Exact:
 
 
 def indexes(items: list[tuple[int, str]]) -> list[Index]:
-    """The items' index, by the length of passage that they need."""
+    """The items' index, by the length of passage that they need; parts are open until they are sent."""
     by: dict[int, list] = {}
     for item_id, text in items:
         h = _hashes(text or "")
@@ -205,43 +232,53 @@ def indexes(items: list[tuple[int, str]]) -> list[Index]:
     return [Index(rows[k:k + PART], half) for half, rows in sorted(by.items()) for k in range(0, len(rows), PART)]
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
-          item_text: str = "text") -> DataFrame:
-    """(doc_id, item_id, score, question_overlap, answer_overlap): the best passage of each document for each item it holds."""
+def _batched(batch: pa.RecordBatch, limit: int = OPEN):
+    """(row, row's end) of runs of whole texts of about ``limit`` bytes."""
+    for lo, hi, _, _ in bw.chunks(batch.column("text"), limit):
+        yield batch.slice(lo, hi - lo)
+
+
+def _found(docs: DataFrame, benchmark: DataFrame, doc_id: str, text: str, item_id: str, item_text: str) -> DataFrame:
+    """The rows of ``leaks``, and: place, which tells benchmark rows apart; how, 0 by score, 1 exactly, 2 exactly but by one word."""
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind, item_kind = dict(rows.dtypes)["doc_id"], dict(benchmark.dtypes)[item_id]
-    schema = f"doc_id {kind}, item_id {item_kind}, score double, question_overlap double, answer_overlap double"
+    schema = f"doc_id {kind}, item_id {item_kind}, score double, question_overlap double, answer_overlap double, place long, how int"
     tests = benchmark.select(F.col(item_id).alias("item_id"), F.col(item_text).alias("text")).filter("text IS NOT NULL")
-    passes = max(1, -(-tests.count() // (PART * PARTS)))
-    tests = save(tests.withColumn("pass", F.pmod(hash60(F.col("text")), F.lit(passes))), "leaks-items") if passes > 1 else tests.withColumn("pass", F.lit(0))
+    tests = save(tests.withColumn("place", F.monotonically_increasing_id()), "leaks-items")
+    passes = max(1, -(-tests.count() // PASS))
 
     def one_pass(number: int) -> DataFrame:
-        listed = tests.filter(F.col("pass") == number).orderBy("item_id", "text").collect()
-        items = [(r["item_id"], r["text"]) for r in listed]
-        shared = spark.sparkContext.broadcast((indexes(items), Exact(items)))
+        listed = tests.filter(F.pmod("place", F.lit(passes)) == number).orderBy("place").toArrow().combine_chunks()
+        ids, places = (listed.column(c).combine_chunks() for c in ("item_id", "place"))  # ids keep their type
+        items = list(enumerate(listed.column("text").to_pylist()))
+        shared = spark.sparkContext.broadcast((indexes(items), Exact(items), ids, places))
 
         def searched(batches):
-            parts, exact = shared.value
-            for b in batches:
-                for lo, hi, raw, offs in bw.chunks(b.column("text")):
-                    w = bw.words(raw, offs, bw.PUNCTUATION, lower=True)
-                    best: dict[tuple, tuple] = {}
+            parts, exact, ids, places = shared.value
+            for whole in batches:
+                for b in _batched(whole):
+                    chunks = [(lo, raw, offs, bw.words(raw, offs, bw.PUNCTUATION, lower=True)) for lo, _, raw, offs in bw.chunks(b.column("text"))]
+                    found = [(lo + row, item, 1.0, 1.0, 1.0, 1 if item in exact.telling else 2)
+                             for lo, raw, offs, w in chunks for row, item in exact.search(w, raw, offs)]
                     for part in parts:
-                        for row, word, k, score in zip(*part.search(w)):
-                            item = part.texts[k]
-                            around = w.hash[max(w.first[row], word - len(item)):min(w.first[row + 1], word + 2 * part.half + len(item))]
-                            question, answer = verified(item, around)
-                            if question >= QUESTION and answer >= ANSWER:
-                                key = (int(row), id(part), int(k))
-                                best[key] = max(best.get(key, (0.0, 0.0, 0.0, None)), (score, question, answer, part.ids[k]), key=lambda x: x[:3])
-                    for k, (row, item) in enumerate(exact.search(w, raw, offs)):
-                        best[(row, 0, k)] = (1.0, 1.0, 1.0, item)
-                    ids = b.column("doc_id").slice(lo, hi - lo).take(pa.array([r for r, _, _ in best], pa.int64()))
-                    found = list(best.values())
+                        part.open()
+                        for lo, raw, offs, w in chunks:
+                            best: dict[tuple, tuple] = {}
+                            for row, word, k, score in zip(*part.search(w)):
+                                item = part.texts[k]
+                                around = w.hash[max(w.first[row], word - len(item)):min(w.first[row + 1], word + 2 * part.half + len(item))]
+                                question, answer = verified(item, around)
+                                if question >= QUESTION and answer >= ANSWER:
+                                    key = (lo + int(row), part.ids[k])
+                                    best[key] = max(best.get(key, (0.0, 0.0, 0.0)), (score, question, answer))
+                            found += [(*key, *values, 0) for key, values in best.items()]
+                        part.close()
+                    row, item, *values = zip(*found) if found else [()] * 6
+                    row, item = pa.array(row, pa.int64()), pa.array(item, pa.int64())
                     yield pa.RecordBatch.from_arrays(
-                        [ids, pa.array([x[3] for x in found], pa.int64() if item_kind == "bigint" else None), *[pa.array([x[c] for x in found], pa.float64()) for c in range(3)]],
-                        ["doc_id", "item_id", "score", "question_overlap", "answer_overlap"])
+                        [b.column("doc_id").take(row), ids.take(item), *[pa.array(x, pa.float64()) for x in values[:3]], places.take(item), pa.array(values[3], pa.int32())],
+                        ["doc_id", "item_id", "score", "question_overlap", "answer_overlap", "place", "how"])
 
         return rows.mapInArrow(searched, schema)
 
@@ -251,13 +288,26 @@ def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: s
     return out
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents, all columns, without those that hold a test item; rows without an id are judged by their text."""
+def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
+          item_text: str = "text") -> DataFrame:
+    """(doc_id, item_id, score, question_overlap, answer_overlap): the best passage of each document for each item it holds."""
+    return _found(docs, benchmark, doc_id, text, item_id, item_text).drop("place", "how")
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", share: float = SHARE, few: int = FEW) -> DataFrame:
+    """The documents, all columns, without those that hold a test item; rows without an id are judged by their text.
+
+    Exactly matched items that more than ``share`` of the documents (and more
+    than ``few``) hold, and those of one word, drop nothing.
+    """
     key = "leak_key"
     while key in docs.columns:
         key = f"_{key}"
     keyed = docs.withColumn(key, F.xxhash64(F.col(doc_id), F.col(text)))
-    found = save(leaks(keyed, benchmark, key, text).select(F.col("doc_id").alias(key)).distinct(), "leaks-found")
+    found = save(_found(keyed, benchmark, key, text, "item_id", "text").filter("how < 2").select(F.col("doc_id").alias(key), "place", "how"), "leaks-found")
+    most = max(few, share * docs.count())
+    common = found.filter("how = 1").groupBy("place").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > most).select("place")
+    found = found.join(common, "place", "left_anti").select(key).distinct()
     return keyed.join(found, key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

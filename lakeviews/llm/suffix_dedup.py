@@ -46,6 +46,7 @@ WINDOW = 400
 GRAM = 64
 LARGE = 2_000
 RUN_BYTES = 24 << 20  # of contexts in a sorted run
+PART_BYTES = 4 << 20  # of contexts, or of their strings' fingerprints, that one task merges, about
 _LOW = np.uint64(0xFFFFFFFF)
 
 
@@ -76,15 +77,29 @@ def anchors(raw: np.ndarray, offs: np.ndarray) -> dict[str, np.ndarray]:
     return {"row": row, "at": at - base, "first": first - base, "last": last - base, "gram": gram[at].view(np.int64), "context": context.view(np.int64)}
 
 
+def _pieces(raw: np.ndarray, offs: np.ndarray):
+    """(place in the text, bytes, offsets): chunks of texts, and a long text in pieces that share ``WINDOW`` - 1 bytes.
+
+    A context that a cut divides becomes two, which hold no string in common.
+    """
+    if len(offs) > 2 or len(raw) <= 2 * bw.CHUNK:
+        yield 0, raw, offs
+        return
+    for at in range(0, len(raw) - WINDOW + 1, bw.CHUNK):
+        piece = raw[at:at + bw.CHUNK + WINDOW - 1]
+        yield at, piece, np.array([0, len(piece)])
+
+
 def _anchored(batches):
     for b in batches:
+        keys = b.select(["rid", "size"])  # a text isn't copied for each of its anchors
         for lo, hi, raw, offs in bw.chunks(b.column("text")):
-            a = anchors(raw, offs)
-            rows = b.slice(lo, hi - lo).take(pa.array(a["row"]))
-            yield pa.RecordBatch.from_arrays(
-                [rows.column("rid"), rows.column("size"), pa.array(a["gram"]), pa.array(a["context"]),
-                 *[pa.array(a[k].astype(np.int32)) for k in ("at", "first", "last")]],
-                ["rid", "size", "gram", "context", "at", "first", "last"])
+            for at, piece, ends in _pieces(raw, offs):
+                a = anchors(piece, ends)
+                rows = keys.slice(lo, hi - lo).take(pa.array(a["row"]))
+                yield pa.RecordBatch.from_arrays(
+                    [*rows.columns, pa.array(a["gram"]), pa.array(a["context"]), *[pa.array((a[k] + at).astype(np.int32)) for k in ("at", "first", "last")]],
+                    ["rid", "size", "gram", "context", "at", "first", "last"])
 
 
 def common(a: bytes, b: bytes, known: int = 0) -> int:
@@ -359,8 +374,6 @@ SPANS = "rid long, size long, start int, end int"
 
 def spans(rows: DataFrame) -> DataFrame:
     """(rid, size, start, end): repeated byte spans of (rid, size, text); they may overlap."""
-    spark = rows.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     found = save(rows.filter(F.col("size") >= WINDOW).mapInArrow(_anchored, "rid long, size long, gram long, context long, at int, first int, last int"), "suffix-anchors")
     often = save(found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram"), "suffix-often")
     # only anchors of repeated grams go on
@@ -371,6 +384,10 @@ def spans(rows: DataFrame) -> DataFrame:
              .select("rid", "size", F.col("first").alias("start"), (F.col("last") + WINDOW).alias("end")))
     # one context of each kind stands for all; it is open if it isn't known to be repeated
     open_ = save(by_context.join(by_gram, "gram").select("z.*", "gram", "kinds", (F.col("n") == 1).alias("open")), "suffix-mixed")
+    # as many parts as what is sent needs; a gram of at most LARGE contexts is a small piece of one
+    strings = F.col("last") - F.col("first") + 1
+    total = open_.agg(F.sum(F.when(F.col("kinds") > LARGE, strings * 40).otherwise(strings + WINDOW))).first()[0] or 0
+    parts = max(1, -(-total // PART_BYTES))
     zone = F.struct("gram", "at", "first", "last", "open", (F.col("kinds") > LARGE).alias("large"))
     lists = open_.groupBy("rid", "size").agg(F.collect_list(zone).alias("zones"))
     sent = rows.join(lists, ["rid", "size"]).select("rid", "size", "text", "zones").mapInArrow(
@@ -379,9 +396,9 @@ def spans(rows: DataFrame) -> DataFrame:
     sent = save(sent, "suffix-sent")
     runs = sent.filter("shared IS NOT NULL").select("part", "shared", "rest", "left", "rid", "size", "at", "open")
     prints = sent.filter("one IS NOT NULL").select("part", "one", "two", "rid", "size", "at", "open")
-    return (whole.unionByName(runs.repartition(parts, "part").mapInArrow(_merged, SPANS))
+    return (whole.unionByName(runs.repartitionById(parts, F.col("part")).mapInArrow(_merged, SPANS))
             .unionByName(prints.filter("part < 0").mapInArrow(_told, SPANS))
-            .unionByName(prints.filter("part >= 0").repartition(parts, "part").mapInArrow(_matched, SPANS)))
+            .unionByName(prints.filter("part >= 0").repartitionById(parts, F.col("part")).mapInArrow(_matched, SPANS)))
 
 
 def keyed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
