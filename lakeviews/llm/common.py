@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +19,27 @@ SPACES = " \t\n\x0b\f\r"
 # many rows; beyond that the join is left to Spark's own sized choice.
 BROADCAST_ROWS = 100_000
 
+# Rows of an Arrow batch, which the JVM and a Python worker hold at once: texts are long.
+ARROW_ROWS = 2_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most ``ARROW_ROWS`` rows in this session, from now on."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(setting)) <= ARROW_ROWS:
+        spark.conf.set(setting, str(ARROW_ROWS))
+
+
+def slices(batch: pa.RecordBatch, limit: int, text: str = "text") -> Iterator[pa.RecordBatch]:
+    """Runs of whole rows of about ``limit`` bytes of text; one row at least."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < batch.num_rows:
+        before = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, before + limit, "right")))
+        yield batch.slice(at, to - at)
+        at = to
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

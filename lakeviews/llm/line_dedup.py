@@ -39,13 +39,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeviews.llm import bytewords as bw
-from lakeviews.llm.common import save, table
+from lakeviews.llm.common import save, slices, small_batches, table
 
 LEAST_CHARS, LEAST_DOCS = 20, 3
 BITS_A_KEY, HASHES = 8, 3
 MOST_BITS = 1 << 29  # 64 MB a filter
 SLICE = 1 << 20
 KEYS = 1 << 20
+OUT = 4 << 20  # bytes of texts that are put out at once, about
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
@@ -187,7 +188,7 @@ def _digest(key: bytes) -> bytes:
 def _dropped(listed, least: int):
     """Texts without the lines that ``listed`` drops: its call tells which long lines are worth a look, ``drops`` decides by the key."""
     def run(batches):
-        for b in batches:
+        for b in (x for whole in batches for x in slices(whole, OUT)):
             ids = b.column("doc_id").to_pylist()
             kept, total, gone = [], [], []
             for lo, hi, raw, offs in bw.chunks(b.column("text")):
@@ -247,6 +248,7 @@ def without_shared_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "t
                          least_docs: int = LEAST_DOCS, most_bits: int = MOST_BITS, most_keys: int = KEYS) -> DataFrame:
     """(doc_id, n_lines, n_dropped, kept): every document, with the lines that stay joined by line breaks."""
     spark = docs.sparkSession
+    small_batches(spark)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     kind = dict(rows.dtypes)["doc_id"]
     rows = rows.withColumn("rid", F.xxhash64("doc_id", "text"))
