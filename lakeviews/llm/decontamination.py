@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeviews.llm import bytewords as bw
-from lakeviews.llm.common import save, table
+from lakeviews.llm.common import save, slices, table
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.5
@@ -232,12 +232,6 @@ def indexes(items: list[tuple[int, str]]) -> list[Index]:
     return [Index(rows[k:k + PART], half) for half, rows in sorted(by.items()) for k in range(0, len(rows), PART)]
 
 
-def _batched(batch: pa.RecordBatch, limit: int = OPEN):
-    """(row, row's end) of runs of whole texts of about ``limit`` bytes."""
-    for lo, hi, _, _ in bw.chunks(batch.column("text"), limit):
-        yield batch.slice(lo, hi - lo)
-
-
 def _found(docs: DataFrame, benchmark: DataFrame, doc_id: str, text: str, item_id: str, item_text: str) -> DataFrame:
     """The rows of ``leaks``, and: place, which tells benchmark rows apart; how, 0 by score, 1 exactly, 2 exactly but by one word."""
     spark = docs.sparkSession
@@ -257,7 +251,7 @@ def _found(docs: DataFrame, benchmark: DataFrame, doc_id: str, text: str, item_i
         def searched(batches):
             parts, exact, ids, places = shared.value
             for whole in batches:
-                for b in _batched(whole):
+                for b in slices(whole, OPEN):
                     chunks = [(lo, raw, offs, bw.words(raw, offs, bw.PUNCTUATION, lower=True)) for lo, _, raw, offs in bw.chunks(b.column("text"))]
                     found = [(lo + row, item, 1.0, 1.0, 1.0, 1 if item in exact.telling else 2)
                              for lo, raw, offs, w in chunks for row, item in exact.search(w, raw, offs)]

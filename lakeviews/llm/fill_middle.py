@@ -21,15 +21,13 @@ are whole; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeviews.llm.common import table
+from lakeviews.llm.common import slices, small_batches, table
 
 SEED = 7
 RATE, SPM = 100, 50  # percent of texts that are transformed; of these, put out as spm
@@ -38,17 +36,6 @@ SLICE = 4 << 20
 OUT = pa.schema([("n", pa.int64()), ("form", pa.string()), ("prefix_chars", pa.int64()), ("middle_chars", pa.int64()), ("output", pa.large_string())])
 
 
-def slices(batch: pa.RecordBatch, limit: int = SLICE) -> Iterator[pa.RecordBatch]:
-    """Runs of whole rows of about ``limit`` bytes of text; one row at least."""
-    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False))
-    at = 0
-    while at < batch.num_rows:
-        before = ends[at - 1] if at else 0
-        to = max(at + 1, int(np.searchsorted(ends, before + limit, "right")))
-        yield batch.slice(at, to - at)
-        at = to
-
-
 def units(texts: pa.Array) -> pa.LargeListArray:
     """Lists of lines, each with its break; nothing for an empty text."""
     lines = pc.split_pattern(texts, "\n")
@@ -122,11 +109,12 @@ def draws(doc_id: str = "doc_id", seed: int = SEED):
 
 def fill_in_middle(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", seed: int = SEED, rate: int = RATE, spm: int = SPM) -> DataFrame:
     """(doc_id, n, form, prefix_chars, middle_chars, output), one row per document."""
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).select("doc_id", "text", *draws("doc_id", seed))
 
     def run(batches):
         for batch in batches:
-            for b in slices(batch):
+            for b in slices(batch, SLICE):
                 out = transformed(b.column("text"), [b.column(f"h{k}").to_numpy() for k in range(1, 5)], rate, spm)
                 columns = [out.column(i) for i in range(4)] + [out.column(4).cast(pa.string())]
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), *columns], ["doc_id", *OUT.names])

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeviews.llm.common import WORD, let, table
+from lakeviews.llm.common import WORD, let, small_batches, table
 
 TIMES, LEAST = 4, 6
 BLOCK = 16
@@ -294,6 +294,7 @@ RUNS = pa.list_(pa.struct([(c, pa.int64()) for c in ("start", "length", "period"
 
 def runs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_words, runs, collapsed), one row per document: all runs by start, then period, and the text without their repetitions."""
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = dict(rows.dtypes)["doc_id"]
     return rows.mapInArrow(_searched, f"doc_id {kind}, n_words long, runs array<struct<start: long, length: long, period: long>>, collapsed string")

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeviews.llm import bytewords as bw
-from lakeviews.llm.common import save, table
+from lakeviews.llm.common import save, small_batches, table
 
 WINDOW = 400
 GRAM = 64
@@ -409,6 +409,7 @@ def keyed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
 
 def removed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", with_bytes: bool = True) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256), one row per document; ``with_bytes``: and kept, the remaining bytes."""
+    small_batches(docs.sparkSession)
     rows = keyed(docs, doc_id, text)
     found = save(spans(rows.select("rid", "size", "text")), "suffix-spans")
     lists = found.groupBy("rid", "size").agg(F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends"))

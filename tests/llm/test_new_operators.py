@@ -11,6 +11,7 @@ import pytest
 from helpers import ODD, SMALL, WORD, documents, odd_docs
 
 from lakeviews.llm import fill_middle, line_dedup, periodic_runs
+from lakeviews.llm.common import slices
 
 PAIRS = "doc_id long, text string"
 
@@ -58,7 +59,7 @@ def test_restored_odd_texts(spark):
 
 def test_slices_cover_all_rows_once():
     batch = pa.RecordBatch.from_arrays([pa.array(["a" * n for n in (0, 5, 100, 3, 0, 0, 50)] + [None])], ["text"])
-    assert pa.Table.from_batches(list(fill_middle.slices(batch, 10))).column("text").to_pylist() == batch.column("text").to_pylist()
+    assert pa.Table.from_batches(list(slices(batch, 10))).column("text").to_pylist() == batch.column("text").to_pylist()
 
 
 # periodic runs
