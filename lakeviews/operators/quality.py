@@ -9,7 +9,10 @@ Every check produces rows of one long metrics table
   fk          orphan rows per foreign key; -1 when the parent or the
               column is missing (unverifiable counts as a failure)
 
-Plan shape: row count, NULL counts and duplicates come from one pass, a
+``dataset_metrics`` and ``constraint_metrics`` take all datasets (or star tables)
+through one exchange (see ``audit``); the functions of one dataset are lazy.
+
+Plan shape of these: row count, NULL counts and duplicates come from one pass, a
 ``groupBy(primary key)`` holding per-key row and NULL counts followed by a
 global sum (partial aggregation, so a hot key is combined map-side and a
 dataset is scanned once for all three); orphans first count the child per
@@ -26,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeviews.contracts import Contract
+from lakeviews.operators import audit as A
 
 METRIC_SCHEMA = T.StructType([
     T.StructField("dataset", T.StringType()),
@@ -145,6 +149,73 @@ def run_quality_checks(df: DataFrame, contract: Contract, parents: dict | None =
                                     check_referential_integrity(df, contract, parents)])
 
 
+def dataset_metrics(frames: dict[str, DataFrame], contracts: dict[str, Contract], checks: tuple[str, ...] = ("row_count", "null", "duplicate", "fk"),
+                    parents: dict[str, DataFrame] | None = None) -> DataFrame:
+    """The chosen metrics of all datasets, from one scan of each and one exchange.
+
+    ``parents`` are the frames that foreign keys may point to (``frames``, unless
+    given); a key whose parent or column isn't there counts -1.
+    """
+    parents = frames if parents is None else parents
+    known = {**parents, **frames}
+    rules, rows = [], []  # a metric row is (dataset, check, column, parent, rule's number and field, or a fixed value)
+
+    def ruled(rule) -> int:
+        rules.append(rule)
+        return len(rules) - 1
+
+    for name, df in frames.items():
+        contract = contracts[name]
+        keys = tuple(k for k in contract.primary_key if k in df.columns)
+        if "row_count" in checks or "duplicate" in checks:
+            number = ruled(A.Unique(name, keys) if keys else A.Count(name, lambda d: F.lit(True)))
+            if "row_count" in checks:
+                rows.append((name, "row_count", None, None, (number, "rows")))
+            if "duplicate" in checks:
+                rows.append((name, "duplicate", None, None, (number, "repeated") if keys else 0))
+        if "null" in checks:
+            rows += [(name, "null", c, None, (ruled(A.Count(name, lambda d, c=c: is_missing(d, c))), "rows")) for c in contract.not_null if c in df.columns]
+        if "fk" in checks:
+            for column, parent, parent_column in contract.fk_checks:
+                there = parent in parents and column in df.columns and parent_column in parents[parent].columns
+                rows.append((name, "fk", column, parent, (ruled(A.Refer(name, column, parent, parent_column)), "orphans") if there else -1))
+    return _measured(known, rules, rows)
+
+
+def _measured(frames: dict[str, DataFrame], rules: list, rows: list[tuple]) -> DataFrame:
+    totals = A.audit(frames, rules)
+    spark = SparkSession.active() if not frames else next(iter(frames.values())).sparkSession
+    return spark.createDataFrame([(*r[:4], getattr(totals[r[4][0]], r[4][1]) if isinstance(r[4], tuple) else r[4]) for r in rows], METRIC_SCHEMA)
+
+
+def constraint_metrics(star: dict[str, DataFrame], tables: dict, checks: tuple[str, ...] = ("pk", "fk", "not_null", "varchar")) -> DataFrame:
+    """Violations of the chosen constraints of all star tables, from one scan of each and one exchange."""
+    rules, rows = [], []
+
+    def measured(table, check, column, parent, rule, field) -> None:
+        rules.append(rule)
+        rows.append((table, check, column, parent, (len(rules) - 1, field)))
+
+    for table, df in star.items():
+        spec = tables[table]
+        if "pk" in checks:
+            label, keys = ",".join(spec.primary_key), tuple(spec.primary_key)
+            measured(table, "pk_duplicate", label, None, A.Unique(table, keys), "repeated")
+            rows.append((table, "pk_null", label, None, (len(rules) - 1, "void")))
+        if "fk" in checks:
+            for column, dim, dim_column in spec.foreign_keys:
+                if dim in star:
+                    measured(table, "fk", column, dim, A.Refer(table, column, dim, dim_column), "orphans")
+        if "not_null" in checks:
+            for c in spec.not_null:
+                measured(table, "not_null", c, None, A.Count(table, lambda d, c=c: F.col(c).isNull()), "rows")
+        if "varchar" in checks:
+            for c, _, n in spec.columns:
+                if n:
+                    measured(table, "varchar", c, None, A.Count(table, lambda d, c=c, n=n: F.length(F.col(c).cast("string")) > n), "rows")
+    return _measured(star, rules, rows)
+
+
 def quality_report(metrics: DataFrame) -> DataFrame:
     """One report row per dataset: row_count, null map, duplicate count, fk map, passed."""
     check, value = F.col("check"), F.col("value")

@@ -64,6 +64,15 @@ def _(spark, sf_dir):
     return L.scan_raw_csv(spark, root, c, keep_input_order=False)
 
 
+@register("scan_raw_csv_blocks")
+def _(spark, sf_dir):
+    """Documents landed as CSV, with the line breaks and quotes of their texts, and read back a block a task."""
+    docs = star(spark, sf_dir).t.documents.select(F.col("doc_id").cast("string").alias("doc_id"), "lang", "source", "text")
+    path = scratch_path(spark, "csv-documents")
+    docs.write.options(**L.CSV).csv(path)
+    return L.read_csv(spark, path, docs.schema, split_above=0).drop("position")
+
+
 @register("raw_file_inventory")
 def _(spark, sf_dir):
     """Data rows of the landed files, by dataset and day."""

@@ -95,34 +95,26 @@ def _(spark, sf_dir):
 
 
 # ---------------- quality checks (§2.8) ----------------
-def _metrics_all(raw: RawZone) -> DataFrame:
-    cur = all_coerced(raw)
-    parts = [QC.run_quality_checks(cur[n], CONTRACTS[n], cur) for n in TRANSFORM_ORDER]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def _metrics_all(raw: RawZone, *checks: str) -> DataFrame:
+    return QC.dataset_metrics(all_coerced(raw), CONTRACTS, *[checks] * bool(checks))
 
 
 @register("check_nulls")
 def _(spark, sf_dir):
-    cur = all_coerced(_raw(spark, sf_dir))
-    return S.stacked([QC.check_nulls(cur[n], CONTRACTS[n]) for n in TRANSFORM_ORDER])
+    return _metrics_all(_raw(spark, sf_dir), "row_count", "null")
 
 
 @register("check_duplicates")
 def _(spark, sf_dir):
-    cur = all_coerced(_raw(spark, sf_dir))
-    return S.stacked([QC.check_duplicates(cur[n], CONTRACTS[n]) for n in TRANSFORM_ORDER])
+    return _metrics_all(_raw(spark, sf_dir), "duplicate")
 
 
 @register("check_referential_integrity")
 def _(spark, sf_dir):
     """Every foreign key of every dataset, and those of one dataset whose parents aren't there (-1)."""
     cur = all_coerced(_raw(spark, sf_dir))
-    parts = [QC.check_referential_integrity(cur[n], CONTRACTS[n], cur) for n in TRANSFORM_ORDER if CONTRACTS[n].fk_checks]
-    alone = QC.check_referential_integrity(cur["hr.attrition_events"], CONTRACTS["hr.attrition_events"], {})
-    return S.stacked([*parts, alone.withColumn("dataset", F.concat("dataset", F.lit(" (no parents)")))])
+    alone = QC.dataset_metrics({"hr.attrition_events": cur["hr.attrition_events"]}, CONTRACTS, ("fk",), {})
+    return S.stacked([QC.dataset_metrics(cur, CONTRACTS, ("fk",)), alone.withColumn("dataset", F.concat("dataset", F.lit(" (no parents)")))])
 
 
 @register("anti_join_orphans")
@@ -229,19 +221,19 @@ def _(spark, sf_dir):
 
 @register("enforce_primary_keys")
 def _(spark, sf_dir):
-    return S.primary_key_violations(_star_from_raw(spark, sf_dir))
+    return S.violations(_star_from_raw(spark, sf_dir), ("pk",))
 
 
 @register("enforce_foreign_keys")
 def _(spark, sf_dir):
-    return S.foreign_key_violations(_star_from_raw(spark, sf_dir))
+    return S.violations(_star_from_raw(spark, sf_dir), ("fk",))
 
 
 @register("enforce_not_null")
 def _(spark, sf_dir):
-    return S.not_null_violations(_star_from_raw(spark, sf_dir))
+    return S.violations(_star_from_raw(spark, sf_dir), ("not_null",))
 
 
 @register("check_varchar_len")
 def _(spark, sf_dir):
-    return S.varchar_violations(_star_from_raw(spark, sf_dir))
+    return S.violations(_star_from_raw(spark, sf_dir), ("varchar",))

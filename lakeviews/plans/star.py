@@ -151,25 +151,5 @@ def stacked(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
-def primary_key_violations(star: dict[str, DataFrame]) -> DataFrame:
-    return stacked([QC.primary_key_violations(star[t], t, STAR_TABLES[t].primary_key) for t in star])
-
-
-def foreign_key_violations(star: dict[str, DataFrame]) -> DataFrame:
-    return stacked([QC.foreign_key_violations(star[t], t, column, star[dim], dim, dim_column)
-                     for t, spec in STAR_TABLES.items() for column, dim, dim_column in spec.foreign_keys
-                     if t in star and dim in star])
-
-
-def not_null_violations(star: dict[str, DataFrame]) -> DataFrame:
-    return stacked([QC.not_null_violations(star[t], t, spec.not_null)
-                     for t, spec in STAR_TABLES.items() if t in star and spec.not_null])
-
-
-def varchar_violations(star: dict[str, DataFrame]) -> DataFrame:
-    limits = {t: {c: n for c, _, n in spec.columns if n} for t, spec in STAR_TABLES.items()}
-    return stacked([QC.varchar_violations(star[t], t, limits[t]) for t in STAR_TABLES if t in star and limits[t]])
-
-
-def violations(star: dict[str, DataFrame]) -> DataFrame:
-    return stacked([check(star) for check in (primary_key_violations, foreign_key_violations, not_null_violations, varchar_violations)])
+def violations(star: dict[str, DataFrame], checks: tuple[str, ...] = ("pk", "fk", "not_null", "varchar")) -> DataFrame:
+    return QC.constraint_metrics(star, STAR_TABLES, checks)

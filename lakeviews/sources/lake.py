@@ -25,7 +25,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from lakeviews.contracts import NULL_TOKENS, Contract
-from lakeviews.operators.dedupe import with_input_order
+from lakeviews.operators.dedupe import SEQ
+from lakeviews.sources import csv_split
+from lakeviews.sources.csv_split import CSV
+
 
 def folders(spark: SparkSession, path: str) -> list[str] | None:
     """Names directly below ``path``; None if there is no such folder.  Any other failure raises."""
@@ -52,11 +55,6 @@ def pointed_to(spark: SparkSession, root: str) -> str | None:
     return line.split("\t", 1)[1]
 
 
-# Fields may hold quoted line breaks and doubled quotes, so a file is read by one
-# task; landing writes as many files as tasks.
-CSV = {"header": True, "multiLine": True, "escape": '"'}
-
-
 def raw_path(root: str, domain: str, dataset: str) -> str:
     return f"{root.rstrip('/')}/raw/{domain}/{dataset}"
 
@@ -80,7 +78,31 @@ def latest_partition(spark: SparkSession, root: str, domain: str, dataset: str,
     return max((n[3:] for n in names if n.startswith("dt=")), default=None)
 
 
-def scan_raw_csv(spark: SparkSession, root: str, contract: Contract, keep_input_order: bool = True) -> DataFrame | None:
+def data_files(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """(path, bytes) of the files directly below ``path`` that hold data."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    entries = where.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(where)
+    return [(e.getPath().toString(), e.getLen()) for e in entries if e.isFile() and e.getPath().getName()[0] not in "._"]
+
+
+def read_csv(spark: SparkSession, path: str, schema, split_above: int | None = None) -> DataFrame:
+    """Records of a folder of CSV files, and ``position``, which orders them.
+
+    A file above ``split_above`` bytes (a split of the session, unless given) is
+    read by as many tasks as it has splits; smaller ones take one task each.
+    """
+    limit = csv_split.split_bytes(spark) if split_above is None else split_above
+    files = data_files(spark, path)
+    large = [f for f, size in files if size > limit]
+    if not large:
+        return csv_split.whole_files(spark, [path], schema)
+    out = csv_split.scan(spark, large, schema)
+    small = [f for f, size in files if size <= limit]
+    return out.unionByName(csv_split.whole_files(spark, small, schema)) if small else out
+
+
+def scan_raw_csv(spark: SparkSession, root: str, contract: Contract, keep_input_order: bool = True,
+                 split_above: int | None = None) -> DataFrame | None:
     """All-string scan of the newest landing of one dataset; None when the dataset is absent.
 
     Text in ``NULL_TOKENS`` is read as missing.  With ``keep_input_order``
@@ -89,13 +111,9 @@ def scan_raw_csv(spark: SparkSession, root: str, contract: Contract, keep_input_
     latest = latest_partition(spark, root, contract.domain, contract.name, contract)
     if latest is None:
         return None
-    path = raw_path(root, contract.domain, contract.name)
-    df = spark.read.schema(contract.raw_schema()).options(**CSV).csv(f"{path}/dt={latest}")
-    if keep_input_order:
-        df = with_input_order(df)
+    df = read_csv(spark, f"{raw_path(root, contract.domain, contract.name)}/dt={latest}", contract.raw_schema(), split_above)
     cols = [F.when(~F.col(c).isin(*NULL_TOKENS), F.col(c)).alias(c) for c in contract.columns]
-    extra = [c for c in df.columns if c not in contract.columns]
-    return df.select(*cols, *extra)
+    return df.select(*cols, *[F.col("position").alias(SEQ)] * keep_input_order)
 
 
 def raw_file_inventory(spark: SparkSession, root: str) -> DataFrame:
