@@ -4,7 +4,9 @@ A catalogue row is (domain, dataset_name, schema_json, partition_keys,
 row_count, last_updated), keyed by (domain, dataset_name).  An upsert keeps
 every target row whose key is not updated and appends the updates (newest
 per key wins): an anti-join plus a union, so it is one shuffle on the key.
-The catalogue is persisted by writing a new version and switching to it.
+The catalogue is persisted by writing a new version and switching to it;
+``update_catalog`` does so only if no other writer committed since it read, and
+otherwise starts again from what that one wrote, so that no update is lost.
 """
 
 from __future__ import annotations
@@ -15,7 +17,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeviews.sources.lake import point_to, pointed_to
+from lakeviews.sources import versions as VS
+from lakeviews.sources.lake import KEPT_VERSIONS
 
 CATALOG_KEYS = ["domain", "dataset_name"]
 CATALOG_SCHEMA = ("domain string, dataset_name string, schema_json string, partition_keys string, "
@@ -60,16 +63,38 @@ def catalog_list(catalog: DataFrame) -> DataFrame:
     return catalog.orderBy(*CATALOG_KEYS)
 
 
+def _write(catalog: DataFrame, base: str) -> str:
+    path = f"{base}/v={uuid.uuid4().hex}"
+    catalog.coalesce(1).write.parquet(path)  # a row a dataset
+    return path
+
+
 def save_catalog(catalog: DataFrame, root: str) -> str:
-    """Write a new version and switch the pointer to it (never overwrite what is being read)."""
-    spark = catalog.sparkSession
-    path = f"{root.rstrip('/')}/catalog/v={uuid.uuid4().hex}"
-    catalog.write.parquet(path)
-    point_to(spark, f"{root.rstrip('/')}/catalog", path)
+    """Write a new version and switch to it, whatever is current (never overwrite what is being read)."""
+    base = f"{root.rstrip('/')}/catalog"
+    path = _write(catalog, base)
+    VS.point_to(catalog.sparkSession, base, path)
     return path
 
 
 def load_catalog(spark: SparkSession, root: str) -> DataFrame:
     """The newest saved catalogue, empty if none was ever saved; a failing read raises."""
-    path = pointed_to(spark, f"{root.rstrip('/')}/catalog")
+    path = VS.pointed_to(spark, f"{root.rstrip('/')}/catalog")
     return empty_catalog(spark) if path is None else spark.read.schema(CATALOG_SCHEMA).parquet(path)
+
+
+def update_catalog(spark: SparkSession, root: str, updates: DataFrame, attempts: int = 50) -> DataFrame:
+    """Upsert rows into the saved catalogue; of several writers at once, every one's rows are kept.  Returns the catalogue."""
+    base = f"{root.rstrip('/')}/catalog"
+    rows = spark.createDataFrame(updates.select(*empty_catalog(spark).columns).collect(), CATALOG_SCHEMA)  # a row a dataset, computed once
+    for _ in range(attempts):
+        number = VS.next_number(spark, base)
+        path = _write(upsert(load_catalog(spark, root), rows), base)
+        try:
+            VS.commit(spark, base, path, number)
+        except VS.Conflict:
+            VS.remove(spark, path)
+            continue
+        VS.retire(spark, base, KEPT_VERSIONS)
+        return spark.read.schema(CATALOG_SCHEMA).parquet(path)
+    raise VS.Conflict(f"{base}: {attempts} attempts were overtaken")

@@ -10,14 +10,20 @@ schema (primary key, foreign key, NOT NULL, VARCHAR length) stops it before
 the load, so the live version stays as it was; ``strict=False`` only skips that.
 Orphans in the curated data that no constraint of the star forbids are loaded
 and reported.
+
+A journal holds what each step has done, by the day and a digest of all input
+rows.  A run that was cut off goes on after the last step it finished; after a
+finished run, the next call for the same inputs is a new run.  Steps that go on
+use the very versions that the journal names, not what other runs wrote since.
 """
 
 from __future__ import annotations
 
+import hashlib
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakeviews.contracts import CONTRACTS, STAR_LOAD_ORDER, TRANSFORM_ORDER
@@ -28,6 +34,7 @@ from lakeviews.plans import catalog as CAT
 from lakeviews.plans import star as S
 from lakeviews.plans import views as V
 from lakeviews.sources import lake as L
+from lakeviews.sources.versions import Journal
 
 EXPORTS = [
     # (file name, view, order)
@@ -50,6 +57,9 @@ class RefreshResult:
     catalog: DataFrame
     star_path: str
     views: dict
+    star: dict           # the loaded star tables, as read back
+    exports: dict        # name -> folder
+    journal: Journal
 
 
 # Independent per-dataset jobs (landing, curating, loading) are submitted from a
@@ -63,17 +73,30 @@ def _in_parallel(fn, items):
         return list(pool.map(fn, items))
 
 
-def land_all(raw_inputs: dict[str, DataFrame], lake_root: str, ingest_date: str) -> int:
+def land_all(raw_inputs: dict[str, DataFrame], lake_root: str, ingest_date: str, journal: Journal) -> int:
     """Land every given raw dataset under its domain; returns the number landed."""
+    def landed(c):
+        files = L.data_files(journal.spark, f"{L.raw_path(lake_root, c.domain, c.name)}/dt={ingest_date}")
+        return sorted([path.rsplit("/", 1)[1], size] for path, size in files)
+
+    def holds(name, record) -> bool:
+        c = CONTRACTS[name]
+        days = L.folders(journal.spark, L.raw_path(lake_root, c.domain, c.name)) or []
+        return f"dt={ingest_date}" in days and landed(c) == record
+
     def land(item):
         name, df = item
         c = CONTRACTS[name]
-        return L.land_raw(df, lake_root, c.domain, c.name, ingest_date)
+
+        def work():
+            L.land_raw(df, lake_root, c.domain, c.name, ingest_date)
+            return landed(c)
+        return journal.once(f"land-{name}", work, lambda record: holds(name, record))
     return len(_in_parallel(land, list(raw_inputs.items())))
 
 
 def _curate(spark: SparkSession, lake_root: str, name: str):
-    """Scan the newest landing, coerce, keep the last row per key, write curated parquet; returns the rows scanned."""
+    """Scan the newest landing, coerce, keep the last row per key, write a curated version; its path and the rows scanned."""
     contract = CONTRACTS[name]
     raw = L.scan_raw_csv(spark, lake_root, contract)
     if raw is None:  # absent dataset: skip, not an error
@@ -81,83 +104,117 @@ def _curate(spark: SparkSession, lake_root: str, name: str):
     seen = Observation()
     typed = coerce_types(raw.observe(seen, F.count(F.lit(1)).alias("rows")), contract)
     cleaned = dedupe_keep_last(typed, contract.primary_key, F.col(SEQ)).drop(SEQ)
-    L.write_curated(cleaned, lake_root, contract.domain, contract.name)
-    return seen.get["rows"]
-
-
-def clean_all(spark: SparkSession, lake_root: str, updated_at=None):
-    """Curate every landed dataset, then check each in parent-first order.
-
-    Returns (metrics per dataset, catalogue rows, curated frames).  The checks
-    read the curated files, so they run after all writes have finished.
-    """
-    scanned = dict(zip(TRANSFORM_ORDER, _in_parallel(lambda n: _curate(spark, lake_root, n), TRANSFORM_ORDER)))
-    curated: dict[str, DataFrame] = {}
-    metrics, profiles = [], []
-    for name in TRANSFORM_ORDER:
-        if scanned[name] is None:
-            continue
-        contract = CONTRACTS[name]
-        cur = L.scan_curated_parquet(spark, lake_root, contract.domain, contract.name)
-        curated[name] = cur
-        # Parents are the datasets curated before this one (parent-first order).
-        m = QC.run_quality_checks(cur, contract, curated)
-        # Rows removed by de-duplication stay visible next to the post-dedupe checks.
-        before = spark.createDataFrame([(name, "rows_before_dedupe", None, None, scanned[name])], QC.METRIC_SCHEMA)
-        metrics.append(m.unionByName(before))
-        profiles.append(CAT.profile_dataset(cur, contract.domain, contract.name, [], updated_at))
-    return metrics, profiles, curated
+    path = L.write_curated(cleaned, lake_root, contract.domain, contract.name)
+    return {"path": path, "rows": seen.get["rows"]}
+
+
+def clean_all(spark: SparkSession, lake_root: str, journal: Journal):
+    """Curate every landed dataset; returns (rows scanned, curated frames) by dataset."""
+    def curate(name):
+        return journal.once(f"curate-{name}", lambda: _curate(spark, lake_root, name) or {},
+                            lambda record: not record or L.folders(spark, record["path"]) is not None)
+
+    done = {n: r for n, r in zip(TRANSFORM_ORDER, _in_parallel(curate, TRANSFORM_ORDER)) if r}
+    return {n: r["rows"] for n, r in done.items()}, {n: spark.read.parquet(r["path"]) for n, r in done.items()}
+
+
+def input_digest(raw_inputs: dict[str, DataFrame]) -> str:
+    """A digest of all rows of all datasets, whatever their order."""
+    parts = []
+    for name, df in sorted(raw_inputs.items()):
+        marked = [x for c in df.columns for x in (F.col(c), F.col(c).isNull())]
+        h = F.xxhash64(*marked)
+        parts.append(df.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(h).alias("x"), F.sum(h.cast("decimal(20,0)")).alias("s"))
+                     .select(F.concat_ws(" ", F.lit(name), "n", "x", "s", F.lit(",".join(df.columns))).alias("line")))
+    rows = S.stacked(parts).collect() if parts else []  # a row a dataset
+    return hashlib.sha256("\n".join(sorted(r["line"] for r in rows)).encode()).hexdigest()
 
 
 def job_full_refresh(spark: SparkSession, raw_inputs: dict[str, DataFrame], lake_root: str,
                      ingest_date: str, export_root: str | None = None, strict: bool = True,
                      updated_at=None) -> RefreshResult:
-    land_all(raw_inputs, lake_root, ingest_date)
-    metrics, profiles, curated = clean_all(spark, lake_root, updated_at)
-
-    all_metrics = metrics[0]
-    for m in metrics[1:]:
-        all_metrics = all_metrics.unionByName(m)
-    # The long metrics table (with rows_before_dedupe) and the report row per
-    # dataset are both kept; the report is pivoted from the written metrics.
-    quality_root = f"{lake_root.rstrip('/')}/quality"
-    all_metrics.write.mode("overwrite").parquet(f"{quality_root}/metrics/dt={ingest_date}")
-    written = spark.read.parquet(f"{quality_root}/metrics/dt={ingest_date}")
-    reports_path = f"{quality_root}/reports/dt={ingest_date}"
-    QC.quality_report(written.where(F.col("check") != "rows_before_dedupe")) \
-        .write.mode("overwrite").parquet(reports_path)
-    reports = spark.read.parquet(reports_path)
-
-    rows = profiles[0]
-    for p in profiles[1:]:
-        rows = rows.unionByName(p)
-    CAT.save_catalog(CAT.upsert(CAT.load_catalog(spark, lake_root), rows), lake_root)
+    lake_root = lake_root.rstrip("/")
+    journal = Journal(spark, f"{lake_root}/_journal", f"{ingest_date}-{input_digest(raw_inputs)[:32]}")
+    land_all(raw_inputs, lake_root, ingest_date, journal)
+    scanned, curated = clean_all(spark, lake_root, journal)
+    quality_root = f"{lake_root}/quality"
+    metrics_path, reports_path = (f"{quality_root}/{kind}/dt={ingest_date}/run={journal.run}" for kind in ("metrics", "reports"))
+
+    def check():
+        # Rows removed by de-duplication stay visible next to the post-dedupe checks.
+        before = spark.createDataFrame([(n, "rows_before_dedupe", None, None, rows) for n, rows in scanned.items()], QC.METRIC_SCHEMA)
+        QC.dataset_metrics(curated, CONTRACTS).unionByName(before).write.mode("overwrite").parquet(metrics_path)
+        written = spark.read.parquet(metrics_path)
+        QC.quality_report(written.where(F.col("check") != "rows_before_dedupe")).write.mode("overwrite").parquet(reports_path)
+        return True
+
+    journal.once("check", check, lambda _: L.folders(spark, reports_path) is not None)
+    metrics, reports = spark.read.parquet(metrics_path), spark.read.parquet(reports_path)
+
+    def register():
+        rows = [CAT.profile_dataset(df, CONTRACTS[n].domain, CONTRACTS[n].name, [], updated_at) for n, df in curated.items()]
+        CAT.update_catalog(spark, lake_root, S.stacked(rows))
+        return True
+
+    journal.once("register", register)
     catalog = CAT.load_catalog(spark, lake_root)
 
-    departments = (S.dim_department_from(curated["hr.headcount_costs"])
-                   if "hr.headcount_costs" in curated else None)
-    star = S.build_star(spark, curated, departments)
-    if strict:
-        QC.enforce(S.violations(star))
-    star_path = L.load_star_tables(spark, star, lake_root, STAR_LOAD_ORDER, CONCURRENT_JOBS)
-    loaded = L.read_star(spark, lake_root, [t for t in STAR_LOAD_ORDER if t in star])
+    def load():
+        departments = S.dim_department_from(curated["hr.headcount_costs"]) if "hr.headcount_costs" in curated else None
+        star = S.build_star(spark, curated, departments)
+        if strict:
+            QC.enforce(S.violations(star))
+        return {"path": L.load_star_tables(spark, star, lake_root, STAR_LOAD_ORDER, CONCURRENT_JOBS), "tables": sorted(star)}
+
+    star = journal.once("load", load, lambda record: L.folders(spark, record["path"]) is not None)
+    loaded = {t: spark.read.parquet(f"{star['path']}/{t}") for t in STAR_LOAD_ORDER if t in star["tables"]}
+    views = star_views(loaded)
+    exports = {}
+    if export_root:
+        sources = dict(views, **{d: loaded[d] for d in ("dim_date", "dim_department", "dim_region") if d in loaded})
+
+        def export(entry):
+            name, view, order = entry
+            path = f"{export_root.rstrip('/')}/{name}"
+            journal.once(f"export-{name}", lambda: L.export_flat_csv(sources[view], path, order), lambda record: record == path and L.folders(spark, path) is not None)
+            return name, path
+
+        exports = dict(_in_parallel(export, [e for e in EXPORTS if e[1] in sources]))
+    journal.finish()
+    return RefreshResult(reports, metrics, catalog, star["path"], views, loaded, exports, journal)
+
 
+def star_views(star: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The five views over loaded star tables, for output."""
     views = {
-        "vw_revenue_vs_hr_cost_by_region": V.vw_revenue_vs_hr_cost_by_region(
-            loaded["fact_hr_cost"], loaded["fact_finance_gl"]),
-        "vw_marketing_spend_vs_sales": V.vw_marketing_spend_vs_sales(
-            loaded["fact_marketing_spend"], loaded["fact_sales"]),
-        "vw_inventory_turns_vs_sales": V.vw_inventory_turns_vs_sales(
-            loaded["fact_inventory_stock"], loaded["fact_inventory_movement"]),
-        "vw_department_pnl": V.vw_department_pnl(
-            loaded["fact_finance_gl"], loaded["fact_finance_budget"], loaded["fact_hr_cost"]),
+        "vw_revenue_vs_hr_cost_by_region": V.vw_revenue_vs_hr_cost_by_region(star["fact_hr_cost"], star["fact_finance_gl"]),
+        "vw_marketing_spend_vs_sales": V.vw_marketing_spend_vs_sales(star["fact_marketing_spend"], star["fact_sales"]),
+        "vw_inventory_turns_vs_sales": V.vw_inventory_turns_vs_sales(star["fact_inventory_stock"], star["fact_inventory_movement"]),
+        "vw_department_pnl": V.vw_department_pnl(star["fact_finance_gl"], star["fact_finance_budget"], star["fact_hr_cost"]),
     }
     views["vw_revenue_vs_hr_cost"] = V.agg_rollup_regions(views["vw_revenue_vs_hr_cost_by_region"])
-    views = {k: V.to_output(v) for k, v in views.items()}
-
-    if export_root:
-        sources = dict(views, dim_date=loaded.get("dim_date"), dim_department=loaded.get("dim_department"),
-                       dim_region=loaded.get("dim_region"))
-        todo = [(f, v, o) for f, v, o in EXPORTS if sources.get(v) is not None]
-        _in_parallel(lambda e: L.export_flat_csv(sources[e[1]], f"{export_root.rstrip('/')}/{e[0]}", e[2]), todo)
-    return RefreshResult(reports, written, catalog, star_path, views)
+    return {k: V.to_output(v) for k, v in views.items()}
+
+
+def export_digest(df: DataFrame) -> Column:
+    """Sum of 32-bit digests of all rows' values as text; numbers with three decimals, so that it can be checked elsewhere."""
+    texts = [F.coalesce((F.col(c).cast("decimal(28,3)") if kind == "double" else F.col(c)).cast("string"), F.lit("~")) for c, kind in df.dtypes]
+    return F.sum(F.conv(F.substring(F.md5(F.concat_ws("|", *texts)), 1, 8), 16, 10).cast("long"))
+
+
+def summary(result: RefreshResult) -> DataFrame:
+    """One table of all that a refresh made: the report of each dataset, the rows of each star table, rows and digest of each export as written."""
+    before = result.metrics.where(F.col("check") == "rows_before_dedupe").select("dataset", F.col("value").alias("rows_before_dedupe"))
+    report = result.reports.join(before, "dataset", "left").select(
+        F.lit("report").alias("part"), F.col("dataset").alias("name"), "row_count", "rows_before_dedupe", F.to_json("null_violations").alias("null_violations"),
+        "duplicate_key_count", F.to_json("fk_violations").alias("fk_violations"), "passed", F.lit(None).cast("long").alias("digest"))
+    out = report
+    for table, df in result.star.items():
+        out = out.unionByName(df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit("star").alias("part"), F.lit(table).alias("name"), "row_count"), True)
+    for name, view, _ in EXPORTS:
+        if name in result.exports:
+            schema = (result.views | result.star)[view].schema
+            written = result.reports.sparkSession.read.schema(schema).options(**L.CSV).csv(result.exports[name])
+            out = out.unionByName(written.agg(F.count(F.lit(1)).alias("row_count"), export_digest(written).alias("digest"))
+                                  .select(F.lit("export").alias("part"), F.lit(name).alias("name"), "row_count", "digest"), True)
+    return out

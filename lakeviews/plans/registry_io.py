@@ -7,12 +7,11 @@ written files back, so the comparison covers the write and the read.
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lakeviews.contracts import CONTRACTS, STAR_LOAD_ORDER, TRANSFORM_ORDER
+from lakeviews.functions.coerce import coerce_column
 from lakeviews.plans import catalog as CAT
 from lakeviews.plans import job as JOB
 from lakeviews.plans import star as S
@@ -23,8 +22,7 @@ from lakeviews.session import scratch_path
 from lakeviews.sources import lake as L
 
 DAY1, DAY2 = "2024-01-01", "2024-01-02"
-T1 = dt.datetime(2024, 1, 1)
-T2 = dt.datetime(2024, 1, 2)
+T1, T2 = "2024-01-01 00:00:00", "2024-01-02 00:00:00"
 
 
 def _land_two_days(spark, sf_dir, name: str):
@@ -46,8 +44,7 @@ def _(spark, sf_dir):
     # Re-landing day 2 replaces only that day's partition.
     L.land_raw(_raw(spark, sf_dir).dataset("sales.customers"), root, c.domain, c.name, DAY2)
     path = L.raw_path(root, c.domain, c.name)
-    return spark.read.schema(c.raw_schema().add("dt", "string")).option("header", True).csv(path) \
-        .groupBy("dt").agg(F.count(F.lit(1)).alias("rows"))
+    return spark.read.schema(c.raw_schema().add("dt", "string")).options(**L.CSV).csv(path)
 
 
 @register("latest_partition")
@@ -86,17 +83,16 @@ def _(spark, sf_dir):
 
 @register("write_curated")
 def _(spark, sf_dir):
-    """Writes all sixteen datasets; returns the rows of each and its orders' keys as read back."""
+    """Writes all sixteen datasets, the first one twice; returns the rows of each as read back from its current version."""
     root = scratch_path(spark, "lake")
-    parts = []
+    read = {}
     for name, df in all_coerced(_raw(spark, sf_dir)).items():
         c = CONTRACTS[name]
+        if not read:
+            L.write_curated(df.limit(0), root, c.domain, c.name)
         L.write_curated(df, root, c.domain, c.name)
-        key = F.concat_ws("|", *[F.col(k).cast("string") for k in c.primary_key])
-        parts.append(L.scan_curated_parquet(spark, root, c.domain, c.name).agg(
-            F.count(F.lit(1)).alias("row_count"), F.min(key).alias("least_key"), F.max(key).alias("greatest_key"))
-            .select(F.lit(name).alias("dataset"), "row_count", "least_key", "greatest_key"))
-    return S.stacked(parts)
+        read[name] = L.scan_curated_parquet(spark, root, c.domain, c.name)
+    return S.stacked_rows(read, "dataset")
 
 
 @register("scan_curated_parquet")
@@ -182,11 +178,18 @@ def _(spark, sf_dir):
     return _profiles(spark, sf_dir, False, T1).drop("last_updated")
 
 
+def _shown(catalog):
+    """All columns of the catalogue, the time as text."""
+    return catalog.withColumn("last_updated", F.date_format("last_updated", "yyyy-MM-dd HH:mm:ss"))
+
+
 @register("catalog_upsert")
 def _(spark, sf_dir):
-    root = scratch_path(spark, "lake")
-    CAT.save_catalog(_catalog(spark, sf_dir), root)
-    return CAT.load_catalog(spark, root).select("domain", "dataset_name", "partition_keys", "row_count")
+    """Two updates of a saved catalogue: every dataset as landed, then the de-duplicated profiles."""
+    root, raw = scratch_path(spark, "lake"), _raw(spark, sf_dir)
+    CAT.update_catalog(spark, root, _profiles(spark, sf_dir, False, T1, raw))
+    CAT.update_catalog(spark, root, _profiles(spark, sf_dir, True, T2, raw))
+    return _shown(CAT.load_catalog(spark, root))
 
 
 @register("catalog_get")
@@ -194,19 +197,27 @@ def _(spark, sf_dir):
     cat = _catalog(spark, sf_dir)
     hit = CAT.catalog_get(cat, "finance", "gl_transactions")
     miss = CAT.catalog_get(cat, "nonexistent", "dataset")
-    return hit.unionByName(miss).select("domain", "dataset_name", "row_count")
+    return _shown(hit.unionByName(miss))
 
 
 @register("catalog_list")
 def _(spark, sf_dir):
-    return CAT.catalog_list(_catalog(spark, sf_dir)).select("domain", "dataset_name", "row_count")
+    return _shown(CAT.catalog_list(_catalog(spark, sf_dir)))
 
 
 # ---------------- the full job (§2.13) ----------------
 @register("job_full_refresh")
 def _(spark, sf_dir):
+    """The whole refresh: the report of each dataset, the rows of each star table, rows and digest of each export.
+
+    The tables give no row order, so what is landed is put in order of all
+    columns: of rows with one key, the greatest is the last.
+    """
     raw = _raw(spark, sf_dir)
-    inputs = {n: raw.dataset(n) for n in TRANSFORM_ORDER}
+    inputs = {}
+    for name in TRANSFORM_ORDER:
+        c, df = CONTRACTS[name], raw.dataset(name)
+        rest = [x for x in c.columns if x not in c.primary_key]
+        inputs[name] = df.orderBy(*c.primary_key, *[coerce_column(F.col(x), c.columns[x]) for x in rest])
     root = scratch_path(spark, "lake")
-    result = JOB.job_full_refresh(spark, inputs, root, DAY2, export_root=f"{root}/exports")
-    return result.reports.select("dataset", "row_count", "duplicate_key_count")
+    return JOB.summary(JOB.job_full_refresh(spark, inputs, root, DAY2, export_root=f"{root}/exports"))

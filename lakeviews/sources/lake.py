@@ -3,21 +3,20 @@
 Layout under a lake root (any Hadoop-compatible URI):
 
   raw/<domain>/<dataset>/dt=YYYY-MM-DD/part-*.csv   landed text, header row
-  curated/<domain>/<dataset>/                       cleaned parquet
+  curated/<domain>/<dataset>/v=<version>/           cleaned parquet, the last versions
   star/v=<version>/<table>/                         warehouse tables, one folder per load
-  star/_CURRENT/                                    log of live versions, the last one counts
+  .../_CURRENT/                                     numbered versions, the last one counts (see versions.py)
 
 Re-landing a day overwrites only that day's partition (dynamic partition
 overwrite).  The newest landing is found from the file listing (no data is
-read for it) and the scan is pruned to that partition.  Star loads write a
-fresh version and then switch the pointer, so readers never see a
-half-written or empty warehouse, and nothing is overwritten while read.
+read for it) and the scan is pruned to that partition.  Curated datasets, star
+loads and the catalogue write a fresh version and then switch to it, so readers
+never see a half-written or empty one, and nothing is overwritten while read.
 """
 
 from __future__ import annotations
 
 import uuid
-import time
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,31 +27,15 @@ from lakeviews.contracts import NULL_TOKENS, Contract
 from lakeviews.operators.dedupe import SEQ
 from lakeviews.sources import csv_split
 from lakeviews.sources.csv_split import CSV
+from lakeviews.sources.versions import names, point_to, pointed_to, retire
 
 
-def folders(spark: SparkSession, path: str) -> list[str] | None:
-    """Names directly below ``path``; None if there is no such folder.  Any other failure raises."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(where):
-        return None
-    return [entry.getPath().getName() for entry in fs.listStatus(where)]
-
-
-def point_to(spark: SparkSession, root: str, path: str) -> None:
-    """Make ``path`` the current version under ``root``: one line more in a log that is only appended to."""
-    line = f"{time.time_ns():020d}\t{path}"
-    spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("append").text(f"{root}/_CURRENT")
+KEPT_VERSIONS = 3  # of a curated dataset or the catalogue
 
 
-def pointed_to(spark: SparkSession, root: str) -> str | None:
-    """The current version under ``root``; None if none was ever written."""
-    if folders(spark, f"{root}/_CURRENT") is None:
-        return None
-    line = spark.read.text(f"{root}/_CURRENT").agg(F.max("value")).first()[0]
-    if line is None:
-        raise ValueError(f"{root}/_CURRENT names no version")
-    return line.split("\t", 1)[1]
+def folders(spark: SparkSession, path: str) -> list[str] | None:
+    """Names directly below ``path``; None if there is no such folder.  Any other failure raises."""
+    return names(spark, path)
 
 
 def raw_path(root: str, domain: str, dataset: str) -> str:
@@ -125,14 +108,25 @@ def raw_file_inventory(spark: SparkSession, root: str) -> DataFrame:
     return files.join(counted, "file_path", "left").select("file_path", "file_size", F.coalesce("data_rows", F.lit(0)).alias("data_rows"))
 
 
-def write_curated(df: DataFrame, root: str, domain: str, dataset: str) -> str:
-    path = curated_path(root, domain, dataset)
-    df.write.mode("overwrite").parquet(path)
+def write_curated(df: DataFrame, root: str, domain: str, dataset: str, keep: int = KEPT_VERSIONS) -> str:
+    """Write a new version of a curated dataset, switch to it and drop all but the last ``keep``; returns its path.
+
+    Readers of the version before are left alone; they end unharmed if fewer than
+    ``keep`` versions are written meanwhile.
+    """
+    base = curated_path(root, domain, dataset)
+    path = f"{base}/v={uuid.uuid4().hex}"
+    df.write.parquet(path)
+    point_to(df.sparkSession, base, path)
+    retire(df.sparkSession, base, keep)
     return path
 
 
 def scan_curated_parquet(spark: SparkSession, root: str, domain: str, dataset: str) -> DataFrame:
-    return spark.read.parquet(curated_path(root, domain, dataset))
+    path = pointed_to(spark, curated_path(root, domain, dataset))
+    if path is None:
+        raise ValueError(f"{domain}.{dataset} was never written under {root}")
+    return spark.read.parquet(path)
 
 
 # Fact tables that grow with the business are written partitioned by month,
