@@ -96,8 +96,13 @@ def _(spark, sf_dir):
 
 @register("audit_sql_log")
 def _(spark, sf_dir):
-    log = event_sql_log(StarBinding(spark, sf_dir).t.events)
-    return J.audit_sql_log(log, "sql_text", ["event_id"])
+    """Statements of twelve shapes made of events, and the texts of all conversations and documents as they are."""
+    t = StarBinding(spark, sf_dir).t
+    turn = F.concat_ws("-", F.lit("turn"), F.col("conv_id").cast("string"), F.col("turn").cast("string"))
+    log = (event_sql_log(t.events).select(F.concat_ws("-", F.lit("event"), F.col("event_id").cast("string")).alias("statement_id"), "sql_text")
+           .unionByName(t.conversations.select(turn.alias("statement_id"), F.col("text").alias("sql_text")))
+           .unionByName(t.documents.select(F.concat_ws("-", F.lit("document"), F.col("doc_id").cast("string")).alias("statement_id"), F.col("text").alias("sql_text"))))
+    return J.audit_sql_log(log, "sql_text", ["statement_id"])
 
 
 @register("report_lines")
@@ -112,7 +117,8 @@ def _(spark, sf_dir):
 
 @register("answer_questions")
 def _(spark, sf_dir):
-    return J.answer_questions(all_questions(StarBinding(spark, sf_dir).t), "question", ["question_id"])
+    """Every question with its view and report, and each report's answer once, with its figures and a preview."""
+    return J.answer_questions(all_questions(star(spark, sf_dir).t), "question", ["question_id"], *_summaries(spark, sf_dir))
 
 
 # ---------------- ordering operators (§2.5) ----------------

@@ -19,6 +19,9 @@ from lakeviews.contracts import DEFAULT_VIEW, FORBIDDEN_KEYWORDS, FORBIDDEN_SCHE
 from lakeviews.functions import text as TX
 from lakeviews.session import scratch_path
 
+# --- Fixed values: how a question was taken ---
+MODE_FALLBACK, MODE_REJECTED = "fallback", "rejected"
+
 # --- Fixed values: audit verdict messages, in rule order ---
 MSG_EMPTY = "empty SQL"
 MSG_MULTI = "multiple statements are not allowed"
@@ -134,6 +137,25 @@ SQL_PNL = ("SELECT department, ROUND(SUM(revenue), 2) AS total_revenue, ROUND(SU
            "FROM vw_department_pnl GROUP BY department ORDER BY total_revenue DESC")
 
 
+# --- Fixed values: columns of each report's query, with the decimals they are rounded to, and rows that a preview shows ---
+PREVIEW_COLUMNS = {
+    "hr": {"department": None, "total_hr_cost": 2, "total_revenue": 2, "total_gross_margin": 2},
+    "marketing": {"region_code": None, "total_spend": 2, "total_revenue": 2},
+    "inventory": {"sku": None, "avg_turnover_ratio": 3, "total_outbound_qty": None},
+    "pnl": {"department": None, "total_revenue": 2, "total_opex": 2, "total_budget": 2, "total_hr_cost": 2},
+}
+PREVIEW_ROWS = 20
+
+
+def _record(report: str) -> Column:
+    """A summary row as a JSON object; NaN and NULL are null, and numbers keep their decimals."""
+    def value(c: str, digits: int | None) -> Column:
+        exact = F.when(~F.isnan(F.col(c).cast("double")), F.col(c)) if digits else F.col(c)
+        return (exact.cast(f"decimal(28,{digits})") if digits else exact).alias(c)
+
+    return F.to_json(F.struct(*[value(c, d) for c, d in PREVIEW_COLUMNS[report].items()]), {"ignoreNullFields": "false"}).alias("record")
+
+
 def _money(c: str) -> Column:
     return F.coalesce(TX.fn_money_text(F.col(c)), F.lit("n/a"))
 
@@ -146,7 +168,7 @@ def hr_lines(summary: DataFrame) -> DataFrame:
                     _money("total_gross_margin"), F.lit("."))
     return summary.select(F.lit("hr").alias("report"), F.col("department").cast("string").alias("label"),
                           F.struct((-F.col("total_hr_cost")).alias("k1"), F.col("department").cast("string")
-                                   .alias("k2")).alias("sort_key"), line.alias("line"))
+                                   .alias("k2")).alias("sort_key"), line.alias("line"), _record("hr"))
 
 
 def mkt_lines(summary: DataFrame) -> DataFrame:
@@ -155,7 +177,7 @@ def mkt_lines(summary: DataFrame) -> DataFrame:
                     TX.fn_ratio_text(F.col("revenue_to_spend")), F.lit("x)."))
     return summary.select(F.lit("marketing").alias("report"), F.col("region_code").cast("string").alias("label"),
                           F.struct((-F.col("total_spend")).alias("k1"), F.col("region_code").cast("string")
-                                   .alias("k2")).alias("sort_key"), line.alias("line"))
+                                   .alias("k2")).alias("sort_key"), line.alias("line"), _record("marketing"))
 
 
 def inv_lines(summary: DataFrame) -> DataFrame:
@@ -168,7 +190,7 @@ def inv_lines(summary: DataFrame) -> DataFrame:
     k1 = F.coalesce(-F.col("avg_turnover_ratio"), F.lit(float("inf")))
     return summary.select(F.lit("inventory").alias("report"), F.col("sku").cast("string").alias("label"),
                           F.struct(k1.alias("k1"), F.col("sku").cast("string").alias("k2")).alias("sort_key"),
-                          line.alias("line"))
+                          line.alias("line"), _record("inventory"))
 
 
 def pnl_lines(summary: DataFrame) -> DataFrame:
@@ -180,7 +202,7 @@ def pnl_lines(summary: DataFrame) -> DataFrame:
                     _money("total_hr_cost"), F.lit("."))
     return summary.select(F.lit("pnl").alias("report"), F.col("department").cast("string").alias("label"),
                           F.struct((-F.col("total_revenue")).alias("k1"), F.col("department").cast("string")
-                                   .alias("k2")).alias("sort_key"), line.alias("line"))
+                                   .alias("k2")).alias("sort_key"), line.alias("line"), _record("pnl"))
 
 
 _HEADERS = {"hr": HEAD_HR, "marketing": HEAD_MKT, "inventory": HEAD_INV, "pnl": HEAD_PNL}
@@ -212,14 +234,14 @@ def positions(df: DataFrame, group: list[str], order: list[str], name: str) -> D
             .select(*df.columns, (F.col("__own") + F.col("__before")).cast("int").alias(name)))
 
 
-def report_lines(hr: DataFrame, mkt: DataFrame, inv: DataFrame, pnl: DataFrame) -> DataFrame:
-    """(report, pos, line): header at 0, then one line per summary row in report order.
-
-    The HR report ends with a note naming the department with the highest HR cost.
-    """
-    spark = hr.sparkSession
+def _placed(hr: DataFrame, mkt: DataFrame, inv: DataFrame, pnl: DataFrame) -> DataFrame:
+    """The rows of the four reports with their position from 1."""
     body = hr_lines(hr).unionByName(mkt_lines(mkt)).unionByName(inv_lines(inv)).unionByName(pnl_lines(pnl))
-    placed = positions(body, ["report"], ["sort_key"], "pos")
+    return positions(body, ["report"], ["sort_key"], "pos")
+
+
+def _with_heads(placed: DataFrame) -> DataFrame:
+    spark = placed.sparkSession
     heads = spark.createDataFrame([(k, 0, v) for k, v in _HEADERS.items()], "report string, pos int, line string")
     # Only of reports that have lines.
     heads = heads.join(placed.select("report").distinct(), "report", "left_semi")
@@ -230,27 +252,63 @@ def report_lines(hr: DataFrame, mkt: DataFrame, inv: DataFrame, pnl: DataFrame)
     return placed.select("report", "pos", "line").unionByName(heads.select("report", "pos", "line")).unionByName(note)
 
 
+def report_lines(hr: DataFrame, mkt: DataFrame, inv: DataFrame, pnl: DataFrame) -> DataFrame:
+    """(report, pos, line): header at 0, then one line per summary row in report order.
+
+    The HR report ends with a note naming the department with the highest HR cost.
+    """
+    return _with_heads(_placed(hr, mkt, inv, pnl))
+
+
+def _by(pairs: dict) -> Column:
+    return F.create_map(*[F.lit(x) for kv in pairs.items() for x in kv])
+
+
 def report_answers(lines: DataFrame) -> DataFrame:
     """One row per report: the newline-joined answer text and the SQL it answers with."""
-    sql = F.element_at(F.create_map(*[x for kv in _SQL.items() for x in (F.lit(kv[0]), F.lit(kv[1]))]),
-                       F.col("report"))
     return (lines.groupBy("report")
             .agg(TX.fn_join_lines(F.sort_array(F.collect_list(F.struct("pos", "line")))).alias("answer"))
-            .select("report", sql.alias("sql"), "answer"))
+            .select("report", F.element_at(_by(_SQL), F.col("report")).alias("sql"), "answer"))
+
 
+def answers(hr: DataFrame, mkt: DataFrame, inv: DataFrame, pnl: DataFrame) -> DataFrame:
+    """One row per report: SQL, answer text and a preview of its first rows as a JSON array."""
+    placed = _placed(hr, mkt, inv, pnl)
+    shown = F.sort_array(F.collect_list(F.struct("pos", "record")))["record"]
+    preview = (placed.where(F.col("pos") <= PREVIEW_ROWS).groupBy("report")
+               .agg(F.concat(F.lit("["), F.array_join(shown, ","), F.lit("]")).alias("data_preview")))
+    return report_answers(_with_heads(placed)).join(preview, "report", "left").select(
+        "report", "sql", "answer", F.coalesce("data_preview", F.lit("[]")).alias("data_preview"))
 
-def answer_questions(questions: DataFrame, text_col: str, id_cols: list[str]) -> DataFrame:
-    """Each question with the view it is routed to, and the report and SQL that answer it.
 
-    The answer's text is looked up by report (``report_answers``) when it is
-    shown: it is the same for all questions of a report and not copied to them.
+def route_to_reports(questions: DataFrame, text_col: str, id_cols: list[str]) -> DataFrame:
+    """Each question with its mode, the view it is routed to and the report that answers it.
+
+    A blank question is rejected: it has neither view nor report.
     """
     kept = questions.select(*id_cols, F.col(text_col).alias("question"))
     routed = route_questions(kept, "question", [*id_cols, "question"])
+    blank = F.coalesce(TX.fn_strip(F.col("question")) == "", F.lit(True))
+    view = F.when(~F.col("__blank"), F.col("views")[0])
+    return (routed.withColumn("__blank", blank)
+            .select(*id_cols, "question", F.when(F.col("__blank"), MODE_REJECTED).otherwise(MODE_FALLBACK).alias("mode"), view.alias("view"))
+            .withColumn("report", F.when(F.col("view").isNotNull(), F.coalesce(F.element_at(_by(REPORT_OF_VIEW), F.col("view")), F.lit("hr")))))
+
+
+def answer_questions(questions: DataFrame, text_col: str, id_cols: list[str], hr: DataFrame, mkt: DataFrame, inv: DataFrame,
+                     pnl: DataFrame) -> DataFrame:
+    """One tagged table that holds every answer once.
+
+    Rows of kind ``question`` name the view a question is routed to and the
+    report that answers it; the row of kind ``answer`` of that report holds the
+    SQL, the answer's text with its figures, and the preview.
+    """
+    asked = route_to_reports(questions, text_col, id_cols).select(F.lit("question").alias("kind"), "*")
+    given = answers(hr, mkt, inv, pnl).select(F.lit("answer").alias("kind"), "*")
+    return asked.unionByName(given, allowMissingColumns=True)
 
-    def by(pairs: dict) -> Column:
-        return F.create_map(*[F.lit(x) for kv in pairs.items() for x in kv])
 
-    report = F.coalesce(F.element_at(by(REPORT_OF_VIEW), F.col("view")), F.lit("hr"))
-    return (routed.select(*id_cols, "question", F.lit("fallback").alias("mode"), F.col("views")[0].alias("view"))
-            .withColumn("report", report).withColumn("sql", F.element_at(by(_SQL), F.col("report"))))
+def answered(tagged: DataFrame, id_cols: list[str]) -> DataFrame:
+    """The full result of each question that isn't rejected, its answer looked up by report."""
+    given = tagged.where("kind = 'answer'").select("report", "sql", "answer", "data_preview")
+    return tagged.where("kind = 'question' AND report IS NOT NULL").select(*id_cols, "question", "mode", "view", "report").join(given, "report", "left")
