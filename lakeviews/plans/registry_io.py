@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from lakeviews.contracts import CONTRACTS, STAR_LOAD_ORDER, TRANSFORM_ORDER
 from lakeviews.functions.coerce import coerce_column
 from lakeviews.plans import catalog as CAT
+from lakeviews.plans import incremental as INC
 from lakeviews.plans import job as JOB
 from lakeviews.plans import star as S
 from lakeviews.plans import views as V
@@ -205,6 +206,47 @@ def _(spark, sf_dir):
     return _shown(CAT.catalog_list(_catalog(spark, sf_dir)))
 
 
+# ---------------- aggregates kept up to date from changed months (§2.4, §2.9) ----------------
+def _kept_up(spark, sf_dir, name: str) -> INC.Store:
+    """The store after three refreshes: over older months, over all months, and over a month with a file more.
+
+    The fact comes in three parts: months before 1997, the others without every
+    seventh row, and these.
+    """
+    s = star(spark, sf_dir)
+    root = scratch_path(spark, "kept")
+    store = INC.Store(spark, root, name)
+    path = f"{root}/{store.kept.fact}"
+    fact = s.fact(store.kept.fact)
+    late = F.pmod(F.xxhash64(*fact.columns[:2]), F.lit(7)) == 0
+    old = F.col("month_start") < "1997-01-01"
+    for part in (fact.where(old), fact.where(~old & ~late), fact.where(~old & late)):
+        INC.append_to_fact(part, path)
+        store.refresh(path)
+    return store
+
+
+for _name in INC.AGGREGATES:
+    def _make_kept(name):
+        def fn(spark, sf_dir):
+            return V.to_output(_kept_up(spark, sf_dir, name).read())
+        return fn
+    register(f"kept_{_name}")(_make_kept(_name))
+
+
+@register("kept_vw_revenue_vs_hr_cost_by_region")
+def _(spark, sf_dir):
+    """The view over stored GL sums that were refreshed month by month."""
+    gl = _kept_up(spark, sf_dir, "agg_gl_filtered").read()
+    return V.to_output(V.hr_and_gl(V.agg_hr_cost(star(spark, sf_dir).fact_hr_cost), gl))
+
+
+@register("kept_vw_marketing_spend_vs_sales")
+def _(spark, sf_dir):
+    sales = _kept_up(spark, sf_dir, "agg_sales").read()
+    return V.to_output(V.spend_and_sales(V.agg_spend(star(spark, sf_dir).fact_marketing_spend), sales))
+
+
 # ---------------- the full job (§2.13) ----------------
 @register("job_full_refresh")
 def _(spark, sf_dir):

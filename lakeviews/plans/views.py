@@ -82,8 +82,11 @@ def agg_pnl(fact_finance_gl: DataFrame) -> DataFrame:
 
 # --- the five views ---
 def vw_revenue_vs_hr_cost_by_region(fact_hr_cost: DataFrame, fact_finance_gl: DataFrame) -> DataFrame:
-    hr = agg_hr_cost(fact_hr_cost)
-    gl = agg_gl_filtered(fact_finance_gl)
+    return hr_and_gl(agg_hr_cost(fact_hr_cost), agg_gl_filtered(fact_finance_gl))
+
+
+def hr_and_gl(hr: DataFrame, gl: DataFrame) -> DataFrame:
+    """The by-region view of its two aggregates."""
     rev = F.coalesce(F.col("gl_revenue"), F.lit(0))
     cogs = F.coalesce(F.col("cogs"), F.lit(0))
     return (hr.join(gl, REGION_GRAIN, "left")
@@ -112,8 +115,11 @@ def vw_marketing_spend_vs_sales(fact_marketing_spend: DataFrame, fact_sales: Dat
     if region:
         fact_marketing_spend = fact_marketing_spend.where(F.col("region_code") == region)
         fact_sales = fact_sales.where(F.col("region_code") == region)
-    m = agg_spend(fact_marketing_spend)
-    s = agg_sales(fact_sales)
+    return spend_and_sales(agg_spend(fact_marketing_spend), agg_sales(fact_sales))
+
+
+def spend_and_sales(m: DataFrame, s: DataFrame) -> DataFrame:
+    """The marketing view of its two aggregates."""
     # Joining on column names makes the full-outer keys COALESCE(m.key, s.key).
     return (m.join(s, MARKET_GRAIN, "full_outer")
             .select(*MARKET_GRAIN,
@@ -124,7 +130,11 @@ def vw_marketing_spend_vs_sales(fact_marketing_spend: DataFrame, fact_sales: Dat
 
 def vw_inventory_turns_vs_sales(fact_inventory_stock: DataFrame,
                                 fact_inventory_movement: DataFrame) -> DataFrame:
-    out = agg_outbound(fact_inventory_movement)
+    return stock_and_outbound(fact_inventory_stock, agg_outbound(fact_inventory_movement))
+
+
+def stock_and_outbound(fact_inventory_stock: DataFrame, out: DataFrame) -> DataFrame:
+    """The inventory view of stock levels and the outbound aggregate."""
     qty = F.coalesce(F.col("outbound_qty"), F.lit(0)).cast("long")
     return (fact_inventory_stock.join(out, SKU_GRAIN, "left")
             .select(*SKU_GRAIN, "quantity_on_hand", qty.alias("outbound_qty"),
