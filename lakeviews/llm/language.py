@@ -9,7 +9,9 @@ under which its words are likeliest.
 Learning uses about ``SAMPLE`` documents a language (those whose hash is below
 the language's rate).  Words are ASCII-lower-case runs of letters, digits and
 non-ASCII bytes, with a mark at the start; bytes are pieces too, so every word
-has a segmentation; a word over ``LONGEST`` bytes is scored in parts.
+has a segmentation.  Words of any length are scored whole: text written without
+spaces is one long word, whose forward sums are scaled as they go.  Learning
+leaves out words over ``LEARNT`` bytes.
 
 Defined results: null texts and texts without a letter are ``und`` with score
 0, as is everything when nothing can be learned; equal likelihoods go to the
@@ -29,8 +31,10 @@ from lakeviews.llm.common import hash60, held_out, save, table
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLE = 3_000
 ROUNDS = 4
-LONGEST = 32
-MAX_PIECE = 16  # bytes
+LEARNT = 1_024  # bytes of the longest words that piece probabilities are estimated from
+PLAIN = 48  # bytes of the longest words whose sums need no scaling
+HELD = 1 << 18  # words whose scores a task remembers
+SPANS = 1 << 20  # spans of long words that are looked up at once
 FLOOR = 1e-8
 CHUNK = 1 << 20  # words repeat more in longer chunks
 START = 32  # the byte that marks a word's start
@@ -46,7 +50,7 @@ def pieces(model: str = MODEL) -> list[bytes]:
     v = sentencepiece.SentencePieceProcessor(model_file=model)
     plain = (v.id_to_piece(i) for i in range(v.get_piece_size()) if not (v.is_control(i) or v.is_unknown(i) or v.is_byte(i)))
     found = {p.replace("▁", " ").encode() for p in plain}
-    found = {p for p in found if len(p) <= MAX_PIECE and p.rfind(b" ") <= 0}
+    found = {p for p in found if p.rfind(b" ") <= 0}  # words hold no space but their mark
     return sorted(found | {bytes([b]) for b in range(256)})
 
 
@@ -57,6 +61,7 @@ class Vocabulary:
 
     def __init__(self, listed: list[bytes]):
         self.size = len(listed)
+        self.lengths = sorted({len(p) for p in listed})
         raw = np.frombuffer(b"".join(listed), np.uint8)
         ends = np.cumsum([len(p) for p in listed])
         h = bw.span_hash(bw.prefix_sums(raw), ends - [len(p) for p in listed], ends)
@@ -82,7 +87,7 @@ class Vocabulary:
 
 
 def marked(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(bytes, start, end) of words, each with the start mark, in parts of LONGEST bytes at most."""
+    """(bytes, start, end) of words, each with the start mark."""
     size = end - start + 1
     at = np.concatenate([[0], np.cumsum(size)])
     out = np.empty(int(at[-1]), np.uint8)
@@ -97,69 +102,117 @@ def lattice(vocabulary: Vocabulary, raw: np.ndarray, start: np.ndarray, length:
     """Yields (from, to, piece numbers) of all spans of words that all have ``length`` bytes."""
     sums = bw.prefix_sums(raw)
     for i in range(length):
-        for j in range(i + 1, min(length, i + MAX_PIECE) + 1):
-            number = vocabulary.find(bw.span_hash(sums, start + i, start + j))
-            if j == i + 1 or (number != vocabulary.size).any():
-                yield i, j, number
+        for n in vocabulary.lengths:
+            if i + n > length:
+                break
+            number = vocabulary.find(bw.span_hash(sums, start + i, start + i + n))
+            if n == 1 or (number != vocabulary.size).any():
+                yield i, i + n, number
 
 
 def log_probability(vocabulary: Vocabulary, probability: np.ndarray, raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """(words x languages): log of the sum over all segmentations; probability has a row of zeros at the end."""
     out = np.zeros((len(start), probability.shape[1]))
     size = end - start
-    for length in np.unique(size):
+    for length in np.unique(size[size <= PLAIN]):
         at = np.flatnonzero(size == length)
         alpha = np.zeros((length + 1, len(at), probability.shape[1]))
         alpha[0] = 1
         for i, j, number in lattice(vocabulary, raw, start[at], int(length)):
             alpha[j] += alpha[i] * probability[number]
         out[at] = np.log(np.maximum(alpha[length], 1e-300))
+    long = np.flatnonzero(size > PLAIN)
+    if len(long):
+        out[long] = long_log_probability(vocabulary, probability, raw, start[long], end[long])
+    return out
+
+
+def long_log_probability(vocabulary: Vocabulary, probability: np.ndarray, raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The same for words of any length, byte by byte for all of them at once.
+
+    Of the forward sums only those within the longest piece are kept, divided
+    by the greatest of them, whose log is added up.
+    """
+    order = np.argsort(start - end, kind="stable")  # the longest first
+    begin, size = start[order], (end - start)[order]
+    lengths, reach = np.array(vocabulary.lengths), vocabulary.lengths[-1]
+    n, langs = len(order), probability.shape[1]
+    sums = bw.prefix_sums(raw)
+    # back[:, k]: the sum up to k + 1 bytes before the byte that comes next
+    back, scale = np.zeros((n, reach, langs)), np.zeros((n, langs))
+    back[:, 0] = 1
+    at, total = 0, int(size[0])
+    while at < total:
+        alive = int(np.searchsorted(-size, -at, "left"))
+        to = min(total, at + max(1, SPANS // (alive * len(lengths))))
+        # pieces that end after each byte of this stretch, by length
+        stop = begin[:alive, None, None] + np.arange(at + 1, to + 1)[None, :, None]
+        first = stop - lengths
+        inside = (first >= begin[:alive, None, None]) & (stop <= (begin + size)[:alive, None, None])
+        number = np.full(inside.shape, vocabulary.size)
+        number[inside] = vocabulary.find(bw.span_hash(sums, first[inside], np.broadcast_to(stop, inside.shape)[inside]))
+        for j in range(to - at):
+            own = int(np.searchsorted(-size, -(at + j), "left"))  # words that have this byte
+            new = (back[:own, lengths - 1] * probability[number[:own, j]]).sum(1)
+            greatest = np.maximum(new, 1e-300)
+            back[:own, 1:] = back[:own, :-1] / greatest[:, None]
+            back[:own, 0] = new / greatest
+            scale[:own] += np.log(greatest)
+        at = to
+    out = np.empty((n, langs))
+    out[order] = scale + np.log(np.maximum(back[:, 0], 1e-300))
     return out
 
 
 def expected(vocabulary: Vocabulary, probability: np.ndarray, raw: np.ndarray, start: np.ndarray, end: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """Expected piece counts of words that occur n times, summed over all segmentations (forward-backward)."""
+    """Expected piece counts of words that occur n times, summed over all segmentations (forward-backward, in logs for long words)."""
     out = np.zeros(vocabulary.size + 1)
     size = end - start
+    with np.errstate(divide="ignore"):
+        logs = np.log(probability)
     for length in np.unique(size):
         at = np.flatnonzero(size == length)
         spans = list(lattice(vocabulary, raw, start[at], int(length)))
-        alpha, beta = np.zeros((2, length + 1, len(at)))
-        alpha[0] = beta[length] = 1
-        for i, j, number in spans:
-            alpha[j] += alpha[i] * probability[number]
-        for i, j, number in sorted(spans, key=lambda s: -s[0]):
-            beta[i] += beta[j] * probability[number]
-        for i, j, number in spans:
-            out += np.bincount(number, n[at] * alpha[i] * probability[number] * beta[j] / np.maximum(alpha[length], 1e-300), vocabulary.size + 1)
+        back = sorted(spans, key=lambda s: -s[0])
+        if length <= PLAIN:
+            alpha, beta = np.zeros((2, length + 1, len(at)))
+            alpha[0] = beta[length] = 1
+            for i, j, number in spans:
+                alpha[j] += alpha[i] * probability[number]
+            for i, j, number in back:
+                beta[i] += beta[j] * probability[number]
+            weights = ((number, alpha[i] * probability[number] * beta[j] / np.maximum(alpha[length], 1e-300)) for i, j, number in spans)
+        else:
+            alpha, beta = np.full((2, length + 1, len(at)), -np.inf)
+            alpha[0] = beta[length] = 0
+            for i, j, number in spans:
+                alpha[j] = np.logaddexp(alpha[j], alpha[i] + logs[number])
+            for i, j, number in back:
+                beta[i] = np.logaddexp(beta[i], beta[j] + logs[number])
+            weights = ((number, np.exp(alpha[i] + logs[number] + beta[j] - alpha[length])) for i, j, number in spans)
+        for number, weight in weights:
+            out += np.bincount(number, n[at] * weight, vocabulary.size + 1)
     return out
 
 
-def _words(raw: np.ndarray, offs: np.ndarray) -> tuple[bw.Words, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Words in parts, and of the distinct ones (index of each part's, bytes, start, end)."""
+def _words(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row and index of the distinct word of each word; bytes, hashes, starts and ends of the distinct words)."""
     raw = _LOWER[raw]
-    w = bw.words(raw, offs, bw.PUNCTUATION, hashed=False)
-    row, start, end = w.row, w.start, w.end
-    if len(start) and (end - start).max() >= LONGEST:
-        parts = -(-(end - start) // (LONGEST - 1))
-        row = np.repeat(row, parts)
-        nth = np.arange(len(row)) - np.repeat(np.cumsum(parts) - parts, parts)
-        start = np.repeat(start, parts) + nth * (LONGEST - 1)
-        end = np.minimum(np.repeat(end, parts), start + LONGEST - 1)
-    h = bw.span_hash(bw.prefix_sums(raw), start, end)
-    _, one, which = np.unique(h, return_index=True, return_inverse=True)
-    return row, which, *marked(raw, start[one], end[one])
+    w = bw.words(raw, offs, bw.PUNCTUATION)
+    h, one, which = np.unique(w.hash, return_index=True, return_inverse=True)
+    return w.row, which, raw, h, w.start[one], w.end[one]
 
 
 def _counted(batches):
     for b in batches:
         langs = np.array(b.column("lang").to_pylist(), object)
         for lo, hi, raw, offs in bw.chunks(b.column("text"), CHUNK):
-            row, which, own, start, end = _words(raw, offs)
+            row, which, lower, _, start, end = _words(raw, offs)
+            own, start, end = marked(lower, start, end)
             part = langs[lo:hi]
             for lang in sorted(set(part)):
                 n = np.bincount(which[(part == lang)[row]], minlength=len(start))
-                used = np.flatnonzero(n)
+                used = np.flatnonzero((n > 0) & (end - start <= LEARNT))
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(used), pa.string()), pa.array([own[start[i]:end[i]].tobytes() for i in used], pa.binary()),
                                                   pa.array(n[used], pa.int64())], ["lang", "word", "n"])
 
@@ -213,6 +266,30 @@ def learn(docs: DataFrame, model: str = MODEL, sample: int = SAMPLE) -> tuple[li
     return langs, listed, probability
 
 
+class Scores:
+    """Log-probabilities of words by language; those of words seen lately are remembered by their hash."""
+
+    def __init__(self, vocabulary: Vocabulary, probability: np.ndarray, most: int = HELD):
+        self.vocabulary, self.probability, self.most = vocabulary, probability, most
+        self.known, self.values = np.zeros(0, np.uint64), np.zeros((0, probability.shape[1]))
+
+    def of(self, raw: np.ndarray, h: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Of distinct words, in order of their hashes."""
+        at = np.searchsorted(self.known, h)
+        held = np.zeros(len(h), bool)
+        there = at < len(self.known)
+        held[there] = self.known[at[there]] == h[there]
+        out = np.empty((len(h), self.probability.shape[1]))
+        out[held] = self.values[at[held]]
+        new = np.flatnonzero(~held)
+        out[new] = log_probability(self.vocabulary, self.probability, *marked(raw, start[new], end[new]))
+        if len(self.known) + len(new) > self.most:  # begin anew with these
+            self.known, self.values = h[:self.most], out[:self.most]
+        elif len(new):
+            self.known, self.values = np.insert(self.known, at[new], h[new]), np.insert(self.values, at[new], out[new], 0)
+        return out
+
+
 def predict(docs: DataFrame, learned: tuple[list[str], list[bytes], np.ndarray], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, lang_pred, score), one row per document."""
     shared = docs.sparkSession.sparkContext.broadcast(learned)
@@ -220,13 +297,13 @@ def predict(docs: DataFrame, learned: tuple[list[str], list[bytes], np.ndarray],
 
     def predicted(batches):
         langs, listed, probability = shared.value
-        vocabulary = Vocabulary(listed)
+        scores = Scores(Vocabulary(listed), probability)
         names = np.array([*langs, "und"], object)
         for b in batches:
             best, sure = np.full(b.num_rows, len(langs)), np.zeros(b.num_rows)
             for lo, hi, raw, offs in bw.chunks(b.column("text"), CHUNK) if langs else ():
-                row, which, own, start, end = _words(raw, offs)
-                logs = log_probability(vocabulary, probability, own, start, end)
+                row, which, lower, h, start, end = _words(raw, offs)
+                logs = scores.of(lower, h, start, end)
                 total = np.stack([np.bincount(row, logs[which, k], hi - lo) for k in range(len(langs))], 1)
                 top = total.argmax(1)
                 best[lo:hi] = top
