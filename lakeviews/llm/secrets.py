@@ -15,9 +15,9 @@ ends, then in its parts between ``=``, ``/`` and ``.``, one mark after the other
 
 Defined results: null texts are empty; texts without a match give 0 counts, an
 empty span list and the digest of the empty string; a kind with fewer than
-``MIN_LABELLED`` credentials infers no automaton and adds nothing; repeated
-rows give repeated results; an empty table gives no rows; other columns are
-ignored.
+``least_labelled`` credentials infers no automaton and adds nothing, and
+``learned_kinds`` names the kinds that did; repeated rows give repeated results;
+an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -51,7 +51,7 @@ SPLITS = "=/."
 WORTH = r"(?i:password|passwd|secret|token|api_?key)|[A-Za-z0-9+/_.=-]{16,}"
 
 MIN_SHARE = 0.002  # of a kind's credentials that pass a state whose successors come to the driver, at least
-MIN_LABELLED = 20
+MIN_LABELLED = 5  # credentials of a kind from which an automaton is inferred
 DEPTH = 64  # of the prefix tree; longer credentials go on in the automaton
 ALPHA = 1e-3  # of the compatibility test
 SMOOTH = 1e-4
@@ -85,17 +85,21 @@ def _worth(column: pa.Array) -> np.ndarray:
 def _labelled(batches):
     for b in batches:
         column = b.column("text")
-        found = [(KINDS[k], shape(v)) for i in _worth(column) for _, k, _, v in base_spans(column[int(i)].as_py())]
-        yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in found], pa.string()), pa.array([s for _, s in found], pa.string())], ["kind", "shape"])
+        found = {(KINDS[k], shape(v), hashlib.md5(v.encode(), usedforsecurity=False).digest()) for i in _worth(column) for _, k, _, v in base_spans(column[int(i)].as_py())}
+        yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in found], t) for c, t in enumerate((pa.string(), pa.string(), pa.binary()))], ["kind", "shape", "value"])
 
 
 def credentials(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(kind, shape, n): labelled credentials of all documents as class strings, with their number."""
-    rows = docs.select(F.col(text).alias("text")).mapInArrow(_labelled, "kind string, shape string")
-    return rows.groupBy("kind", "shape").agg(F.count(F.lit(1)).alias("n"))
+    """(kind, shape, n): labelled credentials of all documents as class strings, with their number.
+
+    A credential counts once, however many copies of its document there are:
+    the test for compatible states takes credentials as drawn one by one.
+    """
+    rows = docs.select(F.col(text).alias("text")).mapInArrow(_labelled, "kind string, shape string, value binary")
+    return rows.distinct().groupBy("kind", "shape").agg(F.count(F.lit(1)).alias("n"))
 
 
-def prefixes(counted: DataFrame) -> DataFrame:
+def prefixes(counted: DataFrame, least_labelled: int = MIN_LABELLED) -> DataFrame:
     """(kind, prefix, passed, ended, follows) of prefix-tree states that enough credentials pass, and of all their children.
 
     ``follows`` counts the next symbols of a state, whether or not the states they lead to are listed.
@@ -108,7 +112,7 @@ def prefixes(counted: DataFrame) -> DataFrame:
         F.sum("n").alias("passed"), F.coalesce(F.sum(F.when(F.col("symbol") == "", F.col("n"))), F.lit(0)).alias("ended"),
         F.map_from_entries(F.array_sort(F.collect_list(F.when(F.col("symbol") != "", F.struct("symbol", "n"))))).alias("follows"))
     total = counted.groupBy("kind").agg(F.sum("n").alias("total"))
-    states = save(states.join(F.broadcast(total), "kind").filter(F.col("total") >= MIN_LABELLED), "secret-states")  # a row per kind: three
+    states = save(states.join(F.broadcast(total), "kind").filter(F.col("total") >= least_labelled), "secret-states")  # a row per kind: three
     often = states.filter(F.col("passed") >= F.greatest(F.lit(2.0), F.col("total") * MIN_SHARE)).select("kind", F.col("prefix").alias("parent"))
     parent = F.when(F.col("prefix") != "", F.expr("substring(prefix, 1, length(prefix) - 1)")).otherwise("")
     # At most DEPTH / MIN_SHARE rows a kind are broadcast.  A state that is passed often has a parent that is.
@@ -211,16 +215,16 @@ def likelihood(automaton: dict, shaped: str) -> float:
     return total / max(1, len(shaped))
 
 
-def infer(docs: DataFrame, text: str = "text") -> dict[str, tuple[dict, float]]:
+def infer(docs: DataFrame, text: str = "text", least_labelled: int = MIN_LABELLED) -> dict[str, tuple[dict, float]]:
     """kind -> (automaton's table, least likelihood of a secret), from all documents' labelled credentials."""
-    return learned(save(credentials(docs, text), "secret-shapes"))
+    return learned(save(credentials(docs, text), "secret-shapes"), least_labelled)
 
 
-def learned(counted: DataFrame) -> dict[str, tuple[dict, float]]:
+def learned(counted: DataFrame, least_labelled: int = MIN_LABELLED) -> dict[str, tuple[dict, float]]:
     """``infer`` from (kind, shape, n), a written table."""
     trees: dict[str, dict] = {}
     # At most DEPTH / MIN_SHARE states a kind and their children come to the driver.
-    for r in prefixes(counted).collect():
+    for r in prefixes(counted, least_labelled).collect():
         trees.setdefault(r["kind"], {})[r["prefix"]] = (r["passed"], r["ended"], r["follows"])
     tables = {kind: Automaton(tree).table() for kind, tree in sorted(trees.items())}
     if not tables:
@@ -304,7 +308,7 @@ def spans_of(text: str, model: dict[str, tuple[dict, float]]) -> tuple[list, lis
 
 
 def scan(docs: DataFrame, model: dict | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_learned), one row per document; positions in code points."""
+    """(doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_learned, learned_kinds), one row per document; positions in code points."""
     model = infer(docs, text) if model is None else model
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
@@ -327,8 +331,9 @@ def scan(docs: DataFrame, model: dict | None = None, doc_id: str = "doc_id", tex
                                               pa.array(added, pa.int64())],
                                              ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_learned"])
 
-    return rows.mapInArrow(scanned, f"doc_id {dict(rows.dtypes)['doc_id']}, n_assign long, n_access long, n_hex long, "
-                                    "base_sha256 string, spans string, n_learned long")
+    found = rows.mapInArrow(scanned, f"doc_id {dict(rows.dtypes)['doc_id']}, n_assign long, n_access long, n_hex long, "
+                                     "base_sha256 string, spans string, n_learned long")
+    return found.withColumn("learned_kinds", F.lit(",".join(sorted(model))))
 
 
 def redact(docs: DataFrame, model: dict | None = None, text: str = "text", mark: str = "[secret]") -> DataFrame:
