@@ -100,7 +100,7 @@ class StarBinding:
         cut there too: a lost executor recomputes from the written joins.  Call
         before any fact is used.
         """
-        key = (self.spark.sparkContext.applicationId, self.t.sf_dir, self.t.version(("region", "nation", "customer", "orders", "lineitem")))
+        key = (self.spark.sparkContext.applicationId, self.t.sf_dir, self.version())
         base = _WRITTEN_JOINS.get(key)
         if base is not None and folders(self.spark, base) is None:  # cleared meanwhile
             base = None
@@ -115,9 +115,13 @@ class StarBinding:
         self.__dict__["cust"] = written("cust", self.cust)
         self.__dict__["ord"] = written("ord", self.ord)
         self.__dict__["li"] = written("li", self.li.select(*self.LI_COLUMNS))
-        _WRITTEN_JOINS[key] = fresh
+        _WRITTEN_JOINS[key] = self.joins = fresh
         return self
 
+    def version(self) -> tuple:
+        """Size and time of every input file of the joins."""
+        return self.t.version(("region", "nation", "customer", "orders", "lineitem"))
+
     # --- facts ---
     @cached_property
     def fact_sales(self) -> DataFrame:

@@ -18,6 +18,7 @@ from lakeviews.plans import queries as Q
 from lakeviews.plans import views as V
 from lakeviews.plans.binding import StarBinding
 from lakeviews.session import tune_session
+from lakeviews.sources.lake import folders
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -45,9 +46,19 @@ def register(key: str):
     return deco
 
 
+# The star of each session and folder, with the version of its input files: its
+# frames are built (table handles, schemas, plans) once, and hold no rows.
+_STARS: dict[tuple, tuple[tuple, StarBinding]] = {}
+
+
 def star(spark, sf_dir) -> StarBinding:
     """The star over the input tables; its joins are written once and read by every query."""
-    return StarBinding(spark, sf_dir).materialize_joins()
+    fresh = StarBinding(spark, sf_dir)
+    key, version = (spark.sparkContext.applicationId, id(spark), fresh.t.sf_dir), fresh.version()
+    held = _STARS.get(key)
+    if held is None or held[0] != version or folders(spark, held[1].joins) is None:
+        _STARS[key] = held = (version, fresh.materialize_joins())
+    return held[1]
 
 
 def _views(spark, sf_dir) -> V.Views:

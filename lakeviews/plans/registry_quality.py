@@ -16,7 +16,11 @@ from lakeviews.plans.registry import register, star
 
 
 def _raw(spark, sf_dir) -> RawZone:
-    return RawZone(star(spark, sf_dir))
+    """The raw datasets of the star, built once with it."""
+    held = star(spark, sf_dir)
+    if not hasattr(held, "raw"):
+        held.raw = RawZone(held)
+    return held.raw
 
 
 def coerced(raw: RawZone, name: str) -> DataFrame:
@@ -24,7 +28,9 @@ def coerced(raw: RawZone, name: str) -> DataFrame:
 
 
 def all_coerced(raw: RawZone) -> dict[str, DataFrame]:
-    return {n: coerced(raw, n) for n in TRANSFORM_ORDER}
+    if not hasattr(raw, "all_coerced"):
+        raw.all_coerced = {n: coerced(raw, n) for n in TRANSFORM_ORDER}
+    return dict(raw.all_coerced)
 
 
 # ---------------- coercion (§2.2) ----------------
