@@ -26,14 +26,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeviews.llm import bytewords as bw
-from lakeviews.llm.common import hash60, held_out, save, table
+from lakeviews.llm.common import hash60, held_out, save, slices, table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLE = 3_000
 ROUNDS = 4
 LEARNT = 1_024  # bytes of the longest words that piece probabilities are estimated from
 PLAIN = 48  # bytes of the longest words whose sums need no scaling
-HELD = 1 << 18  # words whose scores a task remembers
+HELD = 1 << 18  # words whose scores a task remembers, unless one piece of texts has more
+TOGETHER = 8 << 20  # bytes of texts whose new words are scored together
 SPANS = 1 << 20  # spans of long words that are looked up at once
 FLOOR = 1e-8
 CHUNK = 1 << 20  # words repeat more in longer chunks
@@ -271,23 +272,37 @@ class Scores:
 
     def __init__(self, vocabulary: Vocabulary, probability: np.ndarray, most: int = HELD):
         self.vocabulary, self.probability, self.most = vocabulary, probability, most
-        self.known, self.values = np.zeros(0, np.uint64), np.zeros((0, probability.shape[1]))
+        self._forget()
 
-    def of(self, raw: np.ndarray, h: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Of distinct words, in order of their hashes."""
+    def _forget(self) -> None:
+        self.known, self.values = np.zeros(0, np.uint64), np.zeros((0, self.probability.shape[1]))
+
+    def _new(self, h: np.ndarray) -> np.ndarray:
         at = np.searchsorted(self.known, h)
-        held = np.zeros(len(h), bool)
-        there = at < len(self.known)
-        held[there] = self.known[at[there]] == h[there]
-        out = np.empty((len(h), self.probability.shape[1]))
-        out[held] = self.values[at[held]]
-        new = np.flatnonzero(~held)
-        out[new] = log_probability(self.vocabulary, self.probability, *marked(raw, start[new], end[new]))
-        if len(self.known) + len(new) > self.most:  # begin anew with these
-            self.known, self.values = h[:self.most], out[:self.most]
-        elif len(new):
-            self.known, self.values = np.insert(self.known, at[new], h[new]), np.insert(self.values, at[new], out[new], 0)
-        return out
+        there = np.flatnonzero(at < len(self.known))
+        new = np.ones(len(h), bool)
+        new[there] = self.known[at[there]] != h[there]
+        return np.flatnonzero(new)
+
+    def of(self, chunks: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]) -> list[np.ndarray]:
+        """Of the distinct words (bytes, hashes, starts, ends) of some chunks; words new to all are scored together."""
+        if len(self.known) + sum(len(self._new(h)) for _, h, _, _ in chunks) > self.most:
+            self._forget()
+        hashes, parts, begin, end, size = [], [], [], [], 0
+        for raw, h, start, stop in chunks:
+            new = self._new(h)
+            own, first, last = marked(raw, start[new], stop[new])
+            hashes.append(h[new])
+            parts.append(own)
+            begin.append(first + size)
+            end.append(last + size)
+            size += len(own)
+        h, one = np.unique(np.concatenate(hashes), return_index=True)
+        if len(h):
+            scored = log_probability(self.vocabulary, self.probability, np.concatenate(parts), np.concatenate(begin)[one], np.concatenate(end)[one])
+            at = np.searchsorted(self.known, h)
+            self.known, self.values = np.insert(self.known, at, h), np.insert(self.values, at, scored, 0)
+        return [self.values[np.searchsorted(self.known, h)] for _, h, _, _ in chunks]
 
 
 def predict(docs: DataFrame, learned: tuple[list[str], list[bytes], np.ndarray], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -299,11 +314,13 @@ def predict(docs: DataFrame, learned: tuple[list[str], list[bytes], np.ndarray],
         langs, listed, probability = shared.value
         scores = Scores(Vocabulary(listed), probability)
         names = np.array([*langs, "und"], object)
-        for b in batches:
+        for b in (x for whole in batches for x in slices(whole, TOGETHER)):
             best, sure = np.full(b.num_rows, len(langs)), np.zeros(b.num_rows)
+            chunks = []
             for lo, hi, raw, offs in bw.chunks(b.column("text"), CHUNK) if langs else ():
-                row, which, lower, h, start, end = _words(raw, offs)
-                logs = scores.of(lower, h, start, end)
+                chunks.append((lo, hi, *_words(raw, offs)))
+            logs_of = scores.of([c[4:] for c in chunks]) if chunks else ()
+            for (lo, hi, row, which, *_), logs in zip(chunks, logs_of):
                 total = np.stack([np.bincount(row, logs[which, k], hi - lo) for k in range(len(langs))], 1)
                 top = total.argmax(1)
                 best[lo:hi] = top
