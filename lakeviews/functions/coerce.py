@@ -22,6 +22,9 @@ from lakeviews.contracts import Contract
 # Plain decimal or scientific notation, optional sign, surrounding blanks allowed.
 NUMBER_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
+# Decimal notation of at most 300 digits before the point, which is never beyond DOUBLE.
+PLAIN_PATTERN = r"^\s*+[+-]?+\d{1,300}+(?:\.\d*+)?+\s*+\z"
+
 # What a cast to BIGINT takes (control characters at the ends too), and whole numbers
 # as a float column prints them.  A cast that fails raises and catches an exception
 # for each value, some 30 us, so text goes only to a cast that takes it.
@@ -41,7 +44,8 @@ def coerce_date(c: Column) -> Column:
 
 def coerce_float(c: Column) -> Column:
     d = F.when(c.rlike(NUMBER_PATTERN), F.trim(c).try_cast("double"))
-    return F.when(F.abs(d) < F.lit(float("inf")), d)
+    # Plain text is matched and cast once; the general form names ``d`` twice and computes it twice.
+    return F.when(c.rlike(PLAIN_PATTERN), F.trim(c).try_cast("double")).when(F.abs(d) < F.lit(float("inf")), d)
 
 
 def coerce_int(c: Column) -> Column:

@@ -103,7 +103,7 @@ def _curate(spark: SparkSession, lake_root: str, name: str):
         return None
     seen = Observation()
     typed = coerce_types(raw.observe(seen, F.count(F.lit(1)).alias("rows")), contract)
-    cleaned = dedupe_keep_last(typed, contract.primary_key, F.col(SEQ)).drop(SEQ)
+    cleaned = dedupe_keep_last(typed, contract.primary_key, SEQ).drop(SEQ)
     path = L.write_curated(cleaned, lake_root, contract.domain, contract.name)
     return {"path": path, "rows": seen.get["rows"]}
 
