@@ -68,7 +68,7 @@ class RefreshResult:
 CONCURRENT_JOBS = 4
 
 
-def _in_parallel(fn, items):
+def in_parallel(fn, items):
     with ThreadPoolExecutor(max_workers=CONCURRENT_JOBS) as pool:
         return list(pool.map(fn, items))
 
@@ -92,7 +92,7 @@ def land_all(raw_inputs: dict[str, DataFrame], lake_root: str, ingest_date: str,
             L.land_raw(df, lake_root, c.domain, c.name, ingest_date)
             return landed(c)
         return journal.once(f"land-{name}", work, lambda record: holds(name, record))
-    return len(_in_parallel(land, list(raw_inputs.items())))
+    return len(in_parallel(land, list(raw_inputs.items())))
 
 
 def _curate(spark: SparkSession, lake_root: str, name: str):
@@ -114,7 +114,7 @@ def clean_all(spark: SparkSession, lake_root: str, journal: Journal):
         return journal.once(f"curate-{name}", lambda: _curate(spark, lake_root, name) or {},
                             lambda record: not record or L.folders(spark, record["path"]) is not None)
 
-    done = {n: r for n, r in zip(TRANSFORM_ORDER, _in_parallel(curate, TRANSFORM_ORDER)) if r}
+    done = {n: r for n, r in zip(TRANSFORM_ORDER, in_parallel(curate, TRANSFORM_ORDER)) if r}
     return {n: r["rows"] for n, r in done.items()}, {n: spark.read.parquet(r["path"]) for n, r in done.items()}
 
 
@@ -179,7 +179,7 @@ def job_full_refresh(spark: SparkSession, raw_inputs: dict[str, DataFrame], lake
             journal.once(f"export-{name}", lambda: L.export_flat_csv(sources[view], path, order), lambda record: record == path and L.folders(spark, path) is not None)
             return name, path
 
-        exports = dict(_in_parallel(export, [e for e in EXPORTS if e[1] in sources]))
+        exports = dict(in_parallel(export, [e for e in EXPORTS if e[1] in sources]))
     journal.finish()
     return RefreshResult(reports, metrics, catalog, star["path"], views, loaded, exports, journal)
 
