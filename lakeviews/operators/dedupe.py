@@ -8,15 +8,11 @@ declarative aggregate, so Spark combines map-side and a key holding a third
 of all rows costs one partial row per partition instead of one huge task.
 NULL keys form one group each, as in pandas.
 
-A row is carried once through the two sorts and the exchange: if the order is
-that of all other columns the aggregate is ``max(struct(row))``, and a sequence
-column named as text is only carried as what ``max_by`` orders by.
+A sequence column named as text is only carried as what ``max_by`` orders by.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,16 +33,7 @@ def with_input_order(df: DataFrame) -> DataFrame:
         F.monotonically_increasing_id().alias("pos")))
 
 
-@dataclass(frozen=True)
-class TotalOrder:
-    """The order of rows by these columns, the first one first."""
-    columns: tuple[str, ...]
-
-    def column(self) -> Column:
-        return F.struct(*[F.col(c) for c in self.columns])
-
-
-def dedupe_keep_last(df: DataFrame, primary_key, seq: Column | TotalOrder | str | None = None) -> DataFrame:
+def dedupe_keep_last(df: DataFrame, primary_key, seq: Column | str | None = None) -> DataFrame:
     """Drop all but the last row per key; unchanged if no key column is present.
 
     ``seq`` defaults to the ``_input_seq`` column added by ``with_input_order``.
@@ -60,15 +47,11 @@ def dedupe_keep_last(df: DataFrame, primary_key, seq: Column | TotalOrder | str
         return df.select(*keys).distinct()
     aside = [seq] if isinstance(seq, str) and seq in rest else []  # pruned if the caller drops it
     row = [c for c in rest if c not in aside]
-    if isinstance(seq, TotalOrder) and set(rest) <= set(seq.columns):
-        row = [c for c in seq.columns if c in rest]  # the keys decide nothing within a group
-        last = F.max(F.struct(*row))
-    else:
-        last = F.max_by(F.struct(*row) if row else F.lit(True), F.col(seq) if isinstance(seq, str) else seq.column() if isinstance(seq, TotalOrder) else seq)
+    last = F.max_by(F.struct(*row) if row else F.lit(True), F.col(seq) if isinstance(seq, str) else seq)
     kept = df.groupBy(*keys).agg(last.alias("_last"), *[F.max(c).alias(c) for c in aside])
     return kept.select(*[F.col(f"_last.{c}").alias(c) if c in row else F.col(c) for c in df.columns])
 
 
-def total_order(df: DataFrame, exclude=()) -> TotalOrder:
+def total_order(df: DataFrame, exclude=()) -> Column:
     """A sequence over all non-excluded columns (a total order when no two rows are equal)."""
-    return TotalOrder(tuple(c for c in df.columns if c not in exclude))
+    return F.struct(*[F.col(c) for c in df.columns if c not in exclude])
