@@ -8,6 +8,11 @@ fixed in width (a 64-bit fingerprint, a count, marks for parents and for keys
 with a NULL, the least and greatest of a second fingerprint), however long the
 keys are.
 
+Where keys are expected to be unique (``unique``: rows kept by key), a unique
+key sends its first fingerprint alone, 12 bytes rather than 27 after
+compression.  Keys whose first fingerprints all differ are all different; a rule
+with a fingerprint that comes twice is measured again, with both.
+
 Where a group's two second fingerprints differ, different keys share the first
 one.  Only these groups' keys are then counted in full, in a second pass that
 usually doesn't run.  Two keys are taken for one only if both fingerprints, 128
@@ -64,12 +69,14 @@ def fingerprints(keys: list[Column]) -> tuple[Column, Column]:
     return F.xxhash64(*marked), F.xxhash64(F.lit("second"), *marked)
 
 
-def _stack(df: DataFrame, table: str, rules: list, prints, full: bool = False) -> DataFrame | None:
-    """Rows (rule, one, two, n, void, parent) of all the table's rules; ``full``: and key, the whole key as text."""
+def _stack(df: DataFrame, table: str, rules: list, prints, full: bool = False, unique: bool = False) -> DataFrame | None:
+    """Rows (rule, one, two, n, void, parent) of all the table's rules; ``full``: and key, the whole key as text; ``unique``: unique keys have no two."""
     out = []
 
-    def entry(number: int, keys: list[Column], n: int, parent: bool, when: Column | None) -> None:
+    def entry(number: int, keys: list[Column], n: int, parent: bool, when: Column | None, alone: bool = False) -> None:
         one, two = prints(keys) if keys else (F.lit(0).cast("long"), F.lit(0).cast("long"))
+        if alone:
+            two = F.lit(None).cast("long")
         void = F.lit(False)
         for k in keys:
             void = void | k.isNull()
@@ -81,7 +88,7 @@ def _stack(df: DataFrame, table: str, rules: list, prints, full: bool = False) -
 
     for number, rule in enumerate(rules):
         if isinstance(rule, Unique) and rule.table == table:
-            entry(number, [F.col(k) for k in rule.keys], 1, False, None)
+            entry(number, [F.col(k) for k in rule.keys], 1, False, None, unique)
         elif isinstance(rule, Count) and rule.table == table:
             entry(number, [], 1, False, rule.condition(df))
         elif isinstance(rule, Refer):
@@ -95,19 +102,19 @@ def _stack(df: DataFrame, table: str, rules: list, prints, full: bool = False) -
     return df.select(F.inline(F.array(*rows))).filter("rule IS NOT NULL") if rows else None
 
 
-def _united(frames: dict[str, DataFrame], rules: list, prints, full: bool = False) -> DataFrame | None:
-    stacks = [s for s in (_stack(df, name, rules, prints, full) for name, df in frames.items()) if s is not None]
+def _united(frames: dict[str, DataFrame], rules: list, prints, full: bool = False, unique: bool = False) -> DataFrame | None:
+    stacks = [s for s in (_stack(df, name, rules, prints, full, unique) for name, df in frames.items()) if s is not None]
     out = stacks[0] if stacks else None
     for s in stacks[1:]:
         out = out.unionByName(s)
     return out
 
 
-def grouped(frames: dict[str, DataFrame], rules: list, prints=fingerprints) -> DataFrame:
+def grouped(frames: dict[str, DataFrame], rules: list, prints=fingerprints, unique: bool = False) -> DataFrame:
     """(rule, one, n, void, parent, same), one row for each fingerprint of each rule: the one exchange."""
-    return (_united(frames, rules, prints).groupBy("rule", "one")
+    return (_united(frames, rules, prints, unique=unique).groupBy("rule", "one")
             .agg(F.sum("n").alias("n"), F.max("void").alias("void"), F.max("parent").alias("parent"), F.min("two").alias("least"), F.max("two").alias("most"))
-            .select("rule", "one", "n", "void", "parent", (F.col("least") == F.col("most")).alias("same")))
+            .select("rule", "one", "n", "void", "parent", F.coalesce(F.col("least") == F.col("most"), F.lit(True)).alias("same")))
 
 
 def _sums(rows: DataFrame, same: Column) -> DataFrame:
@@ -118,19 +125,22 @@ def _sums(rows: DataFrame, same: Column) -> DataFrame:
                                     F.count_if(~same).alias("shared"))
 
 
-def audit(frames: dict[str, DataFrame], rules: list, prints=fingerprints) -> list[Total]:
-    """The totals of every rule, in order; its tables must be among ``frames``."""
+def audit(frames: dict[str, DataFrame], rules: list, prints=fingerprints, unique: bool = False) -> list[Total]:
+    """The totals of every rule, in order; its tables must be among ``frames``.  ``unique``: keys are expected to be so, which changes the cost and no total."""
     if not rules or _united(frames, rules, prints) is None:
         return [Total() for _ in rules]
-    groups = grouped(frames, rules, prints)
+    groups = grouped(frames, rules, prints, unique)
     # A row a rule.
     found = {r["rule"]: r for r in _sums(groups, F.col("same")).collect()}
     totals = [Total(r["rows"], r["repeated"], r["void"], r["orphans"]) if (r := found.get(k)) else Total() for k in range(len(rules))]
+    again = [k for k, rule in enumerate(rules) if unique and isinstance(rule, Unique) and totals[k].repeated]
+    for k, total in zip(again, audit(frames, [rules[k] for k in again], prints)):
+        totals[k] = total
     shared = [k for k, r in found.items() if r["shared"]]
     if not shared:
         return totals
     colliding = groups.filter(~F.col("same")).select("rule", "one")
-    whole = (_united(frames, rules, prints, True).filter(F.col("rule").isin(shared)).join(colliding, ["rule", "one"], "left_semi")
+    whole = (_united(frames, rules, prints, True, unique).filter(F.col("rule").isin(shared)).join(colliding, ["rule", "one"], "left_semi")
              .groupBy("rule", "key").agg(F.sum("n").alias("n"), F.max("void").alias("void"), F.max("parent").alias("parent")))
     for r in _sums(whole, F.lit(True)).collect():
         t = totals[r["rule"]]

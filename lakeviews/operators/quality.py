@@ -150,11 +150,11 @@ def run_quality_checks(df: DataFrame, contract: Contract, parents: dict | None =
 
 
 def dataset_metrics(frames: dict[str, DataFrame], contracts: dict[str, Contract], checks: tuple[str, ...] = ("row_count", "null", "duplicate", "fk"),
-                    parents: dict[str, DataFrame] | None = None) -> DataFrame:
+                    parents: dict[str, DataFrame] | None = None, unique: bool = False) -> DataFrame:
     """The chosen metrics of all datasets, from one scan of each and one exchange.
 
     ``parents`` are the frames that foreign keys may point to (``frames``, unless
-    given); a key whose parent or column isn't there counts -1.
+    given); a key whose parent or column isn't there counts -1.  ``unique``: see ``audit``.
     """
     parents = frames if parents is None else parents
     known = {**parents, **frames}
@@ -179,16 +179,16 @@ def dataset_metrics(frames: dict[str, DataFrame], contracts: dict[str, Contract]
             for column, parent, parent_column in contract.fk_checks:
                 there = parent in parents and column in df.columns and parent_column in parents[parent].columns
                 rows.append((name, "fk", column, parent, (ruled(A.Refer(name, column, parent, parent_column)), "orphans") if there else -1))
-    return _measured(known, rules, rows)
+    return _measured(known, rules, rows, unique)
 
 
-def _measured(frames: dict[str, DataFrame], rules: list, rows: list[tuple]) -> DataFrame:
-    totals = A.audit(frames, rules)
+def _measured(frames: dict[str, DataFrame], rules: list, rows: list[tuple], unique: bool = False) -> DataFrame:
+    totals = A.audit(frames, rules, unique=unique)
     spark = SparkSession.active() if not frames else next(iter(frames.values())).sparkSession
     return spark.createDataFrame([(*r[:4], getattr(totals[r[4][0]], r[4][1]) if isinstance(r[4], tuple) else r[4]) for r in rows], METRIC_SCHEMA)
 
 
-def constraint_metrics(star: dict[str, DataFrame], tables: dict, checks: tuple[str, ...] = ("pk", "fk", "not_null", "varchar")) -> DataFrame:
+def constraint_metrics(star: dict[str, DataFrame], tables: dict, checks: tuple[str, ...] = ("pk", "fk", "not_null", "varchar"), unique: bool = False) -> DataFrame:
     """Violations of the chosen constraints of all star tables, from one scan of each and one exchange."""
     rules, rows = [], []
 
@@ -213,7 +213,7 @@ def constraint_metrics(star: dict[str, DataFrame], tables: dict, checks: tuple[s
             for c, _, n in spec.columns:
                 if n:
                     measured(table, "varchar", c, None, A.Count(table, lambda d, c=c, n=n: F.length(F.col(c).cast("string")) > n), "rows")
-    return _measured(star, rules, rows)
+    return _measured(star, rules, rows, unique)
 
 
 def quality_report(metrics: DataFrame) -> DataFrame:

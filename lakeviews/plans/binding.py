@@ -144,19 +144,20 @@ class StarBinding:
                      (total * F.lit(0.02).cast("decimal(2,2)")).cast(TOTAL).alias("benefits_cost"),
                      (total * F.lit(0.12).cast("decimal(2,2)")).cast(TOTAL).alias("total_cost")))
 
-    @cached_property
-    def fact_finance_gl(self) -> DataFrame:
+    @property
+    def gl_columns(self) -> dict[str, Column]:
+        """The columns of the GL postings, over the line-item join."""
         flag = F.col("l_returnflag")
         account = F.when(flag == "A", "4000").when(flag == "N", "5000").otherwise("6000")
         amount = F.when(flag == "A", F.col("l_extendedprice")).otherwise(-F.col("l_extendedprice"))
-        return self.li.select(
-            F.concat_ws("-", F.col("l_orderkey").cast("string"),
-                        F.col("l_linenumber").cast("string")).alias("txn_id"),
-            "department", "region_code", "month_start",
-            account.alias("account_code"),
-            F.when(flag == "A", "Revenue").when(flag == "N", "Cost of goods sold")
-            .otherwise("Operating expense").alias("account_name"),
-            amount.cast(MONEY).alias("amount"))
+        name = F.when(flag == "A", "Revenue").when(flag == "N", "Cost of goods sold").otherwise("Operating expense")
+        return {"txn_id": F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")),
+                "department": F.col("department"), "region_code": F.col("region_code"), "month_start": F.col("month_start"),
+                "account_code": account, "account_name": name, "amount": amount.cast(MONEY)}
+
+    @cached_property
+    def fact_finance_gl(self) -> DataFrame:
+        return self.li.select(*[c.alias(n) for n, c in self.gl_columns.items()])
 
     @cached_property
     def fact_finance_budget(self) -> DataFrame:
@@ -172,14 +173,17 @@ class StarBinding:
                 .agg(F.sum(on_hand).cast("long").alias("quantity_on_hand"),
                      F.min(F.col("l_extendedprice").cast(MONEY)).cast("decimal(10,2)").alias("unit_cost")))
 
+    @property
+    def movement_columns(self) -> dict[str, Column]:
+        """The columns of the warehouse movements, over the line-item join."""
+        kind = F.when(F.col("l_linestatus") == "F", "outbound").otherwise("inbound")
+        return {"movement_id": F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")),
+                "sku": F.col("l_partkey") % 40, "region_code": F.col("region_code"), "month_start": F.col("month_start"),
+                "movement_type": kind, "quantity": F.col("l_quantity").cast("int")}
+
     @cached_property
     def fact_inventory_movement(self) -> DataFrame:
-        kind = F.when(F.col("l_linestatus") == "F", "outbound").otherwise("inbound")
-        return self.li.select(
-            F.concat_ws("-", F.col("l_orderkey").cast("string"),
-                        F.col("l_linenumber").cast("string")).alias("movement_id"),
-            (F.col("l_partkey") % 40).alias("sku"), "region_code", "month_start",
-            kind.alias("movement_type"), F.col("l_quantity").cast("int").alias("quantity"))
+        return self.li.select(*[c.alias(n) for n, c in self.movement_columns.items()])
 
     @cached_property
     def fact_marketing_spend(self) -> DataFrame:

@@ -21,6 +21,8 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeviews.contracts import CONTRACTS
+from lakeviews.functions.coerce import coerce_column
 from lakeviews.plans.binding import MONEY, StarBinding
 
 
@@ -32,10 +34,27 @@ class RawZone:
     def __init__(self, star: StarBinding):
         self.star = star
         self.t = star.t
+        self.made_of: dict[str, tuple[DataFrame, list[Column], dict[str, Column]]] = {}
 
     def dataset(self, full_name: str) -> DataFrame:
         return getattr(self, full_name.replace(".", "__"))
 
+    def _text(self, full_name: str, rows: DataFrame, key: list[Column], columns: dict[str, Column]) -> DataFrame:
+        """``columns`` of ``rows``; rows have one ``key`` if and only if their primary keys are equal as text."""
+        self.made_of[full_name] = (rows, key, columns)
+        return rows.select(*[c.alias(n) for n, c in columns.items()])
+
+    def ordered(self, full_name: str) -> DataFrame:
+        """The dataset in order of its key and then of its other columns, so that of rows with one key the greatest is the last.
+
+        Large datasets are put in order as rows of the tables they are made of
+        and written out as text afterwards, which moves half the bytes.
+        """
+        df, contract = self.dataset(full_name), CONTRACTS[full_name]
+        rest = [x for x in contract.columns if x not in contract.primary_key]
+        rows, key, columns = self.made_of.get(full_name) or (df, [F.col(k) for k in contract.primary_key], {c: F.col(c) for c in df.columns})
+        return rows.orderBy(*key, *[coerce_column(columns[x], contract.columns[x]) for x in rest]).select(*[c.alias(n) for n, c in columns.items()])
+
     @cached_property
     def sales__regions(self) -> DataFrame:
         return self.star.dim_region.select(*[s(c).alias(c) for c in ("region_code", "country_group", "sub_region")])
@@ -56,28 +75,31 @@ class RawZone:
         blank = (F.col("o_orderstatus") == "P")
         status = (F.when(F.col("o_orderstatus") == "F", "completed")
                   .when(F.col("o_orderstatus") == "O", "refunded").otherwise("cancelled"))
-        return o.select(
-            s("o_orderkey").alias("order_id"),
-            F.when(blank, F.lit(None).cast("string")).otherwise(s("o_custkey")).alias("customer_id"),
-            "region_code", s("order_date").alias("order_date"),
-            s("total").alias("order_total"),
-            s((F.col("total") * F.lit(0.6).cast("decimal(1,1)")).cast(MONEY)).alias("order_cost"),
-            status.alias("status"))
+        return self._text("sales.orders", o, [F.col("o_orderkey")], {
+            "order_id": s("o_orderkey"),
+            "customer_id": F.when(blank, F.lit(None).cast("string")).otherwise(s("o_custkey")),
+            "region_code": F.col("region_code"), "order_date": s("order_date"),
+            "order_total": s("total"),
+            "order_cost": s((F.col("total") * F.lit(0.6).cast("decimal(1,1)")).cast(MONEY)),
+            "status": status})
 
     @cached_property
     def sales__order_lines(self) -> DataFrame:
         li = self.t.lineitem
         price = F.col("l_extendedprice").cast(MONEY)
         disc = F.col("l_discount").cast("decimal(4,2)")
-        return li.select(
-            F.concat_ws("-", s("l_orderkey"), s("l_linenumber")).alias("order_line_id"),
-            s("l_orderkey").alias("order_id"), s(F.col("l_partkey") % 40).alias("sku"),
-            F.concat(F.lit("part-"), s("l_partkey")).alias("product_name"),
-            s("l_quantity").alias("quantity"),
-            s(price).alias("unit_price"),
-            s((price * F.lit(0.6).cast("decimal(1,1)")).cast(MONEY)).alias("unit_cost"),
-            s(disc).alias("discount_rate"),
-            s((price * (F.lit(1) - disc)).cast(MONEY)).alias("line_net_amount"))
+        # Of an order and a line number, either may be missing: the text is then the other one.
+        order = F.col("l_orderkey")
+        key = [F.coalesce(order, F.col("l_linenumber").cast("long")), F.when(order.isNotNull(), F.col("l_linenumber"))]
+        return self._text("sales.order_lines", li, key, {
+            "order_line_id": F.concat_ws("-", s("l_orderkey"), s("l_linenumber")),
+            "order_id": s("l_orderkey"), "sku": s(F.col("l_partkey") % 40),
+            "product_name": F.concat(F.lit("part-"), s("l_partkey")),
+            "quantity": s("l_quantity"),
+            "unit_price": s(price),
+            "unit_cost": s((price * F.lit(0.6).cast("decimal(1,1)")).cast(MONEY)),
+            "discount_rate": s(disc),
+            "line_net_amount": s((price * (F.lit(1) - disc)).cast(MONEY))})
 
     @cached_property
     def hr__employees(self) -> DataFrame:
@@ -119,9 +141,10 @@ class RawZone:
 
     @cached_property
     def finance__gl_transactions(self) -> DataFrame:
-        g = self.star.fact_finance_gl
-        return g.select("txn_id", "department", "region_code", s("month_start").alias("month"),
-                        "account_code", "account_name", s("amount").alias("amount"))
+        g = self.star.gl_columns
+        return self._text("finance.gl_transactions", self.star.li, self._line_key(), {
+            "txn_id": g["txn_id"], "department": g["department"], "region_code": g["region_code"], "month": s(g["month_start"]),
+            "account_code": g["account_code"], "account_name": g["account_name"], "amount": s(g["amount"])})
 
     @cached_property
     def inventory__sku_master(self) -> DataFrame:
@@ -141,9 +164,15 @@ class RawZone:
 
     @cached_property
     def inventory__warehouse_movements(self) -> DataFrame:
-        m = self.star.fact_inventory_movement
-        return m.select("movement_id", s("sku").alias("sku"), "region_code", s("month_start").alias("month"),
-                        "movement_type", s("quantity").alias("quantity"))
+        m = self.star.movement_columns
+        return self._text("inventory.warehouse_movements", self.star.li, self._line_key(), {
+            "movement_id": m["movement_id"], "sku": s(m["sku"]), "region_code": m["region_code"], "month": s(m["month_start"]),
+            "movement_type": m["movement_type"], "quantity": s(m["quantity"])})
+
+    @staticmethod
+    def _line_key() -> list[Column]:
+        """Of joined line items, whose order is never missing."""
+        return [F.col("l_orderkey"), F.col("l_linenumber")]
 
     @cached_property
     def marketing__campaigns(self) -> DataFrame:

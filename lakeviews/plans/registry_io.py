@@ -11,7 +11,6 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lakeviews.contracts import CONTRACTS, STAR_LOAD_ORDER, TRANSFORM_ORDER
-from lakeviews.functions.coerce import coerce_column
 from lakeviews.plans import catalog as CAT
 from lakeviews.plans import incremental as INC
 from lakeviews.plans import job as JOB
@@ -255,14 +254,10 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     """The whole refresh: the report of each dataset, the rows of each star table, rows and digest of each export.
 
-    The tables give no row order, so what is landed is put in order of all
-    columns: of rows with one key, the greatest is the last.
+    The tables give no row order, so what is landed is put in order of key and
+    other columns: of rows with one key, the greatest is the last.
     """
     raw = _raw(spark, sf_dir)
-    inputs = {}
-    for name in TRANSFORM_ORDER:
-        c, df = CONTRACTS[name], raw.dataset(name)
-        rest = [x for x in c.columns if x not in c.primary_key]
-        inputs[name] = df.orderBy(*c.primary_key, *[coerce_column(F.col(x), c.columns[x]) for x in rest])
+    inputs = {name: raw.ordered(name) for name in TRANSFORM_ORDER}
     root = scratch_path(spark, "lake")
     return JOB.summary(JOB.job_full_refresh(spark, inputs, root, DAY2, export_root=f"{root}/exports"))

@@ -151,5 +151,5 @@ def stacked(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
-def violations(star: dict[str, DataFrame], checks: tuple[str, ...] = ("pk", "fk", "not_null", "varchar")) -> DataFrame:
-    return QC.constraint_metrics(star, STAR_TABLES, checks)
+def violations(star: dict[str, DataFrame], checks: tuple[str, ...] = ("pk", "fk", "not_null", "varchar"), unique: bool = False) -> DataFrame:
+    return QC.constraint_metrics(star, STAR_TABLES, checks, unique)

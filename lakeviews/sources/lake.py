@@ -2,7 +2,7 @@
 
 Layout under a lake root (any Hadoop-compatible URI):
 
-  raw/<domain>/<dataset>/dt=YYYY-MM-DD/part-*.csv   landed text, header row
+  raw/<domain>/<dataset>/dt=YYYY-MM-DD/part-*.csv   landed text, header row; .csv.gz if compressed
   curated/<domain>/<dataset>/v=<version>/           cleaned parquet, the last versions
   star/v=<version>/<table>/                         warehouse tables, one folder per load
   .../_CURRENT/                                     numbered versions, the last one counts (see versions.py)
@@ -31,6 +31,7 @@ from lakeviews.sources.versions import names, point_to, pointed_to, retire
 
 
 KEPT_VERSIONS = 3  # of a curated dataset or the catalogue
+GZIP_RECORDS = 1_000_000  # of a compressed landed file, which one task reads
 
 
 def folders(spark: SparkSession, path: str) -> list[str] | None:
@@ -46,12 +47,13 @@ def curated_path(root: str, domain: str, dataset: str) -> str:
     return f"{root.rstrip('/')}/curated/{domain}/{dataset}"
 
 
-def land_raw(df: DataFrame, root: str, domain: str, dataset: str, ingest_date: str) -> str:
-    """Write ``df`` as header CSV under ``dt=<ingest_date>``; other days stay untouched."""
+def land_raw(df: DataFrame, root: str, domain: str, dataset: str, ingest_date: str, compression: str | None = None) -> str:
+    """Write ``df`` as header CSV, plain or with ``compression``, under ``dt=<ingest_date>``; other days stay untouched."""
     path = raw_path(root, domain, dataset)
+    packed = {"compression": compression, "maxRecordsPerFile": GZIP_RECORDS} if compression else {}
     (df.withColumn("dt", F.lit(ingest_date))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .options(**CSV).partitionBy("dt").csv(path))
+     .options(**CSV, **packed).partitionBy("dt").csv(path))
     return path
 
 
@@ -72,15 +74,16 @@ def read_csv(spark: SparkSession, path: str, schema, split_above: int | None = N
     """Records of a folder of CSV files, and ``position``, which orders them.
 
     A file above ``split_above`` bytes (a split of the session, unless given) is
-    read by as many tasks as it has splits; smaller ones take one task each.
+    read by as many tasks as it has splits; smaller ones take one task each, and
+    so do compressed ones.
     """
     limit = csv_split.split_bytes(spark) if split_above is None else split_above
     files = data_files(spark, path)
-    large = [f for f, size in files if size > limit]
+    large = [f for f, size in files if size > limit and not f.endswith(".gz")]
     if not large:
         return csv_split.whole_files(spark, [path], schema)
     out = csv_split.scan(spark, large, schema)
-    small = [f for f, size in files if size <= limit]
+    small = [f for f, _ in files if f not in set(large)]
     return out.unionByName(csv_split.whole_files(spark, small, schema)) if small else out
 
 
@@ -101,9 +104,10 @@ def scan_raw_csv(spark: SparkSession, root: str, contract: Contract, keep_input_
 
 def raw_file_inventory(spark: SparkSession, root: str) -> DataFrame:
     """One row per landed file: path, size in bytes, data rows."""
-    files = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/raw/*/*/*/*.csv").select(
+    where = f"{root.rstrip('/')}/raw/*/*/*/*.csv*"  # .csv.gz too
+    files = spark.read.format("binaryFile").load(where).select(
         F.col("path").alias("file_path"), F.col("length").alias("file_size"))
-    rows = spark.read.schema("first_column string").options(**CSV).csv(f"{root.rstrip('/')}/raw/*/*/*/*.csv")
+    rows = spark.read.schema("first_column string").options(**CSV).csv(where)
     counted = rows.groupBy(F.col("_metadata.file_path").alias("file_path")).agg(F.count(F.lit(1)).alias("data_rows"))
     return files.join(counted, "file_path", "left").select("file_path", "file_size", F.coalesce("data_rows", F.lit(0)).alias("data_rows"))
 
@@ -116,7 +120,7 @@ def write_curated(df: DataFrame, root: str, domain: str, dataset: str, keep: int
     """
     base = curated_path(root, domain, dataset)
     path = f"{base}/v={uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     point_to(df.sparkSession, base, path)
     retire(df.sparkSession, base, keep)
     return path
@@ -150,9 +154,9 @@ def load_star_tables(spark: SparkSession, star: dict[str, DataFrame], root: str,
             # month folders (not tasks x months small files); AQE splits a large
             # month into advisory-size pieces and merges small ones.
             df.hint("rebalance", "month_start").write.mode("overwrite") \
-                .partitionBy("month_start").parquet(f"{base}/{table}")
+                .partitionBy("month_start").option("compression", "zstd").parquet(f"{base}/{table}")
         else:
-            df.write.mode("overwrite").parquet(f"{base}/{table}")
+            df.write.mode("overwrite").option("compression", "zstd").parquet(f"{base}/{table}")
 
     tables = [t for t in order if t in star]
     with ThreadPoolExecutor(max_workers=max(1, concurrent_jobs)) as pool:
