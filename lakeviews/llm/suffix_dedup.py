@@ -23,10 +23,17 @@ the anchor's context.
 
 Spans go back to the texts, which are cut and hashed.
 
+Passages of ``PASSAGE`` words or more that another document holds too may be
+shorter than ``WINDOW`` bytes.  They are counted, not removed: the same anchors
+are taken over words, contexts that two documents hold count as a whole, and
+the strings of the others are matched as in step 4.
+
 Defined results: null texts are empty; texts under ``WINDOW`` bytes lose
 nothing; repeated rows repeat each other and both lose the repeated bytes; a
 text of one repeated byte is repeated in itself; an empty table gives no rows;
-other columns are ignored.
+other columns are ignored.  For passages, words are compared and not what
+separates them, rows of equal id and text are one document, and what a
+document repeats only in itself doesn't count.
 """
 
 from __future__ import annotations
@@ -44,35 +51,39 @@ from lakeviews.llm.common import save, small_batches, table
 
 WINDOW = 400
 GRAM = 64
+PASSAGE = 51  # words
+WORD_GRAM = 16  # words
 LARGE = 2_000
 RUN_BYTES = 24 << 20  # of contexts in a sorted run
 PART_BYTES = 4 << 20  # of contexts, or of their strings' fingerprints, that one task merges, about
 _LOW = np.uint64(0xFFFFFFFF)
 
 
-def anchors(raw: np.ndarray, offs: np.ndarray) -> dict[str, np.ndarray]:
-    """Of every anchor: row, at (from the text's start), first and last string's start, gram and context fingerprints."""
+def anchors(sums: np.ndarray, offs: np.ndarray, window: int = WINDOW, size: int = GRAM) -> dict[str, np.ndarray]:
+    """Of every anchor: row, at (from the text's start), first and last string's start, gram and context fingerprints.
+
+    ``sums`` are prefix sums of bytes, or of words' hashes.
+    """
     empty = {k: np.zeros(0, np.int64) for k in ("row", "at", "first", "last", "gram", "context")}
-    long_rows = np.flatnonzero(np.diff(offs) >= WINDOW)
+    long_rows = np.flatnonzero(np.diff(offs) >= window)
     if not len(long_rows):
         return empty
-    sums = bw.prefix_sums(raw)
     _, down = bw.powers(len(sums))
-    n = len(raw) - GRAM + 1
-    gram = bw.mixed((sums[GRAM:] - sums[:n]) * down[:n] + np.uint64(GRAM))
+    n = len(sums) - size
+    gram = bw.mixed((sums[size:] - sums[:n]) * down[:n] + np.uint64(size))
     least = (gram & ~_LOW) | np.arange(n, dtype=np.uint64)
-    width, have = WINDOW - GRAM + 1, 1
+    width, have = window - size + 1, 1
     while have * 2 <= width:
         least = np.minimum(least[:-have], least[have:])
         have *= 2
     least = np.minimum(least[:len(least) - (width - have)], least[width - have:])
-    starts = np.concatenate([np.arange(offs[r], offs[r + 1] - WINDOW + 1) for r in long_rows])
-    row = np.repeat(long_rows, offs[long_rows + 1] - offs[long_rows] - WINDOW + 1)
+    starts = np.concatenate([np.arange(offs[r], offs[r + 1] - window + 1) for r in long_rows])
+    row = np.repeat(long_rows, offs[long_rows + 1] - offs[long_rows] - window + 1)
     at = (least[starts] & _LOW).astype(np.int64)
     begin = np.flatnonzero((np.diff(at, prepend=-1) != 0) | (np.diff(row, prepend=-1) != 0))
     end = np.append(begin[1:], len(starts)) - 1
     row, at, first, last = row[begin], at[begin], starts[begin], starts[end]
-    context = bw.span_hash(sums, first, last + WINDOW)
+    context = bw.span_hash(sums, first, last + window)
     base = offs[row]
     return {"row": row, "at": at - base, "first": first - base, "last": last - base, "gram": gram[at].view(np.int64), "context": context.view(np.int64)}
 
@@ -95,13 +106,54 @@ def _anchored(batches):
         keys = b.select(["rid", "size"])  # a text isn't copied for each of its anchors
         for lo, hi, raw, offs in bw.chunks(b.column("text")):
             for at, piece, ends in _pieces(raw, offs):
-                a = anchors(piece, ends)
+                a = anchors(bw.prefix_sums(piece), ends)
                 rows = keys.slice(lo, hi - lo).take(pa.array(a["row"]))
                 yield pa.RecordBatch.from_arrays(
                     [*rows.columns, pa.array(a["gram"]), pa.array(a["context"]), *[pa.array((a[k] + at).astype(np.int32)) for k in ("at", "first", "last")]],
                     ["rid", "size", "gram", "context", "at", "first", "last"])
 
 
+def _word_sums(hashes: np.ndarray) -> np.ndarray:
+    up, _ = bw.powers(len(hashes) + 1)
+    sums = np.zeros(len(hashes) + 1, np.uint64)
+    np.cumsum(hashes * up[:len(hashes)], out=sums[1:])
+    return sums
+
+
+def _word_pieces(raw: np.ndarray, offs: np.ndarray):
+    """(number of the first word, words' prefix sums, rows' first words): as ``_pieces``, a long text in pieces that share ``PASSAGE`` - 1 words."""
+    if len(offs) > 2 or len(raw) <= 2 * bw.CHUNK:
+        w = bw.words(raw, offs)
+        yield 0, _word_sums(w.hash), w.first
+        return
+    at, number, size = 0, 0, bw.CHUNK
+    while True:
+        piece = raw[at:at + size]
+        w = bw.words(piece, np.array([0, len(piece)]))
+        ends = at + size >= len(raw)
+        n = len(w.start) - (not ends)  # the last word may go on
+        if not ends and n < PASSAGE:
+            size *= 2
+            continue
+        yield number, _word_sums(w.hash[:n]), np.array([0, n])
+        if ends:
+            return
+        step = n - PASSAGE + 1
+        at, number, size = at + int(w.start[step]), number + step, bw.CHUNK
+
+
+def _word_anchored(batches):
+    for b in batches:
+        keys = b.select(["rid", "size"])
+        for lo, hi, raw, offs in bw.chunks(b.column("text")):
+            for number, sums, firsts in _word_pieces(raw, offs):
+                a = anchors(sums, firsts, PASSAGE, WORD_GRAM)
+                rows = keys.slice(lo, hi - lo).take(pa.array(a["row"]))
+                yield pa.RecordBatch.from_arrays(
+                    [*rows.columns, pa.array(a["gram"]), pa.array(a["context"]), *[pa.array((a[k] + number).astype(np.int32)) for k in ("first", "last")]],
+                    ["rid", "size", "gram", "context", "first", "last"])
+
+
 def common(a: bytes, b: bytes, known: int = 0) -> int:
     """Length of the common prefix, of which ``known`` bytes are known."""
     n = min(len(a), len(b))
@@ -217,7 +269,7 @@ def repeats(prefixes: list[int], lefts: list[bytes]) -> list[list[tuple[int, int
 
 SENT = pa.schema([("part", pa.int32()), ("shared", pa.list_(pa.int32())), ("rest", pa.list_(pa.binary())), ("left", pa.list_(pa.binary())),
                   ("one", pa.list_(pa.int64())), ("two", pa.list_(pa.int64())), ("rid", pa.list_(pa.int64())), ("size", pa.list_(pa.int64())),
-                  ("at", pa.list_(pa.int32())), ("open", pa.list_(pa.bool_()))])
+                  ("at", pa.list_(pa.int32())), ("open", pa.list_(pa.bool_())), ("least", pa.list_(pa.int64())), ("most", pa.list_(pa.int64()))])
 
 
 def _sent_row(part: int, **lists) -> pa.RecordBatch:
@@ -237,12 +289,16 @@ def _runs(held: list[tuple]):
         yield _sent_row(part, shared=shared, rest=rest, left=left, rid=rid, size=n, at=at, open=mine)
 
 
-def _sent(batches, parts: int):
-    """What a task sends of its texts' contexts: sorted runs, and fingerprints of the strings of large grams."""
+def _sent(batches, parts: int, word_parts: int):
+    """What a task sends of its texts' contexts: sorted runs, fingerprints of the strings of large grams, and those of passages."""
     held, size = [], 0
     for b in batches:
-        rids, sizes, zones = (b.column(c).to_pylist() for c in ("rid", "size", "zones"))
+        rids, sizes, zones, passages = (b.column(c).to_pylist() for c in ("rid", "size", "zones", "passages"))
+        zones = [z or [] for z in zones]
         for lo, hi, raw, offs in bw.chunks(b.column("text")):
+            worded = [(i, z) for i in range(hi - lo) for z in passages[lo + i] or []]
+            if worded:
+                yield from _word_printed(raw, offs, worded, np.array(rids[lo:hi]), np.array(sizes[lo:hi]), word_parts)
             printed = [(i, z) for i in range(hi - lo) for z in zones[lo + i] if z["large"]]
             if printed:
                 yield from _printed(raw, offs, printed, np.array(rids[lo:hi]), np.array(sizes[lo:hi]), parts)
@@ -334,6 +390,41 @@ def _printed(raw: np.ndarray, offs: np.ndarray, zones: list[tuple], rid: np.ndar
                             at=(start[at] - offs[row[at]]).astype(np.int32), open=(alone & mine)[at])
 
 
+def _groups(one: np.ndarray, two: np.ndarray, least: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Order by fingerprint; of each group of equals: begin in that order, rows, least and greatest document."""
+    order = np.lexsort((two, one))
+    one, two = one[order], two[order]
+    new = np.ones(len(one), bool)
+    new[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
+    begin = np.flatnonzero(new)
+    return order, begin, np.diff(np.append(begin, len(one))), np.minimum.reduceat(least[order], begin), np.maximum.reduceat(most[order], begin)
+
+
+def _word_printed(raw: np.ndarray, offs: np.ndarray, zones: list[tuple], rid: np.ndarray, size: np.ndarray, parts: int):
+    """Fingerprints of the strings of words: what two documents hold here is told at once (part -1) and sent once."""
+    w = bw.words(raw, offs)
+    times = np.array([z["last"] - z["first"] + 1 for _, z in zones])
+    row, mine, least, most = (np.repeat(np.array(x), times) for x in ([i for i, _ in zones], *([z[k] for _, z in zones] for k in ("open", "least", "most"))))
+    at = np.concatenate([np.arange(z["first"], z["last"] + 1) for _, z in zones])
+    start = at + w.first[row]
+    one = bw.span_hash(_word_sums(w.hash), start, start + PASSAGE)
+    # a second hash, over the words backwards
+    back = len(w.hash) - start - PASSAGE
+    two = bw.span_hash(_word_sums(w.hash[::-1]), back, back + PASSAGE)
+    order, begin, times, low, high = _groups(one, two, least, most)
+    shared = np.repeat(low < high, times)
+    told = order[shared & mine[order]]
+    once = begin[low < high]
+    sent = np.concatenate([order[~shared], order[once]])
+    mine[order[once]] = False
+    least[order[once]], most[order[once]] = low[low < high], high[low < high]
+    dest = (one[sent] % np.uint64(parts)).astype(np.int32)
+    for part, x in [(-1, told)] + [(int(p), sent[dest == p]) for p in np.unique(dest)]:
+        if len(x):
+            yield _sent_row(part, one=one[x].view(np.int64), two=two[x].view(np.int64), rid=rid[row[x]], size=size[row[x]],
+                            at=at[x].astype(np.int32), open=mine[x], least=least[x], most=most[x])
+
+
 def span_prints(raw: np.ndarray, start: np.ndarray) -> np.ndarray:
     return bw.span_hash(bw.prefix_sums(raw), start, start + WINDOW)
 
@@ -351,7 +442,18 @@ def _matched(batches):
         yield _span_rows(rid[hit], size[hit], start[hit])
 
 
-def _span_rows(rid: np.ndarray, size: np.ndarray, start: np.ndarray) -> pa.RecordBatch:
+def _word_matched(batches):
+    """Spans of open strings of words that two documents hold."""
+    names = ("one", "two", "rid", "size", "at", "open", "least", "most")
+    held: list[tuple] = [tuple(b.column(c)[i].values.to_numpy(zero_copy_only=False) for c in names) for b in batches for i in range(b.num_rows)]
+    if held:
+        one, two, rid, size, start, mine, least, most = (np.concatenate(x) for x in zip(*held))
+        order, _, times, low, high = _groups(one, two, least, most)
+        hit = order[np.repeat(low < high, times) & mine[order]]
+        yield _span_rows(rid[hit], size[hit], start[hit], PASSAGE)
+
+
+def _span_rows(rid: np.ndarray, size: np.ndarray, start: np.ndarray, window: int = WINDOW) -> pa.RecordBatch:
     """Spans of strings that start at each ``start``, neighbours joined."""
     order = np.lexsort((start, size, rid))
     rid, size, start = rid[order], size[order], start[order]
@@ -359,21 +461,45 @@ def _span_rows(rid: np.ndarray, size: np.ndarray, start: np.ndarray) -> pa.Recor
     new[1:] = (rid[1:] != rid[:-1]) | (size[1:] != size[:-1]) | (start[1:] > start[:-1] + 1)
     begin = np.flatnonzero(new)
     last = np.append(begin, len(rid))[1:] - 1
-    return pa.RecordBatch.from_arrays([pa.array(rid[begin]), pa.array(size[begin]), pa.array(start[begin].astype(np.int32)), pa.array((start[last] + WINDOW).astype(np.int32))],
+    return pa.RecordBatch.from_arrays([pa.array(rid[begin]), pa.array(size[begin]), pa.array(start[begin].astype(np.int32)), pa.array((start[last] + window).astype(np.int32))],
                                       ["rid", "size", "start", "end"])
 
 
-def _told(batches):
+def _told(batches, window: int = WINDOW):
     for b in batches:
         for i in range(b.num_rows):
-            yield _span_rows(*(b.column(c)[i].values.to_numpy() for c in ("rid", "size", "at")))
+            yield _span_rows(*(b.column(c)[i].values.to_numpy() for c in ("rid", "size", "at")), window)
 
 
 SPANS = "rid long, size long, start int, end int"
 
 
+def _passages(rows: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """Spans (rid, size, start, end) of words of contexts that two documents hold; the contexts to be matched by their strings, and the number of these."""
+    # anchors are made twice: a table of them would be the largest of all
+    found = rows.filter(F.col("size") >= 2 * PASSAGE - 1).mapInArrow(_word_anchored, "rid long, size long, gram long, context long, first int, last int")
+    often = save(found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram"), "passage-often")
+    held = save(found.join(often, "gram"), "passage-repeated")
+    by_context = save(held.groupBy("gram", "context").agg(F.count(F.lit(1)).alias("n"), F.min("rid").alias("least"), F.max("rid").alias("most"),
+                                                          F.min(F.struct("rid", "size", "first", "last")).alias("z")), "passage-contexts")
+    by_gram = (by_context.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds"), F.min("least").alias("low"), F.max("most").alias("high"))
+               .filter("kinds > 1 AND low < high").select("gram"))
+    mixed = save(by_context.join(by_gram, "gram"), "passage-mixed")
+    whole = (held.join(by_context.filter("least < most").select("gram", "context"), ["gram", "context"])
+             .select("rid", "size", F.col("first").alias("start"), (F.col("last") + PASSAGE).alias("end")))
+    # one context of each kind stands for what two documents hold; a context of one document is open wherever that holds it
+    single = mixed.filter("least < most OR n = 1").select("z.*", "least", "most", (F.col("least") == F.col("most")).alias("open"))
+    again = (held.join(mixed.filter("least = most AND n > 1").select("gram", "context", "least", "most"), ["gram", "context"])
+             .select("rid", "size", "first", "last", "least", "most", F.lit(True).alias("open")))
+    times = F.when(F.col("least") < F.col("most"), 1).otherwise(F.col("n"))
+    strings = mixed.agg(F.sum(times * (F.col("z.last") - F.col("z.first") + 1))).first()[0] or 0
+    return whole, single.unionByName(again), strings
+
+
 def spans(rows: DataFrame) -> DataFrame:
-    """(rid, size, start, end): repeated byte spans of (rid, size, text); they may overlap."""
+    """(rid, size, start, end, words): repeated byte spans of (rid, size, text), and (words) spans of words of passages
+    that another document holds; they may overlap.
+    """
     found = save(rows.filter(F.col("size") >= WINDOW).mapInArrow(_anchored, "rid long, size long, gram long, context long, at int, first int, last int"), "suffix-anchors")
     often = save(found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram"), "suffix-often")
     # only anchors of repeated grams go on
@@ -389,16 +515,24 @@ def spans(rows: DataFrame) -> DataFrame:
     total = open_.agg(F.sum(F.when(F.col("kinds") > LARGE, strings * 40).otherwise(strings + WINDOW))).first()[0] or 0
     parts = max(1, -(-total // PART_BYTES))
     zone = F.struct("gram", "at", "first", "last", "open", (F.col("kinds") > LARGE).alias("large"))
-    lists = open_.groupBy("rid", "size").agg(F.collect_list(zone).alias("zones"))
-    sent = rows.join(lists, ["rid", "size"]).select("rid", "size", "text", "zones").mapInArrow(
-        lambda batches: _sent(batches, parts), "part int, shared array<int>, rest array<binary>, left array<binary>, one array<long>, two array<long>, "
-                                               "rid array<long>, size array<long>, at array<int>, open array<boolean>")
+    known, contexts, total = _passages(rows)
+    word_parts = max(1, -(-total * 60 // PART_BYTES))
+    # both kinds of contexts meet their texts in one join
+    lists = open_.groupBy("rid", "size").agg(F.collect_list(zone).alias("zones")).join(
+        contexts.groupBy("rid", "size").agg(F.collect_list(F.struct("first", "last", "open", "least", "most")).alias("passages")), ["rid", "size"], "full")
+    sent = rows.join(lists, ["rid", "size"]).select("rid", "size", "text", "zones", "passages").mapInArrow(
+        lambda batches: _sent(batches, parts, word_parts), "part int, shared array<int>, rest array<binary>, left array<binary>, one array<long>, two array<long>, "
+                                                           "rid array<long>, size array<long>, at array<int>, open array<boolean>, least array<long>, most array<long>")
     sent = save(sent, "suffix-sent")
     runs = sent.filter("shared IS NOT NULL").select("part", "shared", "rest", "left", "rid", "size", "at", "open")
-    prints = sent.filter("one IS NOT NULL").select("part", "one", "two", "rid", "size", "at", "open")
-    return (whole.unionByName(runs.repartitionById(parts, F.col("part")).mapInArrow(_merged, SPANS))
-            .unionByName(prints.filter("part < 0").mapInArrow(_told, SPANS))
-            .unionByName(prints.filter("part >= 0").repartitionById(parts, F.col("part")).mapInArrow(_matched, SPANS)))
+    prints = sent.filter("one IS NOT NULL AND least IS NULL").select("part", "one", "two", "rid", "size", "at", "open")
+    passages = sent.filter("least IS NOT NULL").select("part", "one", "two", "rid", "size", "at", "open", "least", "most")
+    found = (whole.unionByName(runs.repartitionById(parts, F.col("part")).mapInArrow(_merged, SPANS))
+             .unionByName(prints.filter("part < 0").mapInArrow(_told, SPANS))
+             .unionByName(prints.filter("part >= 0").repartitionById(parts, F.col("part")).mapInArrow(_matched, SPANS)))
+    words = (known.unionByName(passages.filter("part < 0").mapInArrow(lambda batches: _told(batches, PASSAGE), SPANS))
+             .unionByName(passages.filter("part >= 0").repartitionById(word_parts, F.col("part")).mapInArrow(_word_matched, SPANS)))
+    return found.withColumn("words", F.lit(False)).unionByName(words.withColumn("words", F.lit(True)))
 
 
 def keyed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -408,21 +542,25 @@ def keyed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
 
 
 def removed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", with_bytes: bool = True) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256), one row per document; ``with_bytes``: and kept, the remaining bytes."""
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_passage_words), one row per document; ``with_bytes``: and kept, the remaining bytes.
+
+    n_passage_words: words in passages of ``PASSAGE`` words or more that another document holds too, removed or not.
+    """
     small_batches(docs.sparkSession)
     rows = keyed(docs, doc_id, text)
     found = save(spans(rows.select("rid", "size", "text")), "suffix-spans")
-    lists = found.groupBy("rid", "size").agg(F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends"))
+    lists = found.groupBy("rid", "size").agg(*(F.collect_list(F.when(F.col("words") == w, F.col(c))).alias(name) for name, c, w in (
+        ("starts", "start", False), ("ends", "end", False), ("word_starts", "start", True), ("word_ends", "end", True))))
     kind = dict(rows.dtypes)["doc_id"]
 
     def cut(batches):
         for b in batches:
             raw, offs = bw.buffers(b.column("text"))
-            starts, ends = b.column("starts"), b.column("ends")
-            gone, count, digest, kept = [], [], [], []
+            starts, ends, word_starts, word_ends = (b.column(c) for c in ("starts", "ends", "word_starts", "word_ends"))
+            gone, count, digest, passage, kept = [], [], [], [], []
             for i in range(b.num_rows):
                 body = raw[offs[i]:offs[i + 1]]
-                if starts[i].is_valid:
+                if starts[i].is_valid and len(starts[i]):
                     begin, end = _joined(starts[i].values.to_numpy(), ends[i].values.to_numpy())
                     mark = np.zeros(len(body) + 1, np.int8)
                     mark[begin] += 1
@@ -433,16 +571,21 @@ def removed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", with_by
                 else:
                     gone.append(0)
                     count.append(0)
+                if word_starts[i].is_valid and len(word_starts[i]):
+                    begin, end = _joined(word_starts[i].values.to_numpy(), word_ends[i].values.to_numpy())
+                    passage.append(int((end - begin).sum()))
+                else:
+                    passage.append(0)
                 body = body.tobytes()
                 digest.append(hashlib.sha256(body).hexdigest())
                 if with_bytes:
                     kept.append(body)
-            columns = [b.column("doc_id"), b.column("size"), pa.array(gone, pa.int64()), pa.array(count, pa.int64()), pa.array(digest, pa.string())]
+            columns = [b.column("doc_id"), b.column("size"), pa.array(gone, pa.int64()), pa.array(count, pa.int64()), pa.array(digest, pa.string()), pa.array(passage, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns + [pa.array(kept, pa.binary())] * with_bytes,
-                                             ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * with_bytes)
+                                             ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_passage_words"] + ["kept"] * with_bytes)
 
-    return rows.join(lists, ["rid", "size"], "left").select("doc_id", "size", "text", "starts", "ends").mapInArrow(
-        cut, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_bytes)
+    return rows.join(lists, ["rid", "size"], "left").select("doc_id", "size", "text", "starts", "ends", "word_starts", "word_ends").mapInArrow(
+        cut, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_passage_words long" + ", kept binary" * with_bytes)
 
 
 def op9_suffix_dedup(spark, sf_dir: str) -> DataFrame:
