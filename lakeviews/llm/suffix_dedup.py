@@ -26,7 +26,7 @@ Spans go back to the texts, which are cut and hashed.
 Passages of ``PASSAGE`` words or more that another document holds too may be
 shorter than ``WINDOW`` bytes.  They are counted, not removed: the same anchors
 are taken over words, contexts that two documents hold count as a whole, and
-the strings of the others are matched as in step 4.
+the strings of the others are matched by 64-bit fingerprints (they are counted, not cut).
 
 Defined results: null texts are empty; texts under ``WINDOW`` bytes lose
 nothing; repeated rows repeat each other and both lose the repeated bytes; a
@@ -390,12 +390,12 @@ def _printed(raw: np.ndarray, offs: np.ndarray, zones: list[tuple], rid: np.ndar
                             at=(start[at] - offs[row[at]]).astype(np.int32), open=(alone & mine)[at])
 
 
-def _groups(one: np.ndarray, two: np.ndarray, least: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, ...]:
+def _groups(one: np.ndarray, least: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, ...]:
     """Order by fingerprint; of each group of equals: begin in that order, rows, least and greatest document."""
-    order = np.lexsort((two, one))
-    one, two = one[order], two[order]
+    order = np.argsort(one, kind="stable")
+    one = one[order]
     new = np.ones(len(one), bool)
-    new[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
+    new[1:] = one[1:] != one[:-1]
     begin = np.flatnonzero(new)
     return order, begin, np.diff(np.append(begin, len(one))), np.minimum.reduceat(least[order], begin), np.maximum.reduceat(most[order], begin)
 
@@ -408,10 +408,7 @@ def _word_printed(raw: np.ndarray, offs: np.ndarray, zones: list[tuple], rid: np
     at = np.concatenate([np.arange(z["first"], z["last"] + 1) for _, z in zones])
     start = at + w.first[row]
     one = bw.span_hash(_word_sums(w.hash), start, start + PASSAGE)
-    # a second hash, over the words backwards
-    back = len(w.hash) - start - PASSAGE
-    two = bw.span_hash(_word_sums(w.hash[::-1]), back, back + PASSAGE)
-    order, begin, times, low, high = _groups(one, two, least, most)
+    order, begin, times, low, high = _groups(one, least, most)
     shared = np.repeat(low < high, times)
     told = order[shared & mine[order]]
     once = begin[low < high]
@@ -421,8 +418,7 @@ def _word_printed(raw: np.ndarray, offs: np.ndarray, zones: list[tuple], rid: np
     dest = (one[sent] % np.uint64(parts)).astype(np.int32)
     for part, x in [(-1, told)] + [(int(p), sent[dest == p]) for p in np.unique(dest)]:
         if len(x):
-            yield _sent_row(part, one=one[x].view(np.int64), two=two[x].view(np.int64), rid=rid[row[x]], size=size[row[x]],
-                            at=at[x].astype(np.int32), open=mine[x], least=least[x], most=most[x])
+            yield _sent_row(part, one=one[x].view(np.int64), rid=rid[row[x]], size=size[row[x]], at=at[x].astype(np.int32), open=mine[x], least=least[x], most=most[x])
 
 
 def span_prints(raw: np.ndarray, start: np.ndarray) -> np.ndarray:
@@ -444,11 +440,11 @@ def _matched(batches):
 
 def _word_matched(batches):
     """Spans of open strings of words that two documents hold."""
-    names = ("one", "two", "rid", "size", "at", "open", "least", "most")
+    names = ("one", "rid", "size", "at", "open", "least", "most")
     held: list[tuple] = [tuple(b.column(c)[i].values.to_numpy(zero_copy_only=False) for c in names) for b in batches for i in range(b.num_rows)]
     if held:
-        one, two, rid, size, start, mine, least, most = (np.concatenate(x) for x in zip(*held))
-        order, _, times, low, high = _groups(one, two, least, most)
+        one, rid, size, start, mine, least, most = (np.concatenate(x) for x in zip(*held))
+        order, _, times, low, high = _groups(one, least, most)
         hit = order[np.repeat(low < high, times) & mine[order]]
         yield _span_rows(rid[hit], size[hit], start[hit], PASSAGE)
 
@@ -476,7 +472,6 @@ SPANS = "rid long, size long, start int, end int"
 
 def _passages(rows: DataFrame) -> tuple[DataFrame, DataFrame, int]:
     """Spans (rid, size, start, end) of words of contexts that two documents hold; the contexts to be matched by their strings, and the number of these."""
-    # anchors are made twice: a table of them would be the largest of all
     found = rows.filter(F.col("size") >= 2 * PASSAGE - 1).mapInArrow(_word_anchored, "rid long, size long, gram long, context long, first int, last int")
     often = save(found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram"), "passage-often")
     held = save(found.join(often, "gram"), "passage-repeated")
@@ -500,7 +495,8 @@ def spans(rows: DataFrame) -> DataFrame:
     """(rid, size, start, end, words): repeated byte spans of (rid, size, text), and (words) spans of words of passages
     that another document holds; they may overlap.
     """
-    found = save(rows.filter(F.col("size") >= WINDOW).mapInArrow(_anchored, "rid long, size long, gram long, context long, at int, first int, last int"), "suffix-anchors")
+    # anchors are made twice: a table of them would be the largest of all
+    found = rows.filter(F.col("size") >= WINDOW).mapInArrow(_anchored, "rid long, size long, gram long, context long, at int, first int, last int")
     often = save(found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram"), "suffix-often")
     # only anchors of repeated grams go on
     held = save(found.join(often, "gram"), "suffix-repeated")
@@ -526,7 +522,7 @@ def spans(rows: DataFrame) -> DataFrame:
     sent = save(sent, "suffix-sent")
     runs = sent.filter("shared IS NOT NULL").select("part", "shared", "rest", "left", "rid", "size", "at", "open")
     prints = sent.filter("one IS NOT NULL AND least IS NULL").select("part", "one", "two", "rid", "size", "at", "open")
-    passages = sent.filter("least IS NOT NULL").select("part", "one", "two", "rid", "size", "at", "open", "least", "most")
+    passages = sent.filter("least IS NOT NULL").select("part", "one", "rid", "size", "at", "open", "least", "most")
     found = (whole.unionByName(runs.repartitionById(parts, F.col("part")).mapInArrow(_merged, SPANS))
              .unionByName(prints.filter("part < 0").mapInArrow(_told, SPANS))
              .unionByName(prints.filter("part >= 0").repartitionById(parts, F.col("part")).mapInArrow(_matched, SPANS)))
