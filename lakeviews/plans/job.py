@@ -132,10 +132,11 @@ def input_digest(raw_inputs: dict[str, DataFrame]) -> str:
 
 def job_full_refresh(spark: SparkSession, raw_inputs: dict[str, DataFrame], lake_root: str,
                      ingest_date: str, export_root: str | None = None, strict: bool = True,
-                     updated_at=None) -> RefreshResult:
+                     updated_at=None, in_order: dict[str, DataFrame] | None = None) -> RefreshResult:
+    """``in_order``: the rows of ``raw_inputs`` in the order in which they are landed, if that isn't left to the inputs."""
     lake_root = lake_root.rstrip("/")
     journal = Journal(spark, f"{lake_root}/_journal", f"{ingest_date}-{input_digest(raw_inputs)[:32]}")
-    land_all(raw_inputs, lake_root, ingest_date, journal)
+    land_all(in_order or raw_inputs, lake_root, ingest_date, journal)
     scanned, curated = clean_all(spark, lake_root, journal)
     quality_root = f"{lake_root}/quality"
     metrics_path, reports_path = (f"{quality_root}/{kind}/dt={ingest_date}/run={journal.run}" for kind in ("metrics", "reports"))

@@ -258,6 +258,6 @@ def _(spark, sf_dir):
     other columns: of rows with one key, the greatest is the last.
     """
     raw = _raw(spark, sf_dir)
-    inputs = {name: raw.ordered(name) for name in TRANSFORM_ORDER}
+    inputs, in_order = ({name: of(name) for name in TRANSFORM_ORDER} for of in (raw.dataset, raw.ordered))
     root = scratch_path(spark, "lake")
-    return JOB.summary(JOB.job_full_refresh(spark, inputs, root, DAY2, export_root=f"{root}/exports"))
+    return JOB.summary(JOB.job_full_refresh(spark, inputs, root, DAY2, export_root=f"{root}/exports", in_order=in_order))

@@ -19,6 +19,7 @@ from __future__ import annotations
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
@@ -50,7 +51,7 @@ def curated_path(root: str, domain: str, dataset: str) -> str:
 def land_raw(df: DataFrame, root: str, domain: str, dataset: str, ingest_date: str, compression: str | None = None) -> str:
     """Write ``df`` as header CSV, plain or with ``compression``, under ``dt=<ingest_date>``; other days stay untouched."""
     path = raw_path(root, domain, dataset)
-    packed = {"compression": compression, "maxRecordsPerFile": GZIP_RECORDS} if compression else {}
+    packed = {"compression": compression, "maxRecordsPerFile": GZIP_RECORDS, "zlib.compress.level": "BEST_SPEED"} if compression else {}
     (df.withColumn("dt", F.lit(ingest_date))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .options(**CSV, **packed).partitionBy("dt").csv(path))
@@ -99,7 +100,23 @@ def scan_raw_csv(spark: SparkSession, root: str, contract: Contract, keep_input_
         return None
     df = read_csv(spark, f"{raw_path(root, contract.domain, contract.name)}/dt={latest}", contract.raw_schema(), split_above)
     cols = [F.when(~F.col(c).isin(*NULL_TOKENS), F.col(c)).alias(c) for c in contract.columns]
-    return df.select(*cols, *[F.col("position").alias(SEQ)] * keep_input_order)
+    if not keep_input_order:
+        return df.select(*cols)
+    return numbered_files(df).select(*cols, F.struct("number", "position.block", "position.pos").alias(SEQ))
+
+
+def numbered_files(df: DataFrame) -> DataFrame:
+    """``number``: where a row's file stands among the files read, in the order of ``position``.
+
+    Rows then carry a number rather than the path of their file.
+    """
+    hadoop, net = df.sparkSession._jvm.org.apache.hadoop.fs, df.sparkSession._jvm.java.net
+    as_read = (hadoop.Path(hadoop.Path(net.URI(f)).toString()).toUri().toString() for f in df.inputFiles())
+    files = sorted(as_read, key=csv_split.file_order)
+    # A row a file, which the driver plans one by one anyway.
+    table = df.sparkSession.createDataFrame(pa.table({"path": pa.array(files, pa.string()), "number": pa.array(range(len(files)), pa.int32())}))
+    known = F.coalesce("number", F.raise_error(F.concat(F.lit("not among the files read: "), "position.file")))
+    return df.join(F.broadcast(table), df["position.file"] == table["path"], "left").withColumn("number", known)
 
 
 def raw_file_inventory(spark: SparkSession, root: str) -> DataFrame:
