@@ -15,11 +15,13 @@ A journal holds what each step has done, by the day and a digest of all input
 rows.  A run that was cut off goes on after the last step it finished; after a
 finished run, the next call for the same inputs is a new run.  Steps that go on
 use the very versions that the journal names, not what other runs wrote since.
+The digest is taken while rows are landed, unless there is a run to go on with.
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -34,7 +36,7 @@ from lakeviews.plans import catalog as CAT
 from lakeviews.plans import star as S
 from lakeviews.plans import views as V
 from lakeviews.sources import lake as L
-from lakeviews.sources.versions import Journal
+from lakeviews.sources.versions import Journal, names
 
 EXPORTS = [
     # (file name, view, order)
@@ -73,8 +75,11 @@ def in_parallel(fn, items):
         return list(pool.map(fn, items))
 
 
-def land_all(raw_inputs: dict[str, DataFrame], lake_root: str, ingest_date: str, journal: Journal) -> int:
-    """Land every given raw dataset under its domain; returns the number landed."""
+def land_all(raw_inputs: dict[str, DataFrame], lake_root: str, ingest_date: str, journal: Journal, digested: bool = False) -> int:
+    """Land every given raw dataset under its domain; returns the number landed.
+
+    ``digested``: records hold a dataset's digest line too, taken from the rows as they are landed.
+    """
     def landed(c):
         files = L.data_files(journal.spark, f"{L.raw_path(lake_root, c.domain, c.name)}/dt={ingest_date}")
         return sorted([path.rsplit("/", 1)[1], size] for path, size in files)
@@ -89,12 +94,49 @@ def land_all(raw_inputs: dict[str, DataFrame], lake_root: str, ingest_date: str,
         c = CONTRACTS[name]
 
         def work():
-            L.land_raw(df, lake_root, c.domain, c.name, ingest_date, "gzip")
-            return landed(c)
+            if not digested:
+                L.land_raw(df, lake_root, c.domain, c.name, ingest_date, "gzip")
+                return landed(c)
+            seen = Observation()
+            L.land_raw(df.observe(seen, *digest_parts(df)), lake_root, c.domain, c.name, ingest_date, "gzip")
+            return {"files": landed(c), "line": digest_line(name, df.columns, seen.get)}
         return journal.once(f"land-{name}", work, lambda record: holds(name, record))
     return len(in_parallel(land, list(raw_inputs.items())))
 
 
+def land_inputs(spark: SparkSession, raw_inputs: dict[str, DataFrame], in_order: dict[str, DataFrame], lake_root: str, ingest_date: str) -> Journal:
+    """Land all inputs; returns the journal of the run, named by the day and their digest.
+
+    If no run of the day was cut off, there is none to go on with, and the digest
+    is taken from the rows as they are landed; until it is known, landings are
+    recorded in a journal of their own.  Otherwise the inputs are digested first,
+    to tell whether this run goes on with theirs, and landings of the same rows
+    are taken over.
+    """
+    root, landing = f"{lake_root}/_journal", f"{ingest_date}-landing-"
+    unfinished = {key: j for key in names(spark, root) or [] if key.startswith(f"{ingest_date}-") and (j := Journal(spark, root, key)).resumed}
+    if unfinished:
+        lines = digest_lines(raw_inputs)
+        begun = [j for key, j in unfinished.items() if key.startswith(landing)]
+    else:
+        first = Journal(spark, root, f"{landing}{uuid.uuid4().hex}")
+        land_all(in_order, lake_root, ingest_date, first, digested=True)
+        lines = {n: first.done(f"land-{n}")["line"] for n in in_order}
+        begun = [first]
+    journal = Journal(spark, root, f"{ingest_date}-{digest_of(lines)[:32]}")
+    for before in begun:
+        same = {n: record["files"] for n in lines if (record := before.done(f"land-{n}")) and record["line"] == lines[n]}
+        for name, files in same.items():
+            if journal.done(f"land-{name}") is None:
+                journal.record(f"land-{name}", files)
+                journal.resumed |= before.resumed
+        if same or not before.resumed:
+            before.finish()
+    if unfinished:
+        land_all(in_order, lake_root, ingest_date, journal)
+    return journal
+
+
 def _curate(spark: SparkSession, lake_root: str, name: str):
     """Scan the newest landing, coerce, keep the last row per key, write a curated version; its path and the rows scanned."""
     contract = CONTRACTS[name]
@@ -118,16 +160,29 @@ def clean_all(spark: SparkSession, lake_root: str, journal: Journal):
     return {n: r["rows"] for n, r in done.items()}, {n: spark.read.parquet(r["path"]) for n, r in done.items()}
 
 
+def digest_parts(df: DataFrame) -> list[Column]:
+    """Aggregates that tell of all rows, whatever their order."""
+    h = F.xxhash64(*[x for c in df.columns for x in (F.col(c), F.col(c).isNull())])
+    return [F.count(F.lit(1)).alias("n"), F.bit_xor(h).alias("x"), F.sum(h.cast("decimal(20,0)")).alias("s")]
+
+
+def digest_line(name: str, columns: list[str], parts: dict) -> str:
+    return " ".join([name, *[str(parts[k]) for k in ("n", "x", "s") if parts[k] is not None], ",".join(columns)])
+
+
+def digest_lines(raw_inputs: dict[str, DataFrame]) -> dict[str, str]:
+    parts = [df.agg(*digest_parts(df)).select(F.lit(name).alias("name"), "n", "x", "s") for name, df in raw_inputs.items()]
+    rows = S.stacked(parts).collect() if parts else []  # a row a dataset
+    return {r["name"]: digest_line(r["name"], raw_inputs[r["name"]].columns, r.asDict()) for r in rows}
+
+
+def digest_of(lines: dict[str, str]) -> str:
+    return hashlib.sha256("\n".join(sorted(lines.values())).encode()).hexdigest()
+
+
 def input_digest(raw_inputs: dict[str, DataFrame]) -> str:
     """A digest of all rows of all datasets, whatever their order."""
-    parts = []
-    for name, df in sorted(raw_inputs.items()):
-        marked = [x for c in df.columns for x in (F.col(c), F.col(c).isNull())]
-        h = F.xxhash64(*marked)
-        parts.append(df.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(h).alias("x"), F.sum(h.cast("decimal(20,0)")).alias("s"))
-                     .select(F.concat_ws(" ", F.lit(name), "n", "x", "s", F.lit(",".join(df.columns))).alias("line")))
-    rows = S.stacked(parts).collect() if parts else []  # a row a dataset
-    return hashlib.sha256("\n".join(sorted(r["line"] for r in rows)).encode()).hexdigest()
+    return digest_of(digest_lines(raw_inputs))
 
 
 def job_full_refresh(spark: SparkSession, raw_inputs: dict[str, DataFrame], lake_root: str,
@@ -135,8 +190,7 @@ def job_full_refresh(spark: SparkSession, raw_inputs: dict[str, DataFrame], lake
                      updated_at=None, in_order: dict[str, DataFrame] | None = None) -> RefreshResult:
     """``in_order``: the rows of ``raw_inputs`` in the order in which they are landed, if that isn't left to the inputs."""
     lake_root = lake_root.rstrip("/")
-    journal = Journal(spark, f"{lake_root}/_journal", f"{ingest_date}-{input_digest(raw_inputs)[:32]}")
-    land_all(in_order or raw_inputs, lake_root, ingest_date, journal)
+    journal = land_inputs(spark, raw_inputs, in_order or raw_inputs, lake_root, ingest_date)
     scanned, curated = clean_all(spark, lake_root, journal)
     quality_root = f"{lake_root}/quality"
     metrics_path, reports_path = (f"{quality_root}/{kind}/dt={ingest_date}/run={journal.run}" for kind in ("metrics", "reports"))
